@@ -1,0 +1,8 @@
+"""Streaming.
+
+The source system is a batch job: feeds are drained completely, combined and
+published as one snapshot, and nothing in it has stream semantics (no event
+time, watermark, window or per-key state over an unbounded input).  No
+streaming operator is claimed here; the batch jobs in :mod:`placekit.plans`
+can be driven per landed micro-batch with ``foreachBatch`` if needed.
+"""

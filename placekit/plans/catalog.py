@@ -86,3 +86,75 @@ QUERIES["match_places"] = _match_query(M.PRODUCTION)
 QUERIES["match_places_geographic"] = _match_query(M.GEOGRAPHIC)
 QUERIES["match_places_coords_only"] = _match_query(M.COORDS_ONLY)
 QUERIES["match_places_best_only"] = _match_query(M.PRODUCTION.with_(show_all_matches=False))
+
+
+# ------------------------------------------------------------ consolidation
+
+from placekit.operators import consolidate as C  # noqa: E402
+
+
+def combined(spark, sf_dir):
+    a, b = feeds(spark, sf_dir)
+    return a, b, C.combine_feeds([a, b], M.PRODUCTION)
+
+
+@query("standardize_names")
+def q_standardize_names(spark, sf_dir):
+    a, b = feeds(spark, sf_dir)
+    u = a.select("source", "row_id", "name").unionByName(b.select("source", "row_id", "name"))
+    return C.standardize_names(u).select("source", "row_id", "name_std", "name_key")
+
+
+@query("brand_dictionary")
+def q_brand_dictionary(spark, sf_dir):
+    return combined(spark, sf_dir)[2].dictionary.select("name_key", "canon_name", "canon_id", "first_logo")
+
+
+@query("merged_places")
+def q_merged_places(spark, sf_dir):
+    a, b, r = combined(spark, sf_dir)
+    return C.merged_places(a, b, r.matches).select(
+        "uid", "merchantId", "name", "savingsPercentage", "plusCode", "logoLocation")
+
+
+def _unmatched_query(side):
+    def run(spark, sf_dir):
+        a, b, r = combined(spark, sf_dir)
+        df = a if side == "a" else b
+        return C.unmatched_rows(df, r.matches, r.dictionary, side).select(
+            "uid", "merchantId", "name", "logoLocation", "savingsPercentage")
+    return run
+
+
+QUERIES["unmatched_a"] = _unmatched_query("a")
+QUERIES["unmatched_b"] = _unmatched_query("b")
+
+
+@query("online_fold")
+def q_online_fold(spark, sf_dir):
+    return combined(spark, sf_dir)[2].folds.select("b_row_id", "j", "k", "target_uid", "link_merchantId")
+
+
+@query("combine_feeds")
+def q_combine_feeds(spark, sf_dir):
+    p = combined(spark, sf_dir)[2].places
+    return p.select("uid", "merchantId", "name", "address1", r6("latitude").alias("latitude"),
+                    r6("longitude").alias("longitude"), "type", "savingsPercentage", "logoLocation",
+                    "source", "sourceId", "plusCode")
+
+
+@query("provider_links")
+def q_provider_links(spark, sf_dir):
+    return combined(spark, sf_dir)[2].links
+
+
+@query("dedupe_places")
+def q_dedupe_places(spark, sf_dir):
+    r = combined(spark, sf_dir)[2]
+    return C.dedupe_places(r.places, r.dictionary).select("uid", "dedupe_key")
+
+
+@query("dropped_duplicates")
+def q_dropped_duplicates(spark, sf_dir):
+    r = combined(spark, sf_dir)[2]
+    return C.dropped_duplicates(r.places, r.dictionary).select("uid", "dedupe_key")

@@ -270,3 +270,143 @@ register("geo_radius_join", with_(*PLACES) +
          "FROM place_a a, place_b b WHERE a.latitude IS NOT NULL AND a.longitude IS NOT NULL "
          "AND b.latitude IS NOT NULL AND b.longitude IS NOT NULL "
          "AND " + haversine("a.latitude", "a.longitude", "b.latitude", "b.longitude") + " <= 0.2e0) x")
+
+
+# ---------------------------------------------------------------- consolidation
+
+_ORDER = "o_p, o_m, o_s, o_c, o_a"
+_ROWCOLS = ("uid, merchantId, name, address1, latitude, longitude, city, territory, type, "
+            "savingsPercentage, logoLocation, source, sourceId, active, redeemType, "
+            "denominationsType, plusCode, o_p, o_m, o_s, o_c, o_a")
+
+
+def consolidate_ctes() -> list[str]:
+    norm_a = normalize("name")
+    return [
+        "mo AS (SELECT *, CASE WHEN match_stage = 2 THEN -confidence ELSE 0.0e0 END nc FROM matches)",
+        f"an AS (SELECT *, {norm_a} name_std FROM place_a)",
+        f"an2 AS (SELECT *, {name_key('name_std')} nkey FROM an)",
+        f"bn AS (SELECT *, {norm_a} name_std FROM place_b)",
+        f"bn2 AS (SELECT *, {name_key('name_std')} nkey FROM bn)",
+        # dictionary contributions in processing order
+        f"""ev AS (
+  SELECT nkey, name_std, logoLocation logo, merchantId idc, 0 o_p, o_m, o_s, o_c, o_a, row_id rid
+  FROM (SELECT a.*, m.match_stage o_m, m.b_seq o_s, m.nc o_c, m.a_seq o_a,
+          row_number() OVER (PARTITION BY m.a_row_id ORDER BY m.match_stage, m.b_seq, m.nc, m.a_seq) rn
+        FROM mo m JOIN an2 a ON a.row_id = m.a_row_id) f WHERE rn = 1
+  UNION ALL
+  SELECT nkey, name_std, logoLocation, coalesce(merchantId, {name_uuid('name_std')}), 1, 0, seq, 0.0e0, 0, row_id
+  FROM an2 WHERE row_id NOT IN (SELECT a_row_id FROM matches)
+  UNION ALL
+  SELECT nkey, name_std, logoLocation, {name_uuid('name_std')}, 2, 0, seq, 0.0e0, 0, row_id
+  FROM bn2 WHERE row_id NOT IN (SELECT b_row_id FROM matches))""",
+        f"""evl AS (SELECT *, first_value(logo IGNORE NULLS) OVER (PARTITION BY nkey ORDER BY {_ORDER}
+  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) logo_so_far FROM ev WHERE name_std IS NOT NULL)""",
+        f"""dn AS (SELECT nkey, name_std canon_name FROM (SELECT *, row_number() OVER (PARTITION BY nkey ORDER BY {_ORDER}) rn
+  FROM evl) x WHERE rn = 1)""",
+        f"""di AS (SELECT nkey, idc canon_id FROM (SELECT *, row_number() OVER (PARTITION BY nkey ORDER BY {_ORDER}) rn
+  FROM evl WHERE idc IS NOT NULL) x WHERE rn = 1)""",
+        f"""dl AS (SELECT nkey, logo first_logo FROM (SELECT *, row_number() OVER (PARTITION BY nkey ORDER BY {_ORDER}) rn
+  FROM evl WHERE logo IS NOT NULL) x WHERE rn = 1)""",
+        "dict AS (SELECT dn.nkey, canon_name, canon_id, first_logo FROM dn LEFT JOIN di USING (nkey) LEFT JOIN dl USING (nkey))",
+        """merged AS (SELECT 'm:' || m.a_row_id || ':' || m.b_row_id uid, a.merchantId, a.name, a.address1,
+  a.latitude, a.longitude, a.city, a.territory, a.type,
+  greatest(coalesce(a.savingsPercentage, 0), coalesce(b.savingsPercentage, 0)) savingsPercentage,
+  a.logoLocation, a.source, a.sourceId, a.active, a.redeemType, a.denominationsType, 'merged' plusCode,
+  0 o_p, m.match_stage o_m, m.b_seq o_s, m.nc o_c, m.a_seq o_a
+  FROM mo m JOIN place_a a ON a.row_id = m.a_row_id JOIN place_b b ON b.row_id = m.b_row_id)""",
+        """una AS (SELECT 'a:' || a.row_id uid, d.canon_id merchantId, d.canon_name name, a.address1,
+  a.latitude, a.longitude, a.city, a.territory, a.type, a.savingsPercentage, e.logo_so_far logoLocation,
+  a.source, a.sourceId, a.active, a.redeemType, a.denominationsType, NULL::VARCHAR plusCode,
+  1 o_p, 0 o_m, a.seq o_s, 0.0e0 o_c, 0 o_a, a.merchantId orig_mid, a.nkey, a.row_id rid
+  FROM an2 a JOIN evl e ON e.o_p = 1 AND e.rid = a.row_id LEFT JOIN dict d ON d.nkey = a.nkey)""",
+        """unb AS (SELECT 'b:' || b.row_id uid, d.canon_id merchantId, d.canon_name name, b.address1,
+  b.latitude, b.longitude, b.city, b.territory, b.type, b.savingsPercentage, e.logo_so_far logoLocation,
+  b.source, b.sourceId, b.active, b.redeemType, b.denominationsType, NULL::VARCHAR plusCode,
+  2 o_p, 0 o_m, b.seq o_s, 0.0e0 o_c, 0 o_a, b.merchantId orig_mid, b.nkey, b.row_id rid
+  FROM bn2 b JOIN evl e ON e.o_p = 2 AND e.rid = b.row_id LEFT JOIN dict d ON d.nkey = b.nkey)""",
+        f"""ex AS (SELECT name c, uid, merchantId orig_mid,
+  row_number() OVER (PARTITION BY name ORDER BY {_ORDER}) i, count(*) OVER (PARTITION BY name) k
+  FROM (SELECT {_ROWCOLS} FROM merged WHERE type = 'online'
+        UNION ALL SELECT {_ROWCOLS} FROM una WHERE type = 'online') x)""",
+        """pb AS (SELECT name c, uid b_uid, rid, o_s seq, nkey, merchantId canon_id, savingsPercentage sav,
+  row_number() OVER (PARTITION BY name ORDER BY o_s) j,
+  first_value(uid) OVER (PARTITION BY name ORDER BY o_s) p1
+  FROM unb WHERE type = 'online')""",
+        "kc AS (SELECT c, max(k) k FROM ex GROUP BY c)",
+        """folds AS (SELECT pb.*, coalesce(kc.k, 0) kk,
+  CASE WHEN coalesce(kc.k, 0) > 0 THEN ex.uid WHEN pb.j > 1 THEN pb.p1 END target,
+  CASE WHEN coalesce(kc.k, 0) > 0 AND pb.j <= kc.k THEN ex.orig_mid ELSE pb.canon_id END link_mid
+  FROM pb LEFT JOIN kc ON kc.c = pb.c
+  LEFT JOIN ex ON ex.c = pb.c AND kc.k > 0 AND ex.i = ((pb.j - 1) % kc.k) + 1)""",
+        """fa AS (SELECT target uid, max(coalesce(sav, 0)) fsav, max(seq) last_seq, any_value(nkey) fkey
+  FROM folds WHERE target IS NOT NULL GROUP BY target)""",
+        """fl AS (SELECT fa.*, e.logo_so_far flogo, d.canon_name fname, d.canon_id fid
+  FROM fa JOIN evl e ON e.o_p = 2 AND e.o_s = fa.last_seq LEFT JOIN dict d ON d.nkey = fa.fkey)""",
+        f"""rowsu AS (SELECT {_ROWCOLS} FROM merged UNION ALL SELECT {_ROWCOLS} FROM una
+  UNION ALL SELECT {_ROWCOLS} FROM unb WHERE type IS NULL OR type <> 'online'
+  UNION ALL SELECT {_ROWCOLS} FROM unb WHERE type = 'online'
+    AND uid IN (SELECT b_uid FROM folds WHERE target IS NULL))""",
+        """places AS (SELECT r.uid,
+  CASE WHEN fl.uid IS NULL THEN r.merchantId ELSE fl.fid END merchantId,
+  CASE WHEN fl.uid IS NULL THEN r.name ELSE fl.fname END name,
+  r.address1, r.latitude, r.longitude, r.city, r.territory, r.type,
+  CASE WHEN fl.uid IS NULL THEN r.savingsPercentage ELSE greatest(coalesce(r.savingsPercentage, 0), fl.fsav) END savingsPercentage,
+  CASE WHEN fl.uid IS NULL THEN r.logoLocation ELSE fl.flogo END logoLocation,
+  r.source, r.sourceId, r.active, r.redeemType, r.denominationsType, r.plusCode,
+  CASE WHEN fl.uid IS NULL THEN r.o_p ELSE 2 END o_p, CASE WHEN fl.uid IS NULL THEN r.o_m ELSE 0 END o_m,
+  CASE WHEN fl.uid IS NULL THEN r.o_s ELSE fl.last_seq END o_s,
+  CASE WHEN fl.uid IS NULL THEN r.o_c ELSE 0.0e0 END o_c, CASE WHEN fl.uid IS NULL THEN r.o_a ELSE 0 END o_a
+  FROM rowsu r LEFT JOIN fl ON fl.uid = r.uid)""",
+        """writes AS (
+  SELECT a.merchantId mid, a.source provider, a.merchantId sourceId, a.active, a.redeemType,
+    a.savingsPercentage, a.denominationsType, 0 w_p, m.match_stage w_m, m.b_seq w_s, m.nc w_c, m.a_seq w_a, 0 w_t
+  FROM mo m JOIN place_a a ON a.row_id = m.a_row_id
+  UNION ALL
+  SELECT a.merchantId, b.source, b.merchantId, b.active, b.redeemType, b.savingsPercentage,
+    b.denominationsType, 0, m.match_stage, m.b_seq, m.nc, m.a_seq, 1
+  FROM mo m JOIN place_a a ON a.row_id = m.a_row_id JOIN place_b b ON b.row_id = m.b_row_id
+  UNION ALL
+  SELECT merchantId, source, orig_mid, active, redeemType, savingsPercentage, denominationsType, 1, 0, o_s, 0.0e0, 0, 0
+  FROM una
+  UNION ALL
+  SELECT coalesce(f.link_mid, u.merchantId), u.source, u.orig_mid, u.active, u.redeemType,
+    u.savingsPercentage, u.denominationsType, 2, 0, u.o_s, 0.0e0, 0, 0
+  FROM unb u LEFT JOIN folds f ON f.rid = u.rid)""",
+        """links AS (SELECT mid merchantId, provider, sourceId, active, redeemType, savingsPercentage, denominationsType
+  FROM (SELECT *, row_number() OVER (PARTITION BY mid, provider
+          ORDER BY w_p DESC, w_m DESC, w_s DESC, w_c DESC, w_a DESC, w_t DESC) rn
+        FROM writes WHERE mid IS NOT NULL AND provider IS NOT NULL) x WHERE rn = 1)""",
+        f"""dkeyed AS (SELECT p.*, concat_ws('|', coalesce(d.canon_name, p.n2),
+    coalesce(printf('%.4f', p.latitude), 'null'), coalesce(printf('%.4f', p.longitude), 'null'),
+    coalesce(p.type, 'null')) dedupe_key
+  FROM (SELECT *, {normalize('name')} n2 FROM places) p
+  LEFT JOIN dict d ON d.nkey = {name_key('p.n2')})""",
+        f"""dranked AS (SELECT *, row_number() OVER (PARTITION BY dedupe_key ORDER BY {_ORDER}) drn FROM dkeyed)""",
+    ]
+
+
+def sql_consolidate(select: str) -> str:
+    return with_(*PLACES, *match_ctes(PRODUCTION), *consolidate_ctes()) + select
+
+
+register("standardize_names", with_(*PLACES) +
+         f"SELECT source, row_id, name_std, {name_key('name_std')} AS name_key FROM "
+         f"(SELECT source, row_id, {normalize('name')} AS name_std FROM "
+         f"(SELECT source, row_id, name FROM place_a UNION ALL SELECT source, row_id, name FROM place_b) u) n")
+register("brand_dictionary", sql_consolidate(
+    "SELECT nkey AS name_key, canon_name, canon_id, first_logo FROM dict"))
+register("merged_places", sql_consolidate(
+    "SELECT uid, merchantId, name, savingsPercentage, plusCode, logoLocation FROM merged"))
+register("unmatched_a", sql_consolidate(
+    "SELECT uid, merchantId, name, logoLocation, savingsPercentage FROM una"))
+register("unmatched_b", sql_consolidate(
+    "SELECT uid, merchantId, name, logoLocation, savingsPercentage FROM unb"))
+register("online_fold", sql_consolidate(
+    "SELECT rid AS b_row_id, j, kk AS k, target AS target_uid, link_mid AS link_merchantId FROM folds"))
+register("combine_feeds", sql_consolidate(
+    "SELECT uid, merchantId, name, address1, round(latitude, 6) AS latitude, round(longitude, 6) AS longitude, "
+    "type, savingsPercentage, logoLocation, source, sourceId, plusCode FROM places"))
+register("provider_links", sql_consolidate("SELECT * FROM links"))
+register("dedupe_places", sql_consolidate("SELECT uid, dedupe_key FROM dranked WHERE drn = 1"))
+register("dropped_duplicates", sql_consolidate("SELECT uid, dedupe_key FROM dranked WHERE drn > 1"))

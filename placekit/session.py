@@ -62,3 +62,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
+
+
+def materialize(df):
+    """Cut lineage: reliable checkpoint into the shared checkpoint folder.
+
+    Used for tables that several later stages read (the match pairs, the
+    brand dictionary), so their plans are computed once and survive lost
+    executors.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -73,6 +73,22 @@ def state_from_text(state) -> Column:
     return F.coalesce(_lookup(STATE_NAMES, _clean_state(s)), s)
 
 
+def region_compare_form(c) -> Column:
+    """Per-row form for the city/state rules: lower-cased trimmed value, null when blank."""
+    c = col(c)
+    return F.when(is_blank(c), F.lit(None).cast("string")).otherwise(F.lower(utrim(c)))
+
+
+def zip_compare_form(c) -> Column:
+    """Per-row form for the zip rule: first five characters, null when blank."""
+    c = col(c)
+    return F.when(is_blank(c), F.lit(None).cast("string")).otherwise(F.left(utrim(c), F.lit(5)))
+
+
+def forms_equal(a, b) -> Column:
+    return F.coalesce(col(a) == col(b), F.lit(False))
+
+
 def _same_lower_trim(a: Column, b: Column) -> Column:
     return F.coalesce(~is_blank(a) & ~is_blank(b)
                       & (F.lower(utrim(a)) == F.lower(utrim(b))), F.lit(False))

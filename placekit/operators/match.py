@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from placekit.functions.address import street_compare_form
 from placekit.functions.geo import coordinate_cell, coordinate_score, haversine_miles
 from placekit.functions.names import name_compare_form, similarity_of_forms
-from placekit.functions.regions import city_equal, state_equal, zip_equal
+from placekit.functions.regions import forms_equal, region_compare_form, zip_compare_form
 from placekit.functions.scoring import confidence, reachable_radius
 from placekit.operators.geo_join import radius_join
 
@@ -71,12 +71,17 @@ def _side(df: DataFrame, prefix: str, params: MatchParams) -> DataFrame:
         cols.append(name_compare_form("name").alias(f"{prefix}name_cmp"))
     if params.include_address and params.geo_ignored:
         cols.append(street_compare_form("address1").alias(f"{prefix}street_cmp"))
+    if not params.ignore_city:
+        cols.append(region_compare_form("city").alias(f"{prefix}city_cmp"))
+    if not params.ignore_state:
+        cols.append(region_compare_form("territory").alias(f"{prefix}state_cmp"))
+    if not params.ignore_zip:
+        cols.append(zip_compare_form(params.zip_column).alias(f"{prefix}zip_cmp"))
     return df.select(*cols)
 
 
 def _score(pairs: DataFrame, params: MatchParams) -> DataFrame:
     """Add name/street similarity and confidence; apply both thresholds."""
-    z = params.zip_column
     if params.ignore_name:
         pairs = pairs.withColumn("name_similarity", F.lit(0.0))
     elif "name_similarity" not in pairs.columns:
@@ -87,9 +92,12 @@ def _score(pairs: DataFrame, params: MatchParams) -> DataFrame:
         street = F.lit(0.0)
     pairs = (pairs.withColumn("address_similarity", street)
                   .withColumn("_coord", coordinate_score("distance_miles")))
+    no = F.lit(False)
     conf = confidence("distance_miles", "name_similarity", "address_similarity",
-                      city_equal("b_city", "a_city"), state_equal("b_territory", "a_territory"),
-                      zip_equal(f"b_{z}", f"a_{z}"), params, coord_score="_coord")
+                      no if params.ignore_city else forms_equal("b_city_cmp", "a_city_cmp"),
+                      no if params.ignore_state else forms_equal("b_state_cmp", "a_state_cmp"),
+                      no if params.ignore_zip else forms_equal("b_zip_cmp", "a_zip_cmp"),
+                      params, coord_score="_coord")
     pairs = pairs.withColumn("confidence", conf).drop("_coord")
     keep = F.col("confidence") >= F.lit(params.min_confidence)
     if not params.ignore_name:

@@ -158,3 +158,119 @@ def q_dedupe_places(spark, sf_dir):
 def q_dropped_duplicates(spark, sf_dir):
     r = combined(spark, sf_dir)[2]
     return C.dropped_duplicates(r.places, r.dictionary).select("uid", "dedupe_key")
+
+
+# ------------------------------------------------------------ reports
+
+from placekit.operators import report as R  # noqa: E402
+
+
+def _desktop(spark, sf_dir):
+    a, b = feeds(spark, sf_dir)
+    a, b = R.valid_coordinates(a), R.valid_coordinates(b)
+    return a, b, M.match_places(a, b, M.DESKTOP)
+
+
+def _report_out(rep):
+    return rep.select("match_type", r6("confidence_score").alias("confidence_score"),
+                      "b_name", "b_address", "b_city", "b_state", r6("b_lat").alias("b_lat"),
+                      r6("b_lon").alias("b_lon"), "a_name", "a_address", "a_city", "a_territory",
+                      r6("a_lat").alias("a_lat"), r6("a_lon").alias("a_lon"),
+                      r6("distance_miles").alias("distance_miles"),
+                      r6("name_similarity").alias("name_similarity"),
+                      r6("address_similarity").alias("address_similarity"),
+                      "city_match", "state_match", "zip_match", "match_reasons", "geographic_warning",
+                      "b_row_id", "a_row_id")
+
+
+@query("comparison_report")
+def q_comparison_report(spark, sf_dir):
+    a, b, m = _desktop(spark, sf_dir)
+    return _report_out(R.comparison_report(a, b, m))
+
+
+@query("match_tier_summary")
+def q_match_tier_summary(spark, sf_dir):
+    a, b, m = _desktop(spark, sf_dir)
+    return R.match_tier_summary(R.comparison_report(a, b, m))
+
+
+@query("top_matches_sample")
+def q_top_matches_sample(spark, sf_dir):
+    a, b, m = _desktop(spark, sf_dir)
+    t = R.top_matches_sample(a, b, m)
+    return t.select("b_name", "a_name", r6("distance_miles").alias("distance_miles"),
+                    r6("confidence").alias("confidence"), "b_row_id", "a_row_id")
+
+
+@query("valid_coordinate_profile")
+def q_valid_coordinate_profile(spark, sf_dir):
+    a, b = feeds(spark, sf_dir)
+    return R.valid_coordinate_profile({"A": a, "B": b})
+
+
+def _dups(spark, sf_dir):
+    a, b, r = combined(spark, sf_dir)
+    return R.duplicates_table(a, b, r.matches)
+
+
+def _r6_all(df):
+    return df.select(*[r6(c).alias(c) if dict(df.dtypes)[c] == "double" else F.col(c) for c in df.columns])
+
+
+@query("duplicates_table")
+def q_duplicates_table(spark, sf_dir):
+    return _r6_all(_dups(spark, sf_dir))
+
+
+@query("mismatched_duplicate_names")
+def q_mismatched_duplicate_names(spark, sf_dir):
+    return _r6_all(R.mismatched_duplicate_names(_dups(spark, sf_dir)))
+
+
+@query("mismatched_duplicate_streets")
+def q_mismatched_duplicate_streets(spark, sf_dir):
+    return _r6_all(R.mismatched_duplicate_names(_dups(spark, sf_dir), with_streets=True))
+
+
+@query("sync_report")
+def q_sync_report(spark, sf_dir):
+    r = combined(spark, sf_dir)[2]
+    return R.sync_report(r.places, r.links, r.matches)
+
+
+def _provider_archive(spark, sf_dir):
+    a, b = feeds(spark, sf_dir)
+    return R.archive(a).unionByName(R.archive(b))
+
+
+def _final_archive(spark, sf_dir):
+    return R.archive(combined(spark, sf_dir)[2].places)
+
+
+@query("provider_archive")
+def q_provider_archive(spark, sf_dir):
+    return _r6_all(_provider_archive(spark, sf_dir))
+
+
+@query("final_archive")
+def q_final_archive(spark, sf_dir):
+    return _r6_all(_final_archive(spark, sf_dir))
+
+
+@query("count_source_places")
+def q_count_source_places(spark, sf_dir):
+    return _provider_archive(spark, sf_dir).filter(F.col("source") == "A").agg(F.count("*").alias("n"))
+
+
+@query("online_offers_by_savings")
+def q_online_offers_by_savings(spark, sf_dir):
+    f = _final_archive(spark, sf_dir)
+    return (f.filter((F.col("source") == "B") & (F.col("address1") == "online"))
+             .select("name", "savingsPercentage").orderBy("savingsPercentage"))
+
+
+@query("distinct_source_names")
+def q_distinct_source_names(spark, sf_dir):
+    return (_provider_archive(spark, sf_dir).filter(F.col("name").isNotNull())
+            .select("source", "name").distinct())

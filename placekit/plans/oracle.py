@@ -410,3 +410,111 @@ register("combine_feeds", sql_consolidate(
 register("provider_links", sql_consolidate("SELECT * FROM links"))
 register("dedupe_places", sql_consolidate("SELECT uid, dedupe_key FROM dranked WHERE drn = 1"))
 register("dropped_duplicates", sql_consolidate("SELECT uid, dedupe_key FROM dranked WHERE drn > 1"))
+
+
+# ---------------------------------------------------------------- reports
+
+from placekit.operators.match import DESKTOP  # noqa: E402
+
+_VALID = [
+    "va AS (SELECT * FROM place_a WHERE latitude IS NOT NULL AND longitude IS NOT NULL)",
+    "vb AS (SELECT * FROM place_b WHERE latitude IS NOT NULL AND longitude IS NOT NULL)",
+]
+
+
+def _desktop_ctes() -> list[str]:
+    # the matcher CTEs read place_a/place_b; point them at the valid-coordinate rows
+    ctes = [c.replace("FROM place_b", "FROM vb").replace("FROM place_a", "FROM va") for c in match_ctes(DESKTOP)]
+    return [*PLACES, *_VALID, *ctes]
+
+
+_TIER = ("CASE WHEN confidence >= 0.9e0 THEN 'HIGH_CONFIDENCE_DUPLICATE' WHEN confidence >= 0.7e0 "
+         "THEN 'MEDIUM_CONFIDENCE_DUPLICATE' WHEN confidence >= 0.5e0 THEN 'LOW_CONFIDENCE_DUPLICATE' "
+         "ELSE 'POTENTIAL_MATCH' END")
+
+REPORT = f"""report AS (
+  SELECT {_TIER} match_type, confidence confidence_score,
+    b.name b_name, b.address1 b_address, b.city b_city, b.territory b_state, b.latitude b_lat, b.longitude b_lon,
+    a.name a_name, a.address1 a_address, a.city a_city, a.territory a_territory, a.latitude a_lat, a.longitude a_lon,
+    distance_miles, name_similarity, address_similarity, city_match, state_match, true zip_match,
+    reasons match_reasons, geographic_warning, m.b_row_id, m.a_row_id
+  FROM matches m JOIN vb b ON b.row_id = m.b_row_id JOIN va a ON a.row_id = m.a_row_id
+  UNION ALL
+  SELECT 'B_UNIQUE', 0.0e0, name, address1, city, territory, latitude, longitude,
+    NULL, NULL, NULL, NULL, NULL::DOUBLE, NULL::DOUBLE, NULL::DOUBLE, NULL::DOUBLE, NULL::DOUBLE,
+    false, false, false, NULL, '', row_id, NULL::BIGINT
+  FROM vb WHERE row_id NOT IN (SELECT b_row_id FROM matches WHERE confidence >= 0.5e0)
+  UNION ALL
+  SELECT 'A_UNIQUE', 0.0e0, NULL, NULL, NULL, NULL, NULL::DOUBLE, NULL::DOUBLE,
+    name, address1, city, territory, latitude, longitude, NULL::DOUBLE, NULL::DOUBLE, NULL::DOUBLE,
+    false, false, false, NULL, '', NULL::BIGINT, row_id
+  FROM va WHERE row_id NOT IN (SELECT a_row_id FROM matches WHERE confidence >= 0.5e0))"""
+
+_REPORT_OUT = ", ".join(
+    (r6(c) + " AS " + c) if c in ("confidence_score", "b_lat", "b_lon", "a_lat", "a_lon", "distance_miles",
+                                 "name_similarity", "address_similarity") else c
+    for c in ["match_type", "confidence_score", "b_name", "b_address", "b_city", "b_state", "b_lat", "b_lon",
+              "a_name", "a_address", "a_city", "a_territory", "a_lat", "a_lon", "distance_miles",
+              "name_similarity", "address_similarity", "city_match", "state_match", "zip_match",
+              "match_reasons", "geographic_warning", "b_row_id", "a_row_id"])
+
+register("comparison_report", with_(*_desktop_ctes(), REPORT) + f"SELECT {_REPORT_OUT} FROM report")
+register("match_tier_summary", with_(*_desktop_ctes(), REPORT) +
+         "SELECT count_if(match_type = 'HIGH_CONFIDENCE_DUPLICATE') high_confidence_duplicate, "
+         "count_if(match_type = 'MEDIUM_CONFIDENCE_DUPLICATE') medium_confidence_duplicate, "
+         "count_if(match_type = 'LOW_CONFIDENCE_DUPLICATE') low_confidence_duplicate, "
+         "count_if(match_type = 'POTENTIAL_MATCH') potential_match, "
+         "count_if(match_type = 'B_UNIQUE') unique_b, count_if(match_type = 'A_UNIQUE') unique_a FROM report")
+register("top_matches_sample", with_(*_desktop_ctes()) +
+         "SELECT b.name b_name, a.name a_name, round(distance_miles, 6) distance_miles, "
+         "round(confidence, 6) confidence, m.b_row_id, m.a_row_id FROM matches m "
+         "JOIN vb b ON b.row_id = m.b_row_id JOIN va a ON a.row_id = m.a_row_id "
+         "WHERE confidence >= 0.9e0 ORDER BY match_stage, m.b_seq, "
+         "CASE WHEN match_stage = 2 THEN -confidence ELSE 0.0e0 END, m.a_seq LIMIT 3")
+register("valid_coordinate_profile", with_(*PLACES) +
+         "SELECT 'A' feed, count_if(latitude IS NOT NULL AND longitude IS NOT NULL) valid_rows, count(*) total_rows "
+         "FROM place_a UNION ALL SELECT 'B', count_if(latitude IS NOT NULL AND longitude IS NOT NULL), count(*) "
+         "FROM place_b")
+
+_DUP_A = ["merchantId", "name", "address1", "address2", "address3", "address4", "latitude", "longitude",
+          "website", "phone", "territory", "city", "source", "sourceId"]
+_DUP_B = ["merchantId", "name", "address1", "address2", "address3", "address4", "latitude", "longitude",
+          "territory", "city", "source", "sourceId"]
+_ABSENT = {"address2", "address3", "address4", "website", "phone"}
+
+
+def _dup_col(alias: str, c: str, prefix: str) -> str:
+    if c in _ABSENT:
+        return f"NULL::VARCHAR AS {prefix}{c}"
+    if c in ("latitude", "longitude"):
+        return f"round({alias}.{c}, 6) AS {prefix}{c}"
+    return f"{alias}.{c} AS {prefix}{c}"
+
+
+DUPS = ("dups AS (SELECT " + ", ".join([_dup_col("a", c, "A_") for c in _DUP_A] +
+                                      [_dup_col("b", c, "B_") for c in _DUP_B]) +
+        " FROM matches m JOIN place_a a ON a.row_id = m.a_row_id JOIN place_b b ON b.row_id = m.b_row_id)")
+
+register("duplicates_table", with_(*PLACES, *match_ctes(PRODUCTION), DUPS) + "SELECT * FROM dups")
+register("mismatched_duplicate_names", with_(*PLACES, *match_ctes(PRODUCTION), DUPS) +
+         "SELECT A_name, A_latitude, A_longitude, B_name, B_latitude, B_longitude FROM dups WHERE A_name <> B_name")
+register("mismatched_duplicate_streets", with_(*PLACES, *match_ctes(PRODUCTION), DUPS) +
+         "SELECT A_name, A_address1, A_latitude, A_longitude, B_name, B_address1, B_latitude, B_longitude "
+         "FROM dups WHERE A_name <> B_name")
+register("sync_report", sql_consolidate(
+    "SELECT (SELECT count(DISTINCT merchantId) FROM links) total_merchants, "
+    "(SELECT count(*) FROM places) total_locations, (SELECT count(*) FROM matches) merged_locations"))
+
+_ARCH = ("merchantId, CASE WHEN active THEN 1 ELSE 0 END active, name, address1, NULL::VARCHAR address2, "
+         "NULL::VARCHAR address3, NULL::VARCHAR address4, round(latitude, 6) latitude, round(longitude, 6) longitude, "
+         "NULL::VARCHAR website, NULL::VARCHAR phone, territory, city, source, sourceId, type, redeemType, "
+         "CAST(savingsPercentage AS INTEGER) savingsPercentage, denominationsType")
+_PROV = f"prov AS (SELECT {_ARCH} FROM place_a UNION ALL SELECT {_ARCH} FROM place_b)"
+register("provider_archive", with_(*PLACES, _PROV) + "SELECT * FROM prov")
+register("final_archive", sql_consolidate(f"SELECT {_ARCH} FROM places"))
+register("count_source_places", with_(*PLACES, _PROV) + "SELECT count(*) n FROM prov WHERE source = 'A'")
+register("online_offers_by_savings", sql_consolidate(
+    f"SELECT name, savingsPercentage FROM (SELECT {_ARCH} FROM places) f "
+    "WHERE source = 'B' AND address1 = 'online' ORDER BY savingsPercentage"))
+register("distinct_source_names", with_(*PLACES, _PROV) +
+         "SELECT DISTINCT source, name FROM prov WHERE name IS NOT NULL")

@@ -274,3 +274,57 @@ def q_online_offers_by_savings(spark, sf_dir):
 def q_distinct_source_names(spark, sf_dir):
     return (_provider_archive(spark, sf_dir).filter(F.col("name").isNotNull())
             .select("source", "name").distinct())
+
+
+# ------------------------------------------------------------ snapshot changes
+
+from placekit.operators import changes as CH  # noqa: E402
+
+SNAPSHOT_TODAY = "1998-08-02"
+
+
+def _tag(df, **tags):
+    return df.select(*[F.lit(v).alias(k) for k, v in tags.items()], *df.columns)
+
+
+@query("keyed_diff")
+def q_keyed_diff(spark, sf_dir):
+    prev, curr = fx.brand_names(spark, sf_dir, False), fx.brand_names(spark, sf_dir, True)
+    d = CH.keyed_diff(prev, curr, F.lower(F.col("name")))
+    return _tag(d.new, kind="new").unionByName(_tag(d.removed, kind="removed"))
+
+
+@query("new_removed_brands")
+def q_new_removed_brands(spark, sf_dir):
+    prev, curr = fx.brand_names(spark, sf_dir, False), fx.brand_names(spark, sf_dir, True)
+    out = None
+    for rule, normalized in (("verbatim", False), ("normalized", True)):
+        d = CH.new_removed_brands(prev, curr, normalized)
+        part = _tag(d.new, rule=rule, kind="new").unionByName(_tag(d.removed, rule=rule, kind="removed"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("diff_by_strategy")
+def q_diff_by_strategy(spark, sf_dir):
+    prev, curr = fx.place_snapshot(spark, sf_dir, False), fx.place_snapshot(spark, sf_dir, True)
+    out = None
+    for strategy in ("merchantId", "name", "location", "composite", "all"):
+        d = CH.diff_by_strategy(prev, curr, strategy)
+        part = (_tag(d.new.select("row_id"), strategy=strategy, kind="new")
+                .unionByName(_tag(d.removed.select("row_id"), strategy=strategy, kind="removed")))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("latest_snapshot")
+def q_latest_snapshot(spark, sf_dir):
+    s = CH.latest_snapshot(fx.snapshot_names(spark, sf_dir), SNAPSHOT_TODAY)
+    return s.select("mode", "name", F.date_format("snapshot_date", "yyyy-MM-dd").alias("snapshot_date"))
+
+
+@query("content_fingerprint")
+def q_content_fingerprint(spark, sf_dir):
+    links = combined(spark, sf_dir)[2].links
+    return CH.content_fingerprint(links).select(
+        "row_count", "hash_xor", F.col("hash_sum").cast("string").alias("hash_sum"))

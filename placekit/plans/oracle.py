@@ -518,3 +518,74 @@ register("online_offers_by_savings", sql_consolidate(
     "WHERE source = 'B' AND address1 = 'online' ORDER BY savingsPercentage"))
 register("distinct_source_names", with_(*PLACES, _PROV) +
          "SELECT DISTINCT source, name FROM prov WHERE name IS NOT NULL")
+
+
+# ---------------------------------------------------------------- snapshot changes
+
+def _names(current: bool) -> str:
+    base = "concat_ws(' ', p_name, p_brand, CAST(p_partkey AS VARCHAR))"
+    if current:
+        return (f"curr_names AS (SELECT CASE WHEN p_partkey % 6 = 0 THEN {base} || ' USA' ELSE {base} END name "
+                f"FROM part WHERE p_partkey % 13 <> 0)")
+    return f"prev_names AS (SELECT {base} name FROM part WHERE p_partkey % 11 <> 0)"
+
+
+NAMES = [_names(False), _names(True)]
+
+register("keyed_diff", with_(*NAMES) +
+         "SELECT 'new' kind, name FROM curr_names WHERE lower(name) NOT IN (SELECT lower(name) FROM prev_names) "
+         "UNION ALL SELECT 'removed', name FROM prev_names WHERE lower(name) NOT IN (SELECT lower(name) FROM curr_names)")
+
+_PN = "pn AS (SELECT DISTINCT name FROM prev_names WHERE name IS NOT NULL)"
+_CN = "cn AS (SELECT DISTINCT name FROM curr_names WHERE name IS NOT NULL)"
+register("new_removed_brands", with_(*NAMES, _PN, _CN) +
+         "SELECT 'verbatim' rule, 'new' kind, name FROM cn WHERE name NOT IN (SELECT name FROM pn) "
+         "UNION ALL SELECT 'verbatim', 'removed', name FROM pn WHERE name NOT IN (SELECT name FROM cn) "
+         f"UNION ALL SELECT 'normalized', 'new', name FROM cn WHERE {normalize('name')} NOT IN "
+         f"(SELECT {normalize('name')} FROM pn) "
+         f"UNION ALL SELECT 'normalized', 'removed', name FROM pn WHERE {normalize('name')} NOT IN "
+         f"(SELECT {normalize('name')} FROM cn)")
+
+_SNAP = [
+    "prev_p AS (SELECT row_id, merchantId, name, latitude, longitude, type FROM place_a WHERE row_id % 11 <> 0)",
+    "curr_p AS (SELECT row_id, merchantId, CASE WHEN row_id % 6 = 0 THEN upper(name) ELSE name END name, "
+    "CASE WHEN row_id % 5 = 0 THEN latitude + 0.00001e0 ELSE latitude END latitude, longitude, type "
+    "FROM place_a WHERE row_id % 13 <> 0)",
+]
+_KEYS = {
+    "merchantId": "merchantId",
+    "name": utrim("lower(name)"),
+    "location": "coalesce(CAST(latitude AS VARCHAR), 'null') || '_' || coalesce(CAST(longitude AS VARCHAR), 'null')",
+    "composite": (f"coalesce({utrim('lower(name)')}, 'null') || '_' || coalesce(printf('%.4f', latitude), 'null') "
+                  "|| '_' || coalesce(printf('%.4f', longitude), 'null')"),
+}
+_parts = []
+for _s, _k in _KEYS.items():
+    _parts.append(f"SELECT '{_s}' strategy, 'new' kind, row_id FROM curr_p WHERE {_k} IS NOT NULL "
+                  f"AND {_k} NOT IN (SELECT {_k} FROM prev_p WHERE {_k} IS NOT NULL)")
+    _parts.append(f"SELECT '{_s}', 'removed', row_id FROM prev_p WHERE {_k} IS NOT NULL "
+                  f"AND {_k} NOT IN (SELECT {_k} FROM curr_p WHERE {_k} IS NOT NULL)")
+_parts.append("SELECT 'all', 'new', c.row_id FROM curr_p c WHERE NOT EXISTS (SELECT 1 FROM prev_p p WHERE "
+              "p.row_id IS NOT DISTINCT FROM c.row_id AND p.merchantId IS NOT DISTINCT FROM c.merchantId AND "
+              "p.name IS NOT DISTINCT FROM c.name AND p.latitude IS NOT DISTINCT FROM c.latitude AND "
+              "p.longitude IS NOT DISTINCT FROM c.longitude AND p.type IS NOT DISTINCT FROM c.type)")
+_parts.append("SELECT 'all', 'removed', p.row_id FROM prev_p p WHERE NOT EXISTS (SELECT 1 FROM curr_p c WHERE "
+              "p.row_id IS NOT DISTINCT FROM c.row_id AND p.merchantId IS NOT DISTINCT FROM c.merchantId AND "
+              "p.name IS NOT DISTINCT FROM c.name AND p.latitude IS NOT DISTINCT FROM c.latitude AND "
+              "p.longitude IS NOT DISTINCT FROM c.longitude AND p.type IS NOT DISTINCT FROM c.type)")
+register("diff_by_strategy", with_(*PLACES, *_SNAP) + " UNION ALL ".join(_parts))
+
+register("latest_snapshot", with_(
+    "snaps AS (SELECT DISTINCT 'locations-' || CASE o_orderkey % 3 WHEN 0 THEN 'TESTNET' WHEN 1 THEN 'PRODUCTION' "
+    "ELSE 'DEVNET' END || '-' || CASE WHEN o_orderkey % 50 = 0 THEN '2001-13-45' "
+    "ELSE strftime(o_orderdate, '%Y-%m-%d') END || '.db' name FROM orders)",
+    "parsed AS (SELECT name, regexp_extract(name, '^locations-([A-Z]+)-', 1) mode, "
+    "try_strptime(regexp_extract(name, '(\\d{4}-\\d{2}-\\d{2})\\.db$', 1), '%Y-%m-%d')::DATE d FROM snaps)") +
+    "SELECT mode, arg_max(name, d) name, strftime(max(d), '%Y-%m-%d') snapshot_date FROM parsed "
+    "WHERE d IS NOT NULL AND d <> DATE '1998-08-02' GROUP BY mode")
+
+_FP_COLS = ["merchantId", "provider", "sourceId", "active", "redeemType", "savingsPercentage", "denominationsType"]
+_FP_TEXT = "concat_ws(chr(31), " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), chr(0))" for c in _FP_COLS) + ")"
+register("content_fingerprint", sql_consolidate(
+    f"SELECT count(*) row_count, coalesce(bit_xor(h), 0) hash_xor, CAST(coalesce(sum(h::HUGEINT), 0) AS VARCHAR) hash_sum "
+    f"FROM (SELECT ('0x' || substr(sha256({_FP_TEXT}), 1, 12))::BIGINT h FROM links) x"))

@@ -119,3 +119,41 @@ def place_b(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("logo-b-"), k.cast("string")).alias("logoLocation"),
         *_b_common(k))
     return physical.unionByName(online)
+
+
+def brand_names(spark: SparkSession, sf_dir: str, current: bool) -> DataFrame:
+    """Brand-name lists of two runs: previous (``p % 11 <> 0``) and current
+    (``p % 13 <> 0``, with ' USA' appended when ``p % 6 = 0``)."""
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand")
+    k = F.col("p_partkey")
+    name = F.concat_ws(" ", "p_name", "p_brand", k.cast("string"))
+    if current:
+        return p.filter(k % 13 != 0).select(
+            F.when(k % 6 == 0, F.concat(name, F.lit(" USA"))).otherwise(name).alias("name"))
+    return p.filter(k % 11 != 0).select(name.alias("name"))
+
+
+def place_snapshot(spark: SparkSession, sf_dir: str, current: bool) -> DataFrame:
+    """Two snapshots of feed A: previous keeps ``k % 11 <> 0``; current keeps
+    ``k % 13 <> 0``, upper-cases names when ``k % 6 = 0`` and moves the
+    latitude by 0.00001 when ``k % 5 = 0``."""
+    a = place_a(spark, sf_dir).select("row_id", "merchantId", "name", "latitude", "longitude", "type")
+    k = F.col("row_id")
+    if not current:
+        return a.filter(k % 11 != 0)
+    return (a.filter(k % 13 != 0)
+             .withColumn("name", F.when(k % 6 == 0, F.upper("name")).otherwise(F.col("name")))
+             .withColumn("latitude", F.when(k % 5 == 0, F.col("latitude") + F.lit(0.00001))
+                         .otherwise(F.col("latitude"))))
+
+
+SNAPSHOT_MODES = ["TESTNET", "PRODUCTION", "DEVNET"]
+
+
+def snapshot_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of archived snapshots, one per (mode, order date)."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    k = F.col("o_orderkey")
+    date = F.when(k % 50 == 0, F.lit("2001-13-45")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+    return o.select(F.concat(F.lit("locations-"), _pick(k % 3, SNAPSHOT_MODES), F.lit("-"), date,
+                             F.lit(".db")).alias("name")).distinct()

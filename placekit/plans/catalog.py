@@ -328,3 +328,105 @@ def q_content_fingerprint(spark, sf_dir):
     links = combined(spark, sf_dir)[2].links
     return CH.content_fingerprint(links).select(
         "row_count", "hash_xor", F.col("hash_sum").cast("string").alias("hash_sum"))
+
+
+# ------------------------------------------------------------ feed assembly
+
+from placekit.sources import feeds as FD  # noqa: E402
+
+
+def _registry(spark, sf_dir):
+    return FD.feed_a_brand_registry(fx.raw_brand_a(spark, sf_dir))
+
+
+@query("feed_a_brand_registry")
+def q_feed_a_brand_registry(spark, sf_dir):
+    r = _registry(spark, sf_dir)
+    cols = ["id", "name", "type", "savingsPercentage", "seq", "enabled"]
+    return _tag(r.enabled.select(*cols), status="enabled").unionByName(
+        _tag(r.disabled.select(*cols), status="disabled"))
+
+
+@query("feed_a_places")
+def q_feed_a_places(spark, sf_dir):
+    p = FD.feed_a_places(_registry(spark, sf_dir).enabled, fx.raw_location_a(spark, sf_dir))
+    return p.select("row_id", "merchantId", "name", "address1", r6("latitude").alias("latitude"),
+                    r6("longitude").alias("longitude"), "territory", "city", "type", "savingsPercentage",
+                    "logoLocation", "source", "sourceId")
+
+
+@query("feed_a_orphan_locations")
+def q_feed_a_orphan_locations(spark, sf_dir):
+    return FD.feed_a_orphan_locations(_registry(spark, sf_dir).enabled, fx.raw_location_a(spark, sf_dir))
+
+
+@query("feed_a_rejects")
+def q_feed_a_rejects(spark, sf_dir):
+    return FD.feed_a_rejects(_registry(spark, sf_dir).enabled, fx.raw_location_a(spark, sf_dir))
+
+
+def _offers(spark, sf_dir):
+    return FD.offer_blocklist(fx.raw_offer_b(spark, sf_dir), fx.TEST_OFFER_BLOCKLIST)
+
+
+@query("offer_blocklist")
+def q_offer_blocklist(spark, sf_dir):
+    return _offers(spark, sf_dir).select("brand_id", "seq.l_orderkey", "seq.l_linenumber", "seq.l_suppkey", "name")
+
+
+@query("offer_selection")
+def q_offer_selection(spark, sf_dir):
+    s = FD.offer_selection(_offers(spark, sf_dir))
+    return s.select("brand_id", "name", "price_type", r6("discount_percentage").alias("discount_percentage"),
+                    "image", "offers")
+
+
+@query("offer_savings")
+def q_offer_savings(spark, sf_dir):
+    s = FD.offer_savings(FD.offer_selection(_offers(spark, sf_dir)))
+    return s.select("brand_id", "savingsPercentage", "denominationsType")
+
+
+def _feed_b(spark, sf_dir):
+    return FD.feed_b(fx.raw_brand_b(spark, sf_dir), fx.raw_offer_b(spark, sf_dir),
+                     fx.raw_location_b(spark, sf_dir), blocklist=fx.TEST_OFFER_BLOCKLIST)
+
+
+@query("feed_b_places")
+def q_feed_b_places(spark, sf_dir):
+    p = _feed_b(spark, sf_dir).places
+    return p.select("row_id", "merchantId", "name", "address1", r6("latitude").alias("latitude"),
+                    r6("longitude").alias("longitude"), "territory", "city", "type", "savingsPercentage",
+                    "logoLocation", "denominationsType", "website")
+
+
+@query("feed_b_rejects")
+def q_feed_b_rejects(spark, sf_dir):
+    return _feed_b(spark, sf_dir).rejected_locations
+
+
+@query("feed_b_rejected_brands")
+def q_feed_b_rejected_brands(spark, sf_dir):
+    return _feed_b(spark, sf_dir).rejected_brands
+
+
+def _feed_c(spark, sf_dir):
+    return FD.feed_c_places(fx.raw_sheet_c(spark, sf_dir))
+
+
+@query("feed_c_places")
+def q_feed_c_places(spark, sf_dir):
+    return _feed_c(spark, sf_dir).select("row_key", "merchantId", "active", "name", "address1",
+                                         r6("latitude").alias("latitude"), r6("longitude").alias("longitude"),
+                                         "territory", "sourceId", "type", "paymentMethod", "logoLocation",
+                                         "redeemType", "source")
+
+
+@query("feed_c_stats")
+def q_feed_c_stats(spark, sf_dir):
+    return FD.feed_c_stats(_feed_c(spark, sf_dir))
+
+
+@query("kiosk_places")
+def q_kiosk_places(spark, sf_dir):
+    return _r6_all(FD.kiosk_places(fx.raw_kiosk(spark, sf_dir)))

@@ -589,3 +589,191 @@ _FP_TEXT = "concat_ws(chr(31), " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), ch
 register("content_fingerprint", sql_consolidate(
     f"SELECT count(*) row_count, coalesce(bit_xor(h), 0) hash_xor, CAST(coalesce(sum(h::HUGEINT), 0) AS VARCHAR) hash_sum "
     f"FROM (SELECT ('0x' || substr(sha256({_FP_TEXT}), 1, 12))::BIGINT h FROM links) x"))
+
+
+# ---------------------------------------------------------------- feed assembly
+
+RAW_BRAND_A = """raw_brand_a AS (
+  SELECT p_partkey * 2 seq, CAST(p_partkey AS VARCHAR) id, p_name name, p_partkey % 13 <> 0 enabled,
+    CASE WHEN p_size % 10 = 0 THEN 'unknown' WHEN p_size % 2 = 1 THEN 'physical' ELSE 'online' END type,
+    CAST(trunc(p_retailprice)::BIGINT % 2000 AS INTEGER) savingsPercentage,
+    'logo-' || p_partkey logoUrl, 'site-' || p_partkey website, 'barcode' redeemType, 'fixed' denominationsType
+  FROM part
+  UNION ALL
+  SELECT p_partkey * 2 + 1, CAST(p_partkey AS VARCHAR), upper(p_name), p_partkey % 2 = 0, 'online', 100,
+    'logo-' || p_partkey, 'site-' || p_partkey, 'barcode', 'fixed'
+  FROM part WHERE p_partkey % 17 = 0)"""
+
+_TERR = ("CASE {k} % 5 WHEN 0 THEN 'NY' WHEN 1 THEN ' Hawaii' WHEN 2 THEN 'New,Hampshire ' "
+         "WHEN 3 THEN 'ZZ' ELSE '' END")
+
+
+def _coord_a(base: str) -> str:
+    return (f"CASE WHEN o_orderkey % 9 = 0 THEN NULL WHEN o_orderkey % 11 = 1 THEN 0.0e0 "
+            f"ELSE {base} + (o_orderkey % 240000) / 10000.0e0 END")
+
+
+RAW_LOCATION_A = f"""raw_location_a AS (
+  SELECT CAST(o_orderkey AS VARCHAR) id, CAST(o_custkey * 2 AS VARCHAR) merchantId,
+    CASE o_orderkey % 11 WHEN 0 THEN 'online' WHEN 1 THEN '' WHEN 2 THEN 'Address 1 TBD'
+      ELSE (o_orderkey % 900) || ' Main St' END address1, NULL::VARCHAR address2,
+    {_coord_a('25.0e0')} latitude, {_coord_a('-124.0e0')} longitude,
+    {_TERR.format(k='o_custkey')} territory, 'City ' || (o_orderkey % 50) city, 'loc-' || o_orderkey sourceId
+  FROM orders)"""
+
+
+def _last(status_pred: str) -> str:
+    return (f"SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY seq DESC) rn "
+            f"FROM raw_brand_a WHERE {status_pred}) x WHERE rn = 1")
+
+
+REGISTRY = [RAW_BRAND_A, f"enabled_b AS ({_last('enabled')})", f"disabled_b AS ({_last('NOT enabled OR enabled IS NULL')})"]
+
+
+def state_json(x: str) -> str:
+    from placekit.functions.regions import STATE_NAMES
+    t = utrim(f"replace({x}, ',', ' ')")
+    cases = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in STATE_NAMES.items())
+    return f"(CASE WHEN {x} IS NULL OR {x} = '' THEN NULL ELSE coalesce(CASE {t} {cases} END, {t}) END)"
+
+
+def state_text(x: str) -> str:
+    from placekit.functions.regions import STATE_NAMES
+    t = utrim(f"replace({x}, ',', ' ')")
+    cases = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in STATE_NAMES.items())
+    return f"coalesce(CASE {t} {cases} END, {x})"
+
+
+CAND_A = """cand_a AS (SELECT l.*, b.name bname, b.savingsPercentage bsav, b.logoUrl blogo,
+    CASE WHEN b.type = 'physical' THEN 'physical'
+      WHEN b.type = 'online' AND l.address1 IS DISTINCT FROM 'online' THEN 'physical'
+      WHEN b.type = 'online' THEN 'online' END ptype
+  FROM raw_location_a l JOIN enabled_b b ON l.merchantId = b.id)"""
+VALID_A = """valid_a AS (SELECT *, CASE WHEN ptype IS NULL THEN false WHEN ptype = 'online' THEN true
+    ELSE coalesce(address1, '') <> '' OR coalesce(address2, '') <> ''
+      OR latitude IS DISTINCT FROM 0.0e0 OR longitude IS DISTINCT FROM 0.0e0 END valid FROM cand_a)"""
+FEED_A = [*REGISTRY, RAW_LOCATION_A, CAND_A, VALID_A]
+
+register("feed_a_brand_registry", with_(*REGISTRY) +
+         "SELECT 'enabled' status, id, name, type, savingsPercentage, seq, enabled FROM enabled_b "
+         "UNION ALL SELECT 'disabled', id, name, type, savingsPercentage, seq, enabled FROM disabled_b")
+register("feed_a_places", with_(*FEED_A) +
+         f"SELECT id row_id, merchantId, bname name, address1, round(latitude, 6) latitude, "
+         f"round(longitude, 6) longitude, coalesce({state_json('territory')}, '') territory, city, ptype type, "
+         f"bsav savingsPercentage, blogo logoLocation, 'A' source, sourceId FROM valid_a "
+         f"WHERE valid AND coalesce(bname, '') <> '' AND NOT coalesce(contains(address1, 'Address 1'), false)")
+register("feed_a_orphan_locations", with_(*FEED_A) +
+         "SELECT DISTINCT merchantId FROM raw_location_a WHERE merchantId NOT IN (SELECT id FROM enabled_b)")
+register("feed_a_rejects", with_(*FEED_A) +
+         "SELECT id, merchantId, CASE WHEN NOT valid THEN 'invalid_location' ELSE 'invalid_name_or_address' END reason "
+         "FROM valid_a WHERE NOT valid OR coalesce(bname, '') = '' OR coalesce(contains(address1, 'Address 1'), false)")
+
+OFFERS = [
+    """offers AS (SELECT l_orderkey, l_linenumber, l_suppkey, l_extendedprice, l_quantity,
+    CAST(l_partkey AS VARCHAR) brand_id,
+    'Card ' || l_linenumber || CASE WHEN l_quantity = 1 THEN ' (Instant Delivery)'
+      WHEN l_quantity = 2 THEN ' (instant delivery)' ELSE '' END name,
+    CASE l_returnflag WHEN 'A' THEN 'Fixed' WHEN 'R' THEN 'Option' WHEN 'N' THEN 'Range' END price_type,
+    l_discount * 100.0e0 discount_percentage, 'img-' || l_partkey image
+  FROM lineitem WHERE NOT (l_partkey % 3 = 0 AND l_returnflag = 'N'))""",
+    """kept AS (SELECT * FROM offers WHERE NOT (brand_id = '174' AND (contains(name, 'Card 1') OR contains(name, 'Card 2'))))""",
+    """ranked AS (SELECT *, contains(lower(name), '(instant delivery)') inst,
+    price_type = 'Fixed' AND NOT contains(name, '(instant delivery)') fx_extra,
+    coalesce(price_type IN ('Fixed', 'Option'), false) is_fixed,
+    row_number() OVER (PARTITION BY brand_id ORDER BY l_orderkey, l_linenumber, l_suppkey, l_extendedprice, l_quantity) rn
+  FROM kept)""",
+    """per_brand AS (SELECT brand_id, count(*) offers, max(discount_percentage) mx,
+    max(CASE WHEN inst OR fx_extra THEN discount_percentage END) inst_max,
+    min(CASE WHEN inst THEN rn END) inst_rn, min(CASE WHEN NOT is_fixed THEN rn END) range_rn
+  FROM ranked GROUP BY brand_id)""",
+    """sel AS (SELECT p.brand_id, r.name, r.price_type,
+    CASE WHEN inst_rn IS NOT NULL THEN inst_max WHEN range_rn IS NOT NULL THEN r.discount_percentage ELSE mx END discount_percentage,
+    r.image, p.offers
+  FROM per_brand p JOIN ranked r ON r.brand_id = p.brand_id AND r.rn = coalesce(p.inst_rn, p.range_rn, 1))""",
+    """sav AS (SELECT *, CAST(trunc(discount_percentage * 100.0e0) AS INTEGER) - 150 savingsPercentage,
+    CASE WHEN price_type = 'Range' THEN 'min-max' ELSE 'fixed' END denominationsType FROM sel)""",
+]
+register("offer_blocklist", with_(*OFFERS[:2]) + "SELECT brand_id, l_orderkey, l_linenumber, l_suppkey, name FROM kept")
+register("offer_selection", with_(*OFFERS) +
+         "SELECT brand_id, name, price_type, round(discount_percentage, 6) discount_percentage, image, offers FROM sel")
+register("offer_savings", with_(*OFFERS) + "SELECT brand_id, savingsPercentage, denominationsType FROM sav")
+
+FEED_B = [*OFFERS,
+          "brand_b AS (SELECT CAST(p_partkey AS VARCHAR) id, CASE WHEN p_partkey % 5 = 0 THEN p_name || ' USA' "
+          "ELSE p_name END name FROM part)",
+          f"bb AS (SELECT b.id, {strip_suffix('b.name')} pname, s.* FROM brand_b b JOIN sav s ON s.brand_id = b.id)",
+          "okb AS (SELECT * FROM bb WHERE coalesce(pname, '') <> '' AND savingsPercentage >= 0)",
+          f"""loc_b AS (SELECT 'loc-' || o_orderkey name, o_orderkey seq, CAST(o_custkey AS VARCHAR) brand_id,
+    CASE WHEN o_orderkey % 6 = 0 THEN 'Unknown' ELSE CAST(o_orderkey % 900 AS VARCHAR) END street_number,
+    CASE WHEN o_orderkey % 8 = 0 THEN '' ELSE 'Oak Ave' END street, 'City ' || (o_orderkey % 50) city,
+    {_TERR.format(k='o_custkey')} state, CASE WHEN o_orderkey % 5 = 0 THEN 'CA' ELSE 'US' END country,
+    CASE WHEN o_orderkey % 16 = 0 THEN 0.0e0 ELSE 25.0e0 + (o_orderkey % 240000) / 10000.0e0 END latitude,
+    CASE WHEN o_orderkey % 16 = 0 THEN 0.0e0 ELSE -124.0e0 + (o_orderkey % 240000) / 10000.0e0 END longitude,
+    'web-' || o_orderkey website FROM orders)""",
+          """lj AS (SELECT l.*, o.pname, o.savingsPercentage, o.image, o.denominationsType,
+    (NOT (l.street = '' OR l.street_number = '') OR l.latitude <> 0.0e0 OR l.longitude <> 0.0e0) AND l.country = 'US' good
+  FROM loc_b l JOIN okb o ON l.brand_id = o.id)"""]
+register("feed_b_places", with_(*FEED_B) +
+         "SELECT 'o:' || id row_id, id merchantId, pname name, 'online' address1, NULL::DOUBLE latitude, "
+         "NULL::DOUBLE longitude, '' territory, NULL::VARCHAR city, 'online' type, savingsPercentage, "
+         "image logoLocation, denominationsType, NULL::VARCHAR website FROM okb UNION ALL "
+         "SELECT 'l:' || name, brand_id, pname, CASE WHEN street_number <> 'Unknown' THEN street_number || ' ' || street "
+         f"ELSE street END, round(latitude, 6), round(longitude, 6), {state_text('state')}, city, 'physical', "
+         "savingsPercentage, image, denominationsType, website FROM lj WHERE good")
+register("feed_b_rejects", with_(*FEED_B) +
+         "SELECT name, arg_max(brand_id, seq) brand_id, arg_max(CASE WHEN country <> 'US' THEN 'other_country' "
+         "ELSE 'invalid_location' END, seq) reason FROM lj WHERE NOT good GROUP BY name")
+register("feed_b_rejected_brands", with_(*FEED_B) +
+         "SELECT id brand_id, pname name, savingsPercentage, CASE WHEN coalesce(pname, '') = '' THEN 'empty_name' "
+         "ELSE 'negative_discount' END reason FROM bb WHERE coalesce(pname, '') = '' OR savingsPercentage < 0")
+
+_SHEET_VALS = {
+    "SOURCE_ID": "p_partkey || '.0'", "NAME": "p_name", "ADDRESS1": "p_type",
+    "LATITUDE": "CASE WHEN p_partkey % 5 = 0 THEN 'n/a' ELSE CAST(30.0e0 + p_partkey % 20 AS VARCHAR) END",
+    "LONGITUDE": "CAST(-100.0e0 - p_partkey % 50 AS VARCHAR)",
+    "TERRITORY": "' ' || p_brand || ' '", "LOGO_LOCATION": "'logo-c-' || p_partkey",
+    "PAYMENT_METHOD": "' gift card '", "TYPE": "' physical '",
+    "ACTIVE": "CASE p_partkey % 4 WHEN 0 THEN 'TRUE' WHEN 1 THEN 'no' WHEN 2 THEN '1' ELSE 'maybe' END",
+    "MERCHANT_ID": "CASE WHEN p_partkey % 3 = 0 THEN 'x-' || p_partkey ELSE p_partkey || '.0' END",
+}
+
+
+def _sheet() -> str:
+    from placekit.sources.fixtures import SHEET_COLUMNS
+    cols = ", ".join(f"CASE WHEN p_partkey % 29 = 0 THEN '' ELSE {_SHEET_VALS.get(c, chr(39) * 2)} END {c}"
+                     for c in SHEET_COLUMNS)
+    nonempty = " OR ".join(f"coalesce({c} <> '', false)" for c in SHEET_COLUMNS)
+    return [f"sheet AS (SELECT 'r' || p_partkey row_key, {cols} FROM part)",
+            f"sheet_ok AS (SELECT * FROM sheet WHERE {nonempty})"]
+
+
+def _nz(c: str) -> str:
+    return f"nullif({c}, '')"
+
+
+FEED_C = (f"SELECT row_key, coalesce(CAST(CAST(trunc(TRY_CAST({_nz('MERCHANT_ID')} AS DOUBLE)) AS BIGINT) AS VARCHAR), "
+          f"{_nz('MERCHANT_ID')}) merchantId, "
+          f"CASE WHEN upper({_nz('ACTIVE')}) IN ('TRUE', 'YES', '1') THEN true "
+          f"WHEN upper({_nz('ACTIVE')}) IN ('FALSE', 'NO', '0') THEN false END active, "
+          f"{_nz('NAME')} name, {_nz('ADDRESS1')} address1, round(TRY_CAST({_nz('LATITUDE')} AS DOUBLE), 6) latitude, "
+          f"round(TRY_CAST({_nz('LONGITUDE')} AS DOUBLE), 6) longitude, {utrim(_nz('TERRITORY'))} territory, "
+          f"coalesce(CAST(CAST(trunc(TRY_CAST({_nz('SOURCE_ID')} AS DOUBLE)) AS INTEGER) AS VARCHAR), {_nz('SOURCE_ID')}, '0') sourceId, "
+          f"{utrim(_nz('TYPE'))} type, {utrim(_nz('PAYMENT_METHOD'))} paymentMethod, {_nz('LOGO_LOCATION')} logoLocation, "
+          f"'none' redeemType, 'C' source FROM sheet_ok")
+register("feed_c_places", with_(*_sheet()) + FEED_C)
+register("feed_c_stats", with_(*_sheet(), f"fc AS ({FEED_C})") +
+         "SELECT count(*) rows, count(DISTINCT name) names FROM fc")
+
+register("kiosk_places", with_(
+    "k AS (SELECT CAST(s_suppkey AS INTEGER) id, s_name location, 'Addr ' || s_suppkey address, n_name city, "
+    "CASE s_suppkey % 3 WHEN 0 THEN 'CA' WHEN 1 THEN '' END state, CAST(s_suppkey % 2 AS INTEGER) buy, "
+    "CAST((s_suppkey // 2) % 2 AS INTEGER) sell, CASE WHEN s_suppkey % 10 = 0 THEN NULL ELSE 30.0e0 + s_suppkey % 20 END lat, "
+    "CASE WHEN s_suppkey % 10 = 0 THEN NULL ELSE -100.0e0 - s_suppkey % 30 END lng, 'op-' || (s_suppkey % 7) operator, "
+    "'https://kiosk/' || s_suppkey url, 'oplogo-' || (s_suppkey % 7) operator_logo, '555-0100' operator_phone "
+    "FROM supplier JOIN nation ON s_nationkey = n_nationkey)") +
+    f"SELECT '' postcode, operator manufacturer, id kiosk_id, true active, location name, address address1, "
+    f"'' address2, '' address3, '' address4, round(coalesce(lat, 0.0e0), 6) latitude, round(coalesce(lng, 0.0e0), 6) longitude, "
+    f"url website, operator_phone phone, CASE WHEN coalesce({state_text('state')}, '') = '' THEN city "
+    f"ELSE {state_text('state')} END territory, city, 'kiosk' source, CAST(id AS VARCHAR) sourceId, "
+    f"operator_logo logoLocation, '' googleMaps, '' coverImage, CASE WHEN buy = 1 AND sell = 1 THEN 'Buy and Sell' "
+    f"WHEN sell = 1 THEN 'Sell Only' ELSE 'Buy Only' END type FROM k")

@@ -157,3 +157,149 @@ def snapshot_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     date = F.when(k % 50 == 0, F.lit("2001-13-45")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
     return o.select(F.concat(F.lit("locations-"), _pick(k % 3, SNAPSHOT_MODES), F.lit("-"), date,
                              F.lit(".db")).alias("name")).distinct()
+
+
+# ---------------------------------------------------------------- raw feeds
+
+def raw_brand_a(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feed A brand pages: one row per part, plus a later second-page copy of
+    every 17th part (upper-cased name, other enabled flag)."""
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size", "p_retailprice")
+    k = F.col("p_partkey")
+    common = [k.cast("string").alias("id"),
+              F.concat(F.lit("logo-"), k.cast("string")).alias("logoUrl"),
+              F.concat(F.lit("site-"), k.cast("string")).alias("website"),
+              F.lit("barcode").alias("redeemType"), F.lit("fixed").alias("denominationsType")]
+    first = p.select(
+        (k * 2).alias("seq"), F.col("p_name").alias("name"), (k % 13 != 0).alias("enabled"),
+        F.when(F.col("p_size") % 10 == 0, F.lit("unknown"))
+         .when(F.col("p_size") % 2 == 1, F.lit("physical")).otherwise(F.lit("online")).alias("type"),
+        (F.col("p_retailprice").cast("bigint") % 2000).cast("int").alias("savingsPercentage"), *common)
+    second = p.filter(k % 17 == 0).select(
+        (k * 2 + 1).alias("seq"), F.upper("p_name").alias("name"), (k % 2 == 0).alias("enabled"),
+        F.lit("online").alias("type"), F.lit(100).alias("savingsPercentage"), *common)
+    return first.unionByName(second)
+
+
+_TERRITORIES = ["NY", " Hawaii", "New,Hampshire ", "ZZ", ""]
+
+
+def _coord(k: Column, base: float) -> Column:
+    return (F.when(k % 9 == 0, F.lit(None).cast("double")).when(k % 11 == 1, F.lit(0.0))
+             .otherwise(F.lit(base) + (k % 240000) / F.lit(10000.0)))
+
+
+def raw_location_a(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    k = F.col("o_orderkey")
+    return o.select(
+        k.cast("string").alias("id"), (F.col("o_custkey") * 2).cast("string").alias("merchantId"),
+        _pick(k % 11, ["online", "", "Address 1 TBD"] + [None] * 8).alias("_a"),
+        F.concat((k % 900).cast("string"), F.lit(" Main St")).alias("_street"),
+        _coord(k, 25.0).alias("latitude"), _coord(k, -124.0).alias("longitude"),
+        _pick(F.col("o_custkey") % 5, _TERRITORIES).alias("territory"),
+        F.concat(F.lit("City "), (k % 50).cast("string")).alias("city"),
+        F.concat(F.lit("loc-"), k.cast("string")).alias("sourceId"),
+    ).select("id", "merchantId", F.coalesce("_a", "_street").alias("address1"),
+             F.lit(None).cast("string").alias("address2"), "latitude", "longitude", "territory",
+             "city", "sourceId")
+
+
+def raw_brand_b(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    k = F.col("p_partkey")
+    return p.select(k.cast("string").alias("id"),
+                    F.when(k % 5 == 0, F.concat("p_name", F.lit(" USA"))).otherwise(F.col("p_name")).alias("name"))
+
+
+_PRICE_TYPES = {"A": "Fixed", "R": "Option", "N": "Range"}
+
+
+def raw_offer_b(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Offers (gift cards) per brand; arrival order is the struct ``seq``."""
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+        "l_discount", "l_returnflag")
+    q = F.col("l_quantity")
+    rf = F.col("l_returnflag")
+    price = F.when(rf == "A", F.lit("Fixed")).when(rf == "R", F.lit("Option")).when(rf == "N", F.lit("Range"))
+    return li.filter(~((F.col("l_partkey") % 3 == 0) & (rf == "N"))).select(
+        F.struct("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "l_quantity").alias("seq"),
+        F.col("l_partkey").cast("string").alias("brand_id"),
+        F.concat(F.lit("Card "), F.col("l_linenumber").cast("string"),
+                 F.when(q == 1, F.lit(" (Instant Delivery)")).when(q == 2, F.lit(" (instant delivery)"))
+                  .otherwise(F.lit(""))).alias("name"),
+        price.alias("price_type"),
+        (F.col("l_discount") * F.lit(100.0)).alias("discount_percentage"),
+        F.concat(F.lit("img-"), F.col("l_partkey").cast("string")).alias("image"))
+
+
+def raw_location_b(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    k = F.col("o_orderkey")
+    zero = k % 16 == 0
+    return o.select(
+        F.concat(F.lit("loc-"), k.cast("string")).alias("name"), k.alias("seq"),
+        F.col("o_custkey").cast("string").alias("brand_id"),
+        F.when(k % 6 == 0, F.lit("Unknown")).otherwise((k % 900).cast("string")).alias("street_number"),
+        F.when(k % 8 == 0, F.lit("")).otherwise(F.lit("Oak Ave")).alias("street"),
+        F.concat(F.lit("City "), (k % 50).cast("string")).alias("city"),
+        _pick(F.col("o_custkey") % 5, _TERRITORIES).alias("state"),
+        F.when(k % 5 == 0, F.lit("CA")).otherwise(F.lit("US")).alias("country"),
+        F.when(zero, F.lit(0.0)).otherwise(F.lit(25.0) + (k % 240000) / F.lit(10000.0)).alias("latitude"),
+        F.when(zero, F.lit(0.0)).otherwise(F.lit(-124.0) + (k % 240000) / F.lit(10000.0)).alias("longitude"),
+        F.concat(F.lit("web-"), k.cast("string")).alias("website"))
+
+
+# Fixed test configuration: offers blocked per brand (brand id -> phrases).
+TEST_OFFER_BLOCKLIST = {"174": ["Card 1", "Card 2"]}
+
+# The curated sheet's columns, in positional order.
+SHEET_COLUMNS = ["SOURCE_ID", "ADD_DATE", "UPDATE_DATE", "NAME", "ADDRESS1", "ADDRESS2", "ADDRESS3",
+                 "ADDRESS4", "LATITUDE", "LONGITUDE", "PLUS_CODE", "TERRITORY", "GOOGLE_MAPS",
+                 "LOGO_LOCATION", "WEBSITE", "PAYMENT_METHOD", "TYPE", "PHONE", "MON_OPEN", "MON_CLOSE",
+                 "TUE_OPEN", "TUE_CLOSE", "WED_OPEN", "WED_CLOSE", "THU_OPEN", "THU_CLOSE", "FRI_OPEN",
+                 "FRI_CLOSE", "SAT_OPEN", "SAT_CLOSE", "SUN_OPEN", "SUN_CLOSE", "INSTAGRAM", "TWITTER",
+                 "DELIVERY", "ACTIVE", "MERCHANT_ID", "SAVINGS_PERCENTAGE"]
+
+
+def raw_sheet_c(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Curated sheet rows (all strings); every 29th row is empty."""
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_brand")
+    k = F.col("p_partkey")
+    ks = k.cast("string")
+    vals = {
+        "SOURCE_ID": F.concat(ks, F.lit(".0")),
+        "NAME": F.col("p_name"),
+        "ADDRESS1": F.col("p_type"),
+        "LATITUDE": F.when(k % 5 == 0, F.lit("n/a")).otherwise((F.lit(30.0) + k % 20).cast("string")),
+        "LONGITUDE": (F.lit(-100.0) - k % 50).cast("string"),
+        "TERRITORY": F.concat(F.lit(" "), F.col("p_brand"), F.lit(" ")),
+        "LOGO_LOCATION": F.concat(F.lit("logo-c-"), ks),
+        "PAYMENT_METHOD": F.lit(" gift card "),
+        "TYPE": F.lit(" physical "),
+        "ACTIVE": _pick(k % 4, ["TRUE", "no", "1", "maybe"]),
+        "MERCHANT_ID": F.when(k % 3 == 0, F.concat(F.lit("x-"), ks)).otherwise(F.concat(ks, F.lit(".0"))),
+    }
+    empty = k % 29 == 0
+    return p.select(F.concat(F.lit("r"), ks).alias("row_key"), (k + 1).alias("seq"), *[
+        F.when(empty, F.lit("")).otherwise(vals.get(c, F.lit(""))).alias(c) for c in SHEET_COLUMNS])
+
+
+def raw_kiosk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    k = F.col("s_suppkey")
+    nocoord = k % 10 == 0
+    return s.join(n, s.s_nationkey == n.n_nationkey).select(
+        k.cast("int").alias("id"), F.col("s_name").alias("location"),
+        F.concat(F.lit("Addr "), k.cast("string")).alias("address"),
+        F.col("n_name").alias("city"),
+        _pick(k % 3, ["CA", "", F.lit(None).cast("string")]).alias("state"),
+        (k % 2).cast("int").alias("buy"), ((k / 2).cast("bigint") % 2).cast("int").alias("sell"),
+        F.when(nocoord, F.lit(None).cast("double")).otherwise(F.lit(30.0) + k % 20).alias("lat"),
+        F.when(nocoord, F.lit(None).cast("double")).otherwise(F.lit(-100.0) - k % 30).alias("lng"),
+        F.concat(F.lit("op-"), (k % 7).cast("string")).alias("operator"),
+        F.concat(F.lit("https://kiosk/"), k.cast("string")).alias("url"),
+        F.concat(F.lit("oplogo-"), (k % 7).cast("string")).alias("operator_logo"),
+        F.lit("555-0100").alias("operator_phone"))

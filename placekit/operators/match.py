@@ -35,6 +35,10 @@ class MatchParams:
     ignore_name: bool = False
     # column compared by the zip rule (the source system passes address1)
     zip_column: str = "address1"
+    # "edit": edit-distance name/street scores with exact geo checks;
+    # "blended": the comparison tool's Ratcliff/Obershelp-based scores with
+    # loose city/state/zip checks (Arrow pandas UDFs on surviving pairs)
+    similarity: str = "edit"
 
     @property
     def geo_ignored(self) -> bool:
@@ -53,6 +57,7 @@ GEOGRAPHIC = PRODUCTION.with_(ignore_state=False, ignore_city=False, ignore_zip=
 COORDS_ONLY = PRODUCTION.with_(ignore_name=True)
 DESKTOP = MatchParams(max_distance=2.0, min_name_similarity=0.6, min_confidence=0.5,
                       include_address=True, show_all_matches=True, coordinate_precision=4)
+BLENDED = DESKTOP.with_(similarity="blended")
 
 _SIDE_COLS = ["row_id", "seq", "name", "address1", "latitude", "longitude", "city", "territory"]
 
@@ -67,6 +72,8 @@ def _side(df: DataFrame, prefix: str, params: MatchParams) -> DataFrame:
     cols = [F.col(c).alias(f"{prefix}{c}") for c in _SIDE_COLS]
     if params.zip_column not in _SIDE_COLS:
         cols.append(F.col(params.zip_column).alias(f"{prefix}{params.zip_column}"))
+    if params.similarity == "blended":
+        return df.select(*cols)
     if not params.ignore_name:
         cols.append(name_compare_form("name").alias(f"{prefix}name_cmp"))
     if params.include_address and params.geo_ignored:
@@ -80,8 +87,42 @@ def _side(df: DataFrame, prefix: str, params: MatchParams) -> DataFrame:
     return df.select(*cols)
 
 
+def _blended_names(pairs: DataFrame) -> DataFrame:
+    """Blended name score, computed once per distinct (B name, A name)."""
+    from placekit.functions.blended import blended_name_similarity
+    names = pairs.select("b_name", "a_name").distinct()
+    scored = names.withColumn("name_similarity", blended_name_similarity("b_name", "a_name"))
+    return pairs.join(scored, [pairs.b_name.eqNullSafe(scored.b_name), pairs.a_name.eqNullSafe(scored.a_name)],
+                      "left").drop(scored.b_name).drop(scored.a_name)
+
+
+def _score_blended(pairs: DataFrame, params: MatchParams) -> DataFrame:
+    from placekit.functions.blended import blended_street_similarity
+    from placekit.functions.regions import city_equal_loose, state_equal_loose, zip_equal_digits
+    if params.ignore_name:
+        pairs = pairs.withColumn("name_similarity", F.lit(0.0))
+    elif "name_similarity" not in pairs.columns:
+        pairs = _blended_names(pairs)
+    if params.include_address and params.geo_ignored:
+        pairs = pairs.withColumn("address_similarity", blended_street_similarity("b_address1", "a_address1"))
+    else:
+        pairs = pairs.withColumn("address_similarity", F.lit(0.0))
+    z = params.zip_column
+    pairs = pairs.withColumn("_coord", coordinate_score("distance_miles"))
+    conf = confidence("distance_miles", "name_similarity", "address_similarity",
+                      city_equal_loose("b_city", "a_city"), state_equal_loose("b_territory", "a_territory"),
+                      zip_equal_digits(f"b_{z}", f"a_{z}"), params, coord_score="_coord")
+    pairs = pairs.withColumn("confidence", conf).drop("_coord")
+    keep = F.col("confidence") >= F.lit(params.min_confidence)
+    if not params.ignore_name:
+        keep = keep & (F.col("name_similarity") >= F.lit(params.min_name_similarity))
+    return pairs.filter(keep)
+
+
 def _score(pairs: DataFrame, params: MatchParams) -> DataFrame:
     """Add name/street similarity and confidence; apply both thresholds."""
+    if params.similarity == "blended":
+        return _score_blended(pairs, params)
     if params.ignore_name:
         pairs = pairs.withColumn("name_similarity", F.lit(0.0))
     elif "name_similarity" not in pairs.columns:
@@ -128,8 +169,11 @@ def coordinate_cell_pairs(a: DataFrame, b: DataFrame, params: MatchParams) -> Da
                           haversine_miles("b_latitude", "b_longitude", "a_latitude", "a_longitude"))
               .filter(F.col("distance_miles") <= F.lit(params.max_distance)))
     if not params.ignore_name:
-        pairs = (pairs.withColumn("name_similarity", similarity_of_forms("b_name_cmp", "a_name_cmp"))
-                      .filter(F.col("name_similarity") >= F.lit(params.min_name_similarity)))
+        if params.similarity == "blended":
+            pairs = _blended_names(pairs)
+        else:
+            pairs = pairs.withColumn("name_similarity", similarity_of_forms("b_name_cmp", "a_name_cmp"))
+        pairs = pairs.filter(F.col("name_similarity") >= F.lit(params.min_name_similarity))
     return pairs.withColumn("match_type", F.lit("COORDINATE_EXACT")) \
                 .withColumn("coordinate_precision", F.lit(p))
 

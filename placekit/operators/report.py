@@ -151,3 +151,33 @@ def sync_report(places: DataFrame, links: DataFrame, matches: DataFrame) -> Data
     return u.agg(F.count_distinct(F.when(kind == 0, F.col("merchantId"))).alias("total_merchants"),
                  F.count_if(kind == 1).alias("total_locations"),
                  F.count_if(kind == 2).alias("merged_locations"))
+
+
+def source_report(feeds: dict) -> tuple[DataFrame, DataFrame]:
+    """Per source counts plus the listed names in long form.
+
+    ``feeds`` maps a source name to a dict with DataFrames ``brands`` (one row
+    per brand), ``locations`` (rows counted as locations), ``disabled``
+    (names), ``new`` / ``removed`` (names), ``negative`` (names).
+    Returns ``(counts, lists)``; lists are rows ``(source, list, name)``.
+    """
+    counts = lists = None
+    for src, f in feeds.items():
+        parts = [f["brands"].select(F.lit("brands").alias("k")),
+                 f["locations"].select(F.lit("locations").alias("k"))]
+        named = []
+        for lst in ("disabled", "new", "removed", "negative"):
+            if f.get(lst) is not None:
+                named.append(f[lst].select(F.lit(lst).alias("list"), F.col("name")))
+        u = parts[0].unionByName(parts[1])
+        for n in named:
+            u = u.unionByName(n.select(F.col("list").alias("k")))
+        c = u.agg(*[F.count_if(F.col("k") == k).alias(a) for k, a in
+                    (("brands", "brands"), ("locations", "locations"), ("disabled", "disabled"),
+                     ("new", "new_brands"), ("removed", "removed_brands"),
+                     ("negative", "negative_discount"))]).select(F.lit(src).alias("source"), "*")
+        counts = c if counts is None else counts.unionByName(c)
+        for n in named:
+            row = n.select(F.lit(src).alias("source"), "list", "name")
+            lists = row if lists is None else lists.unionByName(row)
+    return counts, lists

@@ -430,3 +430,83 @@ def q_feed_c_stats(spark, sf_dir):
 @query("kiosk_places")
 def q_kiosk_places(spark, sf_dir):
     return _r6_all(FD.kiosk_places(fx.raw_kiosk(spark, sf_dir)))
+
+
+# ------------------------------------------------------------ standardization
+
+from placekit.operators import standardize as ST  # noqa: E402
+
+
+@query("standardize_states")
+def q_standardize_states(spark, sf_dir):
+    loc = fx.raw_location_a(spark, sf_dir).select("id", "territory")
+    return ST.standardize_states(loc)
+
+
+@query("street_component")
+def q_street_component(spark, sf_dir):
+    return ST.with_street_component(feeds(spark, sf_dir)[1].select("row_id", "address1"))
+
+
+@query("clean_business_names")
+def q_clean_business_names(spark, sf_dir):
+    return ST.clean_business_names(feeds(spark, sf_dir)[1].select("row_id", "name"))
+
+
+@query("standardize_cities")
+def q_standardize_cities(spark, sf_dir):
+    return ST.standardize_cities(feeds(spark, sf_dir)[1].select("row_id", "city"))
+
+
+@query("gazetteer_enrich")
+def q_gazetteer_enrich(spark, sf_dir):
+    b = feeds(spark, sf_dir)[1].select("row_id", "latitude", "longitude")
+    return ST.gazetteer_enrich(b, fx.gazetteer(spark, sf_dir)).select(
+        "row_id", "corrected_city", "corrected_state")
+
+
+@query("match_places_blended")
+def q_match_places_blended(spark, sf_dir):
+    a, b = feeds(spark, sf_dir)
+    a, b = R.valid_coordinates(a), R.valid_coordinates(b)
+    return pair_out(M.match_places(a, b, M.BLENDED))
+
+
+def _source_report(spark, sf_dir):
+    reg = _registry(spark, sf_dir)
+    loc_a = fx.raw_location_a(spark, sf_dir)
+    cur_a = reg.enabled.select("name").filter(F.col("name").isNotNull()).distinct()
+    diff_a = CH.new_removed_brands(fx.previous_brand_names(spark, sf_dir, "A"),
+                                   fx.raw_brand_a(spark, sf_dir).filter("enabled").select("name"), False)
+    fb = _feed_b(spark, sf_dir)
+    brands_b = fx.raw_brand_b(spark, sf_dir)
+    diff_b = CH.new_removed_brands(fx.previous_brand_names(spark, sf_dir, "B"), brands_b, True)
+    cand_a = FD._a_candidates(reg.enabled, loc_a).filter("_valid")
+    return R.source_report({
+        "A": {"brands": reg.enabled, "locations": cand_a, "disabled": reg.disabled.select("name"),
+              "new": diff_a.new, "removed": diff_a.removed},
+        "B": {"brands": brands_b, "locations": fb.places.filter(F.col("type") == "physical"),
+              "new": diff_b.new, "removed": diff_b.removed,
+              "negative": fb.rejected_brands.filter(F.col("reason") == "negative_discount").select("name")},
+    })
+
+
+@query("source_report")
+def q_source_report(spark, sf_dir):
+    return _source_report(spark, sf_dir)[0]
+
+
+@query("source_report_lists")
+def q_source_report_lists(spark, sf_dir):
+    return _source_report(spark, sf_dir)[1]
+
+
+@query("explore_table")
+def q_explore_table(spark, sf_dir):
+    from placekit.sources.io import explore_table
+    c = _feed_c(spark, sf_dir)
+    p = combined(spark, sf_dir)[2].places
+    return explore_table(c, p).select("part", "merchantId", "active", "name", "address1",
+                                      r6("latitude").alias("latitude"), r6("longitude").alias("longitude"),
+                                      "source", "sourceId", "type", "redeemType", "savingsPercentage",
+                                      "plusCode", "logoLocation")

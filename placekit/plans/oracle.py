@@ -777,3 +777,80 @@ register("kiosk_places", with_(
     f"ELSE {state_text('state')} END territory, city, 'kiosk' source, CAST(id AS VARCHAR) sourceId, "
     f"operator_logo logoLocation, '' googleMaps, '' coverImage, CASE WHEN buy = 1 AND sell = 1 THEN 'Buy and Sell' "
     f"WHEN sell = 1 THEN 'Sell Only' ELSE 'Buy Only' END type FROM k")
+
+
+# ---------------------------------------------------------------- standardization
+
+register("standardize_states", with_(RAW_LOCATION_A) +
+         f"SELECT id, territory, {state_json('territory')} state_from_json, {state_text('territory')} state_from_text "
+         "FROM raw_location_a")
+register("street_component", with_(*PLACES) + f"SELECT row_id, address1, {street_component('address1')} street FROM place_b")
+
+
+def clean_name_sql(n: str) -> str:
+    from placekit.functions.names import LEGAL_FORM_WORDS
+    s = f"trim(regexp_replace(regexp_replace(lower({utrim(n)}), '[^\\w\\s]', ' ', 'g'), '\\s+', ' ', 'g'))"
+    words = ", ".join(f"'{w}'" for w in LEGAL_FORM_WORDS)
+    s = f"array_to_string(list_filter(string_split({s}, ' '), lambda w: w NOT IN ({words}) AND w <> ''), ' ')"
+    s = f"(CASE WHEN starts_with({s}, 'the ') THEN substr({s}, 5) ELSE {s} END)"
+    s = f"(CASE WHEN starts_with({s}, 'a ') THEN substr({s}, 3) ELSE {s} END)"
+    return f"(CASE WHEN {n} IS NULL THEN '' ELSE trim({s}) END)"
+
+
+register("clean_business_names", with_(*PLACES) + f"SELECT row_id, name, {clean_name_sql('name')} clean_name FROM place_b")
+
+
+def city_std_sql(c: str) -> str:
+    from placekit.functions.regions import CITY_ABBREVIATIONS
+    s = f"lower({utrim(c)})"
+    for full, short in CITY_ABBREVIATIONS:
+        s = f"replace({s}, '{full}', '{short}')"
+    return s
+
+
+register("standardize_cities", with_(*PLACES) + f"SELECT row_id, city, {city_std_sql('city')} city_std FROM place_b")
+
+_R3 = "floor({c} * 1000.0e0 + 0.5e0) / 1000.0e0"
+register("gazetteer_enrich", with_(
+    *PLACES,
+    "gaz AS (SELECT 'City ' || k city, 'State ' || (k % 10) state, lat, lon FROM fx_base WHERE k % 50 = 0)",
+    f"rb AS (SELECT row_id, {_R3.format(c='latitude')} rlat, {_R3.format(c='longitude')} rlon FROM place_b)",
+    "pts AS (SELECT DISTINCT rlat, rlon FROM rb WHERE rlat IS NOT NULL AND rlon IS NOT NULL)",
+    f"cand AS (SELECT rlat, rlon, city, state, {haversine('lat', 'lon', 'rlat', 'rlon')} d FROM pts, gaz)",
+    "best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY rlat, rlon ORDER BY d, city, state) rn "
+    "FROM cand WHERE d <= 150.0e0) x WHERE rn = 1)") +
+    "SELECT rb.row_id, coalesce(best.city, '') corrected_city, coalesce(best.state, '') corrected_state "
+    "FROM rb LEFT JOIN best ON best.rlat = rb.rlat AND best.rlon = rb.rlon")
+
+_SR = [*FEED_A, *FEED_B,
+       "prev_a AS (SELECT DISTINCT name FROM raw_brand_a WHERE CAST(id AS BIGINT) % 11 <> 0 AND seq % 2 = 0 AND name IS NOT NULL)",
+       "curr_a AS (SELECT DISTINCT name FROM raw_brand_a WHERE enabled AND name IS NOT NULL)",
+       "prev_b AS (SELECT DISTINCT name FROM brand_b WHERE CAST(id AS BIGINT) % 11 <> 0 AND name IS NOT NULL)",
+       "curr_b AS (SELECT DISTINCT name FROM brand_b WHERE name IS NOT NULL)",
+       f"""lists AS (
+  SELECT 'A' source, 'disabled' list, name FROM disabled_b
+  UNION ALL SELECT 'A', 'new', name FROM curr_a WHERE name NOT IN (SELECT name FROM prev_a)
+  UNION ALL SELECT 'A', 'removed', name FROM prev_a WHERE name NOT IN (SELECT name FROM curr_a)
+  UNION ALL SELECT 'B', 'new', name FROM curr_b WHERE {normalize('name')} NOT IN (SELECT {normalize('name')} FROM prev_b)
+  UNION ALL SELECT 'B', 'removed', name FROM prev_b WHERE {normalize('name')} NOT IN (SELECT {normalize('name')} FROM curr_b)
+  UNION ALL SELECT 'B', 'negative', pname FROM bb WHERE coalesce(pname, '') <> '' AND savingsPercentage < 0)"""]
+register("source_report_lists", with_(*_SR) + "SELECT source, list, name FROM lists")
+register("source_report", with_(*_SR) +
+         "SELECT 'A' source, (SELECT count(*) FROM enabled_b) brands, (SELECT count(*) FROM valid_a WHERE valid) locations, "
+         "(SELECT count(*) FROM lists WHERE source = 'A' AND list = 'disabled') disabled, "
+         "(SELECT count(*) FROM lists WHERE source = 'A' AND list = 'new') new_brands, "
+         "(SELECT count(*) FROM lists WHERE source = 'A' AND list = 'removed') removed_brands, 0 negative_discount "
+         "UNION ALL SELECT 'B', (SELECT count(*) FROM brand_b), (SELECT count(*) FROM lj WHERE good), 0, "
+         "(SELECT count(*) FROM lists WHERE source = 'B' AND list = 'new'), "
+         "(SELECT count(*) FROM lists WHERE source = 'B' AND list = 'removed'), "
+         "(SELECT count(*) FROM lists WHERE source = 'B' AND list = 'negative')")
+
+register("explore_table", sql_consolidate(
+    "SELECT 0 part, coalesce(merchantId, '') merchantId, coalesce(active, false) active, name, address1, "
+    "round(coalesce(latitude, 0.0e0), 6) latitude, round(coalesce(longitude, 0.0e0), 6) longitude, source, "
+    "coalesce(sourceId, '') sourceId, type, coalesce(redeemType, 'none') redeemType, 0 savingsPercentage, "
+    "NULL::VARCHAR plusCode, logoLocation FROM fcx "
+    "UNION ALL SELECT 1, coalesce(merchantId, ''), coalesce(active, false), name, address1, "
+    "round(coalesce(latitude, 0.0e0), 6), round(coalesce(longitude, 0.0e0), 6), source, coalesce(sourceId, ''), "
+    "type, coalesce(redeemType, 'none'), coalesce(savingsPercentage, 0), plusCode, logoLocation FROM places"
+).replace("WITH ", "WITH " + ",\n".join(_sheet()) + f",\nfcx AS ({FEED_C}),\n", 1))

@@ -303,3 +303,20 @@ def raw_kiosk(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("https://kiosk/"), k.cast("string")).alias("url"),
         F.concat(F.lit("oplogo-"), (k % 7).cast("string")).alias("operator_logo"),
         F.lit("555-0100").alias("operator_phone"))
+
+
+def gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reference places for reverse lookups: every 50th base place."""
+    k = _k()
+    return base(spark, sf_dir).filter(k % 50 == 0).select(
+        F.concat(F.lit("City "), k.cast("string")).alias("city"),
+        F.concat(F.lit("State "), (k % 10).cast("string")).alias("state"), "lat", "lon")
+
+
+def previous_brand_names(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:
+    """Brand names of the previous run (parts with ``p % 11 <> 0``)."""
+    src = raw_brand_a(spark, sf_dir) if feed == "A" else raw_brand_b(spark, sf_dir)
+    src = src.filter(F.col("id").cast("bigint") % 11 != 0)
+    if feed == "A":
+        src = src.filter(F.col("seq") % 2 == 0)
+    return src.select("name")

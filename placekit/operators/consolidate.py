@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from placekit.functions.names import name_key, name_uuid, normalize_name
 from placekit.operators.match import PRODUCTION, MatchParams, match_order, match_places
+from placekit.operators.ranking import rank_within
 from placekit.session import materialize
 
 LINK_FIELDS = ["merchantId", "provider", "sourceId", "active", "redeemType",
@@ -144,14 +145,16 @@ def online_fold(merged: DataFrame, un_a: DataFrame, un_b: DataFrame) -> DataFram
                       .unionByName(un_a.filter(F.col("type") == "online")
                                    .select(F.col("name").alias("c"), "uid", "pos",
                                            F.col("merchantId").alias("orig_mid"))))
-    by_c = Window.partitionBy("c")
-    existing = existing.withColumn("i", F.row_number().over(by_c.orderBy("pos")))
-    counts = existing.groupBy("c").agg(F.count("*").alias("k"))
+    # existing rows are only needed for names that receive B online rows
     p = (un_b.filter(F.col("type") == "online")
              .select(F.col("name").alias("c"), F.col("uid").alias("b_uid"), "row_id", "seq",
-                     "pos", "canon_id", "name_key")
-             .withColumn("j", F.row_number().over(by_c.orderBy("seq")))
-             .withColumn("p1_uid", F.first("b_uid").over(by_c.orderBy("seq"))))
+                     "pos", "canon_id", "name_key"))
+    existing = existing.join(p.select("c").distinct(), "c", "left_semi")
+    existing = rank_within(existing.withColumn("_o", F.col("pos")), "c", "_o", "i").drop("_o")
+    counts = existing.groupBy("c").agg(F.count("*").alias("k"))
+    p = rank_within(p, "c", "seq", "j")
+    first_b = p.groupBy("c").agg(F.min_by("b_uid", "seq").alias("p1_uid"))
+    p = p.join(first_b, "c")
     p = p.join(counts, "c", "left").withColumn("k", F.coalesce("k", F.lit(0)))
     p = p.withColumn("i", F.when(F.col("k") > 0, F.pmod(F.col("j") - 1, F.col("k")) + 1))
     e = existing.select("c", "i", F.col("uid").alias("e_uid"), "orig_mid")

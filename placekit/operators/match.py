@@ -212,7 +212,9 @@ def match_places(a: DataFrame, b: DataFrame, params: MatchParams = PRODUCTION) -
     Inputs need ``row_id, seq, name, address1, latitude, longitude, city,
     territory``; output columns are :data:`PAIR_COLUMNS`.
     """
-    exact = exact_stage(a, b, params)
+    from placekit.session import materialize
+    # stage-1 pairs are read three times (output and both remainders): once
+    exact = materialize(exact_stage(a, b, params))
     return exact.unionByName(proximity_stage(a, b, exact, params))
 
 

@@ -187,3 +187,15 @@ def test_fingerprint_order_independent(spark):
     assert f1 == f2
     f3 = content_fingerprint(df.filter("id <> 5")).collect()
     assert f1 != f3
+
+
+def test_rank_within_hot_key(spark):
+    from pyspark.sql import Window
+    from placekit.operators.ranking import rank_within
+    # one key holds most rows; ranks must equal a plain row_number
+    df = spark.range(5000).select(
+        F.when(F.col("id") % 10 < 8, F.lit("hot")).otherwise((F.col("id") % 37).cast("string")).alias("k"),
+        ((F.col("id") * 7919) % 5003).alias("o"))
+    got = rank_within(df, "k", "o", "r", partitions=8)
+    want = df.withColumn("r", F.row_number().over(Window.partitionBy("k").orderBy("o")))
+    assert sorted(got.select("k", "o", "r").collect()) == sorted(want.select("k", "o", "r").collect())

@@ -510,3 +510,33 @@ def q_explore_table(spark, sf_dir):
                                       r6("latitude").alias("latitude"), r6("longitude").alias("longitude"),
                                       "source", "sourceId", "type", "redeemType", "savingsPercentage",
                                       "plusCode", "logoLocation")
+
+
+# ------------------------------------------------------------ sources and sinks round trips
+
+def _scratch(spark, name):
+    import uuid
+    from placekit.session import checkpoint_dir
+    return f"{checkpoint_dir(spark).rstrip('/')}/placekit-io/{name}-{uuid.uuid4().hex}"
+
+
+@query("csv_round_trip")
+def q_csv_round_trip(spark, sf_dir):
+    """Export the combined places as place CSV and scan them back."""
+    from placekit.sources import io as IO
+    path = _scratch(spark, "csv")
+    IO.csv_export(combined(spark, sf_dir)[2].places, path)
+    back = IO.csv_place_scan(spark, path)
+    return back.select("merchantId", "name", "address1", r6("latitude").alias("latitude"),
+                       r6("longitude").alias("longitude"), "type", "savingsPercentage", "logoLocation",
+                       "source", "sourceId", "plusCode", "active", "redeemType")
+
+
+@query("snapshot_scan")
+def q_snapshot_scan(spark, sf_dir):
+    """Publish the provider archive, then read back one source's rows."""
+    from placekit.sources import io as IO
+    root = _scratch(spark, "publish")
+    IO.publish_tables({"from_providers": _provider_archive(spark, sf_dir)}, root, "PRODUCTION", "2024-01-01")
+    prev = IO.snapshot_scan(spark, f"{root}/from_providers", source="A")
+    return _r6_all(prev.drop("mode", "snapshot_date"))

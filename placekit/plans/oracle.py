@@ -854,3 +854,11 @@ register("explore_table", sql_consolidate(
     "round(coalesce(latitude, 0.0e0), 6), round(coalesce(longitude, 0.0e0), 6), source, coalesce(sourceId, ''), "
     "type, coalesce(redeemType, 'none'), coalesce(savingsPercentage, 0), plusCode, logoLocation FROM places"
 ).replace("WITH ", "WITH " + ",\n".join(_sheet()) + f",\nfcx AS ({FEED_C}),\n", 1))
+
+
+# ---------------------------------------------------------------- sources and sinks round trips
+
+register("csv_round_trip", sql_consolidate(
+    "SELECT merchantId, name, address1, round(latitude, 6) latitude, round(longitude, 6) longitude, type, "
+    "savingsPercentage, logoLocation, source, sourceId, plusCode, active, redeemType FROM places"))
+register("snapshot_scan", with_(*PLACES, _PROV) + "SELECT * FROM prov WHERE source = 'A'")

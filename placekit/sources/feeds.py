@@ -88,7 +88,8 @@ def feed_a_places(enabled: DataFrame, locations: DataFrame, source: str = "A") -
         F.lit(source).alias("source"), "sourceId", F.col("_blogo").alias("logoLocation"), "type",
         F.col("_bredeem").alias("redeemType"), F.col("_bsav").alias("savingsPercentage"),
         F.col("_bdenom").alias("denominationsType"), F.lit(True).alias("active"),
-        F.lit(PAYMENT_METHOD).alias("paymentMethod"))
+        F.lit(PAYMENT_METHOD).alias("paymentMethod"),
+        *([F.col("seq")] if "seq" in locations.columns else []))
 
 
 def feed_a_orphan_locations(enabled: DataFrame, locations: DataFrame) -> DataFrame:
@@ -183,7 +184,9 @@ def feed_b(brands: DataFrame, offers: DataFrame, locations: DataFrame, country:
     rejected = br.filter(F.col("_reject").isNotNull()).select(
         F.col("id").alias("brand_id"), F.col("_pname").alias("name"), "savingsPercentage",
         F.col("_reject").alias("reason"))
+    brand_seq = [F.col("seq").alias("_brand_seq")] if "seq" in brands.columns else []
     ok = br.filter(F.col("_reject").isNull()).select(
+        *brand_seq,
         F.col("id").alias("merchantId"), F.col("_pname").alias("name"),
         F.lit(source).alias("source"), F.col("id").alias("sourceId"),
         F.col("image").alias("logoLocation"), F.col("image").alias("coverImage"),
@@ -205,7 +208,8 @@ def feed_b(brands: DataFrame, offers: DataFrame, locations: DataFrame, country:
         addr.alias("address1"), F.col("loc_latitude").alias("latitude"),
         F.col("loc_longitude").alias("longitude"), state_from_text(F.col("loc_state")).alias("territory"),
         F.col("loc_city").alias("city"), F.col("loc_website").alias("website"),
-        F.lit("physical").alias("type"))
+        F.lit("physical").alias("type"),
+        *([F.col("loc_seq").alias("_loc_seq")] if "seq" in locations.columns else []))
     bad = loc.filter(~good).select(
         F.col("loc_name").alias("name"), F.col("loc_brand_id").alias("brand_id"),
         F.when(F.col("loc_country") != F.lit(country), F.lit("other_country"))
@@ -214,7 +218,18 @@ def feed_b(brands: DataFrame, offers: DataFrame, locations: DataFrame, country:
     # keyed by location name, the last one wins
     bad = (bad.groupBy("name").agg(F.max_by(F.struct("brand_id", "reason"), "seq").alias("r"))
               .select("name", "r.*"))
-    return FeedB(online.unionByName(physical), rejected, bad)
+    places = online.unionByName(physical, allowMissingColumns=True)
+    if brand_seq and "seq" in locations.columns:
+        # arrival order: each brand's online row, then its locations in order
+        from placekit.operators.ranking import rank_within
+        ph = rank_within(physical.withColumn("_ls", F.col("_loc_seq")), "merchantId", "_ls", "_j").drop("_ls")
+        on = online.withColumn("_j", F.lit(0))
+        places = (on.unionByName(ph, allowMissingColumns=True)
+                    .withColumn("seq", F.col("_brand_seq").cast("bigint") * F.lit(2147483648) + F.col("_j"))
+                    .drop("_j", "_loc_seq", "_brand_seq"))
+    else:
+        places = places.drop("_loc_seq", "_brand_seq")
+    return FeedB(places, rejected, bad)
 
 
 # ---------------------------------------------------------------- feed C (curated sheet)

@@ -199,8 +199,8 @@ def raw_location_a(spark: SparkSession, sf_dir: str) -> DataFrame:
         _coord(k, 25.0).alias("latitude"), _coord(k, -124.0).alias("longitude"),
         _pick(F.col("o_custkey") % 5, _TERRITORIES).alias("territory"),
         F.concat(F.lit("City "), (k % 50).cast("string")).alias("city"),
-        F.concat(F.lit("loc-"), k.cast("string")).alias("sourceId"),
-    ).select("id", "merchantId", F.coalesce("_a", "_street").alias("address1"),
+        F.concat(F.lit("loc-"), k.cast("string")).alias("sourceId"), k.alias("seq"),
+    ).select("seq", "id", "merchantId", F.coalesce("_a", "_street").alias("address1"),
              F.lit(None).cast("string").alias("address2"), "latitude", "longitude", "territory",
              "city", "sourceId")
 
@@ -208,7 +208,7 @@ def raw_location_a(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_brand_b(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name")
     k = F.col("p_partkey")
-    return p.select(k.cast("string").alias("id"),
+    return p.select(k.alias("seq"), k.cast("string").alias("id"),
                     F.when(k % 5 == 0, F.concat("p_name", F.lit(" USA"))).otherwise(F.col("p_name")).alias("name"))
 
 

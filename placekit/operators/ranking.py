@@ -5,7 +5,8 @@ to one task, so a key that holds a large share of the rows serializes the
 job.  Here rows are range-partitioned on ``(key, o)`` instead - a hot key is
 spread over many partitions - and ranked locally per (partition, key).  The
 rank is the local rank plus the number of rows of the key in earlier
-partitions, from a small per-(partition, key) count table.
+partitions, from a small per-(partition, key) count table.  The locally
+ranked rows are checkpointed once, so both uses see one partition assignment.
 """
 
 from __future__ import annotations
@@ -24,6 +25,10 @@ def rank_within(df: DataFrame, key: str, order: str, out: str = "rank",
                 .withColumn("_pid", F.spark_partition_id()))
     local = ranged.withColumn(
         "_lr", F.row_number().over(Window.partitionBy("_pid", key).orderBy(order)))
+    # Range bounds come from sampling, which depends on the input's row order;
+    # pin the partition ids once so the counts below see the same assignment.
+    from placekit.session import materialize
+    local = materialize(local)
     counts = local.groupBy("_pid", key).agg(F.count("*").alias("_n"))
     # rows of the key in earlier partitions; one row per (partition, key)
     offsets = counts.withColumn(

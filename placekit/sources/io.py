@@ -45,15 +45,13 @@ def csv_export(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 def csv_place_scan(spark: SparkSession, path: str) -> DataFrame:
     """Read place CSV files: values trimmed, empty -> null, lenient typed
     parsing (bad values -> null), rows with fewer fields than the header skipped."""
-    raw_schema = StructType([StructField(c, StringType()) for c in PLACE_CSV_COLUMNS]
-                            + [StructField("_corrupt", StringType())])
+    raw_schema = StructType([StructField(c, StringType()) for c in PLACE_CSV_COLUMNS])
+    # rows with a different number of fields than the header are malformed
+    # and dropped by the reader itself
     raw = (spark.read.schema(raw_schema)
            .option("header", True).option("quote", '"').option("escape", '"')
-           .option("multiLine", True).option("mode", "PERMISSIVE")
-           .option("columnNameOfCorruptRecord", "_corrupt")
+           .option("multiLine", True).option("mode", "DROPMALFORMED")
            .option("enforceSchema", True).csv(path))
-    # short or long rows are malformed: the reader fills _corrupt for them
-    raw = raw.filter(F.col("_corrupt").isNull())
     cols = []
     for c in PLACE_CSV_COLUMNS:
         v = utrim(F.col(c))

@@ -94,7 +94,9 @@ from placekit.operators import consolidate as C  # noqa: E402
 
 
 def combined(spark, sf_dir):
-    a, b = feeds(spark, sf_dir)
+    from placekit.session import materialize
+    # the consolidation reads each feed about six times: derive them once
+    a, b = (materialize(f) for f in feeds(spark, sf_dir))
     return a, b, C.combine_feeds([a, b], M.PRODUCTION)
 
 

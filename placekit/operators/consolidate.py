@@ -40,8 +40,8 @@ class CombinedResult(NamedTuple):
 def _ord(p: int | Column, m=0, s=None, c=0.0, a=0) -> Column:
     lit = lambda v: v if isinstance(v, Column) else F.lit(v)
     return F.struct(lit(p).cast("int").alias("p"), lit(m).cast("int").alias("m"),
-                    lit(s).cast("bigint").alias("s"), lit(c).cast("double").alias("c"),
-                    lit(a).cast("bigint").alias("a"))
+                    lit(s).cast("decimal(38,0)").alias("s"), lit(c).cast("double").alias("c"),
+                    lit(a).cast("decimal(38,0)").alias("a"))
 
 
 def standardize_names(df: DataFrame, name_col: str = "name") -> DataFrame:

@@ -220,13 +220,13 @@ def feed_b(brands: DataFrame, offers: DataFrame, locations: DataFrame, country:
               .select("name", "r.*"))
     places = online.unionByName(physical, allowMissingColumns=True)
     if brand_seq and "seq" in locations.columns:
-        # arrival order: each brand's online row, then its locations in order
-        from placekit.operators.ranking import rank_within
-        ph = rank_within(physical.withColumn("_ls", F.col("_loc_seq")), "merchantId", "_ls", "_j").drop("_ls")
-        on = online.withColumn("_j", F.lit(0))
-        places = (on.unionByName(ph, allowMissingColumns=True)
-                    .withColumn("seq", F.col("_brand_seq").cast("bigint") * F.lit(2147483648) + F.col("_j"))
-                    .drop("_j", "_loc_seq", "_brand_seq"))
+        # arrival order: each brand's online row, then its locations in order;
+        # an order-preserving decimal key, no shuffle needed
+        scale = F.lit(str(10 ** 19)).cast("decimal(38,0)")
+        loc = F.coalesce(F.col("_loc_seq").cast("decimal(38,0)") + F.lit(1), F.lit(0).cast("decimal(38,0)"))
+        places = (places.withColumn("seq", (F.col("_brand_seq").cast("decimal(38,0)") * scale + loc)
+                                    .cast("decimal(38,0)"))
+                        .drop("_loc_seq", "_brand_seq"))
     else:
         places = places.drop("_loc_seq", "_brand_seq")
     return FeedB(places, rejected, bad)

@@ -249,9 +249,10 @@ def combine_feeds(feeds: list, params: MatchParams = PRODUCTION, matches: DataFr
         return CombinedResult(f, links, None)
     a, b = feeds
     if matches is None:
-        matches = match_places(a, b, params)
-    # The pair table and the dictionary feed every later stage: compute once.
-    matches = materialize(match_order(matches))
+        matches = match_order(match_places(a, b, params))   # materialized by the matcher
+    else:
+        # The pair table feeds every later stage: compute it once.
+        matches = materialize(match_order(matches))
     dictionary = materialize(brand_dictionary(dictionary_events(a, b, matches)))
     merged = merged_places(a, b, matches)
     un_a = materialize(unmatched_rows(a, matches, dictionary, "a"))

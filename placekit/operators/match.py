@@ -215,7 +215,8 @@ def match_places(a: DataFrame, b: DataFrame, params: MatchParams = PRODUCTION) -
     from placekit.session import materialize
     # stage-1 pairs are read three times (output and both remainders): once
     exact = materialize(exact_stage(a, b, params))
-    return exact.unionByName(proximity_stage(a, b, exact, params))
+    # the pair table feeds every later stage (reports, merge, links): once
+    return materialize(exact.unionByName(proximity_stage(a, b, exact, params)))
 
 
 def match_order(pairs: DataFrame) -> DataFrame:

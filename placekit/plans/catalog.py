@@ -168,8 +168,9 @@ from placekit.operators import report as R  # noqa: E402
 
 
 def _desktop(spark, sf_dir):
+    from placekit.session import materialize
     a, b = feeds(spark, sf_dir)
-    a, b = R.valid_coordinates(a), R.valid_coordinates(b)
+    a, b = materialize(R.valid_coordinates(a)), materialize(R.valid_coordinates(b))
     return a, b, M.match_places(a, b, M.DESKTOP)
 
 

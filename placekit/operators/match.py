@@ -39,6 +39,9 @@ class MatchParams:
     # "blended": the comparison tool's Ratcliff/Obershelp-based scores with
     # loose city/state/zip checks (Arrow pandas UDFs on surviving pairs)
     similarity: str = "edit"
+    # (0.0, 0.0) is a legal coordinate in the source system; dropping it
+    # removes the largest possible hot cell when feeds use it as "unknown"
+    drop_null_island: bool = False
 
     @property
     def geo_ignored(self) -> bool:
@@ -69,6 +72,8 @@ PAIR_COLUMNS = ["b_row_id", "a_row_id", "b_seq", "a_seq", "distance_miles",
 def _side(df: DataFrame, prefix: str, params: MatchParams) -> DataFrame:
     """Project one feed and compute its per-row comparison forms once, before
     any join, so a pair only costs the edit distances."""
+    if params.drop_null_island:
+        df = df.filter(~(F.col("latitude").eqNullSafe(F.lit(0.0)) & F.col("longitude").eqNullSafe(F.lit(0.0))))
     cols = [F.col(c).alias(f"{prefix}{c}") for c in _SIDE_COLS]
     if params.zip_column not in _SIDE_COLS:
         cols.append(F.col(params.zip_column).alias(f"{prefix}{params.zip_column}"))

@@ -37,6 +37,7 @@ def get_spark(master: str | None = None, app_name: str = "placekit",
         builder = (builder
                    .config("spark.ui.enabled", "false")
                    .config("spark.ui.showConsoleProgress", "false")
+                   .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
                    .config("spark.driver.memory", "8g"))
         if shuffle_partitions:
             builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))

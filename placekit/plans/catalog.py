@@ -134,7 +134,8 @@ QUERIES["unmatched_b"] = _unmatched_query("b")
 
 @query("online_fold")
 def q_online_fold(spark, sf_dir):
-    return combined(spark, sf_dir)[2].folds.select("b_row_id", "j", "k", "target_uid", "link_merchantId")
+    return combined(spark, sf_dir)[2].folds.select("b_row_id", F.col("j").cast("bigint").alias("j"), "k",
+                                                   "target_uid", "link_merchantId")
 
 
 @query("combine_feeds")

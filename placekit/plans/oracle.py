@@ -460,11 +460,12 @@ _REPORT_OUT = ", ".join(
 
 register("comparison_report", with_(*_desktop_ctes(), REPORT) + f"SELECT {_REPORT_OUT} FROM report")
 register("match_tier_summary", with_(*_desktop_ctes(), REPORT) +
-         "SELECT count_if(match_type = 'HIGH_CONFIDENCE_DUPLICATE') high_confidence_duplicate, "
-         "count_if(match_type = 'MEDIUM_CONFIDENCE_DUPLICATE') medium_confidence_duplicate, "
-         "count_if(match_type = 'LOW_CONFIDENCE_DUPLICATE') low_confidence_duplicate, "
-         "count_if(match_type = 'POTENTIAL_MATCH') potential_match, "
-         "count_if(match_type = 'B_UNIQUE') unique_b, count_if(match_type = 'A_UNIQUE') unique_a FROM report")
+         "SELECT CAST(count_if(match_type = 'HIGH_CONFIDENCE_DUPLICATE') AS BIGINT) high_confidence_duplicate, "
+         "CAST(count_if(match_type = 'MEDIUM_CONFIDENCE_DUPLICATE') AS BIGINT) medium_confidence_duplicate, "
+         "CAST(count_if(match_type = 'LOW_CONFIDENCE_DUPLICATE') AS BIGINT) low_confidence_duplicate, "
+         "CAST(count_if(match_type = 'POTENTIAL_MATCH') AS BIGINT) potential_match, "
+         "CAST(count_if(match_type = 'B_UNIQUE') AS BIGINT) unique_b, "
+         "CAST(count_if(match_type = 'A_UNIQUE') AS BIGINT) unique_a FROM report")
 register("top_matches_sample", with_(*_desktop_ctes()) +
          "SELECT b.name b_name, a.name a_name, round(distance_miles, 6) distance_miles, "
          "round(confidence, 6) confidence, m.b_row_id, m.a_row_id FROM matches m "
@@ -472,8 +473,9 @@ register("top_matches_sample", with_(*_desktop_ctes()) +
          "WHERE confidence >= 0.9e0 ORDER BY match_stage, m.b_seq, "
          "CASE WHEN match_stage = 2 THEN -confidence ELSE 0.0e0 END, m.a_seq LIMIT 3")
 register("valid_coordinate_profile", with_(*PLACES) +
-         "SELECT 'A' feed, count_if(latitude IS NOT NULL AND longitude IS NOT NULL) valid_rows, count(*) total_rows "
-         "FROM place_a UNION ALL SELECT 'B', count_if(latitude IS NOT NULL AND longitude IS NOT NULL), count(*) "
+         "SELECT 'A' feed, CAST(count_if(latitude IS NOT NULL AND longitude IS NOT NULL) AS BIGINT) valid_rows, "
+         "count(*) total_rows FROM place_a UNION ALL "
+         "SELECT 'B', CAST(count_if(latitude IS NOT NULL AND longitude IS NOT NULL) AS BIGINT), count(*) "
          "FROM place_b")
 
 _DUP_A = ["merchantId", "name", "address1", "address2", "address3", "address4", "latitude", "longitude",

@@ -63,11 +63,23 @@ def valid_location_a(ptype: Column, address1: Column, address2: Column, lat: Col
                         | ~lat.eqNullSafe(F.lit(0.0)) | ~lon.eqNullSafe(F.lit(0.0))))
 
 
+# Weekday field names of feed A locations -> place columns.
+WEEKDAYS = [("Monday", "mon"), ("Tuesday", "tue"), ("Wednesday", "wed"), ("Thursday", "thu"),
+            ("Friday", "fri"), ("Saturday", "sat"), ("Sunday", "sun")]
+# Optional brand fields of feed A -> place columns (null when the feed lacks them).
+BRAND_A_OPTIONAL = {"cardImageUrl": "coverImage", "deeplink": "deeplink"}
+
+
+def _opt(df: DataFrame, c: str, alias: str) -> Column:
+    return (F.col(c) if c in df.columns else F.lit(None).cast("string")).alias(alias)
+
+
 def _a_candidates(enabled: DataFrame, locations: DataFrame) -> DataFrame:
     b = enabled.select(F.col("id").alias("_bid"), F.col("name").alias("_bname"),
                        F.col("type").alias("_btype"), F.col("savingsPercentage").alias("_bsav"),
                        F.col("logoUrl").alias("_blogo"), F.col("website").alias("_bweb"),
-                       F.col("redeemType").alias("_bredeem"), F.col("denominationsType").alias("_bdenom"))
+                       F.col("redeemType").alias("_bredeem"), F.col("denominationsType").alias("_bdenom"),
+                       *[_opt(enabled, c, "_b_" + c) for c in BRAND_A_OPTIONAL])
     j = locations.join(b, locations.merchantId == b._bid)
     ptype = place_type_a(F.col("_btype"), F.col("address1"))
     return (j.withColumn("type", ptype)
@@ -89,6 +101,9 @@ def feed_a_places(enabled: DataFrame, locations: DataFrame, source: str = "A") -
         F.col("_bredeem").alias("redeemType"), F.col("_bsav").alias("savingsPercentage"),
         F.col("_bdenom").alias("denominationsType"), F.lit(True).alias("active"),
         F.lit(PAYMENT_METHOD).alias("paymentMethod"),
+        *[F.col("_b_" + c).alias(t) for c, t in BRAND_A_OPTIONAL.items()],
+        _opt(locations, "postalCode", "address3"), _opt(locations, "phone", "phone"),
+        *[_opt(locations, f"{day}{oc}", f"{short}{oc}") for day, short in WEEKDAYS for oc in ("Open", "Close")],
         *([F.col("seq")] if "seq" in locations.columns else []))
 
 
@@ -261,7 +276,11 @@ def feed_c_places(sheet: DataFrame, source: str = "C") -> DataFrame:
         F.coalesce(sid_num.try_cast("int").cast("string"), sid, F.lit("0")).alias("sourceId"),
         cell["LOGO_LOCATION"].alias("logoLocation"), cell["GOOGLE_MAPS"].alias("googleMaps"),
         F.lit(None).cast("string").alias("coverImage"), utrim(cell["TYPE"]).alias("type"),
-        F.lit("none").alias("redeemType"))
+        F.lit("none").alias("redeemType"), cell["INSTAGRAM"].alias("instagram"),
+        cell["TWITTER"].alias("twitter"), cell["DELIVERY"].alias("delivery"),
+        *[cell[f"{short.upper()}_{oc.upper()}"].alias(f"{short}{oc}")
+          for _, short in WEEKDAYS for oc in ("Open", "Close")],
+        *([F.col("seq")] if "seq" in sheet.columns else []))
 
 
 def feed_c_stats(places: DataFrame) -> DataFrame:

@@ -60,3 +60,16 @@ def test_nonempty_guard(spark):
     import pytest
     with pytest.raises(ValueError):
         io.nonempty_guard(spark.range(0), "t")
+
+
+def test_compare_job_on_csv_files(spark):
+    from placekit.plans.compare import main
+    from placekit.sources import fixtures as fx
+    from tests.conftest import SF_SMALL
+    d = tempfile.mkdtemp(prefix="pk-cmp-")
+    io.csv_export(fx.place_a(spark, SF_SMALL), f"{d}/a")
+    io.csv_export(fx.place_b(spark, SF_SMALL), f"{d}/b")
+    main(["--a", f"{d}/a", "--b", f"{d}/b", "--out", f"{d}/out"])
+    rep = spark.read.option("header", True).csv(f"{d}/out")
+    kinds = {r.match_type for r in rep.select("match_type").distinct().collect()}
+    assert "A_UNIQUE" in kinds and any(k.endswith("DUPLICATE") for k in kinds)

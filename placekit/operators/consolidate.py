@@ -150,9 +150,17 @@ def online_fold(merged: DataFrame, un_a: DataFrame, un_b: DataFrame) -> DataFram
              .select(F.col("name").alias("c"), F.col("uid").alias("b_uid"), "row_id", "seq",
                      "pos", "canon_id", "name_key"))
     existing = existing.join(p.select("c").distinct(), "c", "left_semi")
-    existing = rank_within(existing.withColumn("_o", F.col("pos")), "c", "_o", "i").drop("_o")
+    # one skew-safe rank pass for both lists: key = (list, name), order = pos
+    # (pos orders B rows exactly like seq)
+    both = (existing.withColumn("_list", F.lit("e"))
+                    .unionByName(p.withColumn("_list", F.lit("p")), allowMissingColumns=True)
+                    .withColumn("_rk", F.concat_ws("\u0000", "_list", "c")))
+    both = rank_within(both, "_rk", "pos", "_r")
+    existing = (both.filter(F.col("_list") == "e").withColumnRenamed("_r", "i")
+                    .select("c", "uid", "pos", "orig_mid", "i"))
+    p = (both.filter(F.col("_list") == "p").withColumnRenamed("_r", "j")
+             .select("c", "b_uid", "row_id", "seq", "pos", "canon_id", "name_key", "j"))
     counts = existing.groupBy("c").agg(F.count("*").alias("k"))
-    p = rank_within(p, "c", "seq", "j")
     first_b = p.groupBy("c").agg(F.min_by("b_uid", "seq").alias("p1_uid"))
     p = p.join(first_b, "c")
     p = p.join(counts, "c", "left").withColumn("k", F.coalesce("k", F.lit(0)))

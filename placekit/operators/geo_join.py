@@ -74,11 +74,14 @@ class Grid:
 def radius_join(build: DataFrame, probe: DataFrame, radius_miles: float,
                 build_coords=("latitude", "longitude"),
                 probe_coords=("latitude", "longitude"),
-                distance_col: str = "distance_miles") -> DataFrame:
+                distance_col: str = "distance_miles",
+                build_key=None, probe_keys=None) -> DataFrame:
     """All (build, probe) pairs within ``radius_miles`` (both coordinates non-null).
 
     Column names of the two sides must not collide.  ``probe`` is the side that
-    is copied to its neighbourhood; pass the smaller side there.
+    is copied to its neighbourhood; pass the smaller side there.  An optional
+    extra blocking key (``build_key`` scalar, ``probe_keys`` array of the
+    probe's admissible build keys, distinct) narrows each cell further.
     """
     grid = Grid(radius_miles)
     blat, blon = (F.col(c) for c in build_coords)
@@ -87,6 +90,11 @@ def radius_join(build: DataFrame, probe: DataFrame, radius_miles: float,
               .withColumn("_g", grid.home(blat, blon)))
     p = (probe.filter(plat.isNotNull() & plon.isNotNull())
               .withColumn("_g", F.explode(grid.neighbourhood(plat, plon))))
-    joined = b.join(p, "_g").drop("_g")
+    keys = ["_g"]
+    if build_key is not None:
+        b = b.withColumn("_x", build_key)
+        p = p.withColumn("_x", F.explode(probe_keys))
+        keys.append("_x")
+    joined = b.join(p, keys).drop(*keys)
     dist = haversine_miles(blat, blon, plat, plon)
     return joined.withColumn(distance_col, dist).filter(F.col(distance_col) <= F.lit(float(radius_miles)))

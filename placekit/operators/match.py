@@ -8,6 +8,7 @@ confidence pass the thresholds.  Matches are many-to-many.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from placekit.functions.address import street_compare_form
 from placekit.functions.geo import coordinate_cell, coordinate_score, haversine_miles
 from placekit.functions.names import name_compare_form, similarity_of_forms
+from placekit.functions.text import is_blank
 from placekit.functions.regions import forms_equal, region_compare_form, zip_compare_form
 from placekit.functions.scoring import confidence, reachable_radius
 from placekit.operators.geo_join import radius_join
@@ -69,6 +71,31 @@ PAIR_COLUMNS = ["b_row_id", "a_row_id", "b_seq", "a_seq", "distance_miles",
                 "city_match", "state_match", "geographic_warning", "match_stage"]
 
 
+def _length_band(n, m: float):
+    """Geometric length band of a name form: two forms whose edit similarity
+    can reach ``m`` have lengths in ratio >= m, so their bands differ by <= 1.
+    Empty forms get their own band (they only match empty forms)."""
+    length = F.length(n).cast("double")
+    if m >= 1.0:
+        band = length
+    else:
+        width = math.log(1.0 / m) * (1 + 1e-9)
+        band = F.floor(F.log(length) / F.lit(width))
+    return F.when(length == 0, F.lit(-(1 << 40))).otherwise(band).cast("bigint")
+
+
+def _name_blocking(params: MatchParams) -> bool:
+    return (not params.ignore_name and params.similarity == "edit"
+            and 0.0 < params.min_name_similarity)
+
+
+def _band_keys(n, m: float):
+    """The bands a probe form can meet: its own and both neighbours."""
+    band = _length_band(n, m)
+    empty = F.length(n) == 0
+    return F.when(empty, F.array(band)).otherwise(F.array(band - 1, band, band + 1))
+
+
 def _side(df: DataFrame, prefix: str, params: MatchParams) -> DataFrame:
     """Project one feed and compute its per-row comparison forms once, before
     any join, so a pair only costs the edit distances."""
@@ -81,6 +108,9 @@ def _side(df: DataFrame, prefix: str, params: MatchParams) -> DataFrame:
         return df.select(*cols)
     if not params.ignore_name:
         cols.append(name_compare_form("name").alias(f"{prefix}name_cmp"))
+        if _name_blocking(params):
+            # a blank name scores 0.0 and can never pass a positive threshold
+            df = df.filter(~is_blank(F.col("name")))
     if params.include_address and params.geo_ignored:
         cols.append(street_compare_form("address1").alias(f"{prefix}street_cmp"))
     if not params.ignore_city:
@@ -169,7 +199,13 @@ def coordinate_cell_pairs(a: DataFrame, b: DataFrame, params: MatchParams) -> Da
     B = _side(b, "b_", params).filter(F.col("b_latitude").isNotNull() & F.col("b_longitude").isNotNull())
     A = A.withColumn("_clat", coordinate_cell("a_latitude", p)).withColumn("_clon", coordinate_cell("a_longitude", p))
     B = B.withColumn("_clat", coordinate_cell("b_latitude", p)).withColumn("_clon", coordinate_cell("b_longitude", p))
-    pairs = (B.join(A, ["_clat", "_clon"]).drop("_clat", "_clon")
+    keys = ["_clat", "_clon"]
+    if _name_blocking(params):
+        m = params.min_name_similarity
+        A = A.withColumn("_nb", _length_band(F.col("a_name_cmp"), m))
+        B = B.withColumn("_nb", F.explode(_band_keys(F.col("b_name_cmp"), m)))
+        keys.append("_nb")
+    pairs = (B.join(A, keys).drop(*keys)
               .withColumn("distance_miles",
                           haversine_miles("b_latitude", "b_longitude", "a_latitude", "a_longitude"))
               .filter(F.col("distance_miles") <= F.lit(params.max_distance)))
@@ -195,9 +231,14 @@ def proximity_stage(a: DataFrame, b: DataFrame, exact: DataFrame, params: MatchP
     rem_b = _side(b, "b_", params).join(
         exact.select(F.col("b_row_id")).distinct(), "b_row_id", "left_anti")
     radius = reachable_radius(params)
+    extra = {}
+    if _name_blocking(params):
+        m = params.min_name_similarity
+        extra = {"build_key": _length_band(F.col("a_name_cmp"), m),
+                 "probe_keys": _band_keys(F.col("b_name_cmp"), m)}
     pairs = radius_join(rem_a, rem_b, radius,
                         build_coords=("a_latitude", "a_longitude"),
-                        probe_coords=("b_latitude", "b_longitude"))
+                        probe_coords=("b_latitude", "b_longitude"), **extra)
     pairs = _score(pairs, params)
     reason = F.concat(F.lit("coordinate_priority_proximity, distance_"),
                       F.format_string("%.3f", F.col("distance_miles")), F.lit("mi"))

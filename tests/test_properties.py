@@ -109,3 +109,33 @@ def test_drop_null_island(spark):
     b = spark.createDataFrame(rows, schema)
     assert match_places(a, b, PRODUCTION).count() == 2
     assert match_places(a, b, PRODUCTION.with_(drop_null_island=True)).count() == 1
+
+
+def test_name_length_blocking_is_exact(spark, monkeypatch):
+    """Length-band blocking must not change matches, also in a hot cell."""
+    import placekit.operators.match as M
+    rng = random.Random(11)
+    words = ["Shop", "Shops", "Cafe", "Coffee House", "Mart", "Market", "A", "", "Ab", "Abcdefghij",
+             "Abcdefghik", "Abcdefghijk", "Grand Central Station", "Grand Central Statio"]
+
+    def rows(base):
+        out = []
+        for i in range(120):
+            hot = i % 2 == 0   # half the rows share one exact cell
+            lat = 40.0 if hot else 40.0 + rng.uniform(-0.002, 0.002)
+            lon = -73.0 if hot else -73.0 + rng.uniform(-0.002, 0.002)
+            out.append((base + i, base + i, rng.choice(words) + rng.choice(["", "", " USA", "®"]),
+                        "1 Main St", lat, lon, None, None))
+        return out
+    schema = ("row_id long, seq long, name string, address1 string, latitude double, longitude double, "
+              "city string, territory string")
+    a = spark.createDataFrame(rows(0), schema)
+    b = spark.createDataFrame(rows(1000), schema)
+    for m in (0.5, 0.75, 0.9, 1.0):
+        params = M.PRODUCTION.with_(min_name_similarity=m, min_confidence=0.0, max_distance=0.5)
+        cols = ["b_row_id", "a_row_id", "match_stage", "confidence", "name_similarity"]
+        with_blocking = sorted(M.match_places(a, b, params).select(*cols).collect())
+        monkeypatch.setattr(M, "_name_blocking", lambda p: False)
+        without = sorted(M.match_places(a, b, params).select(*cols).collect())
+        monkeypatch.undo()
+        assert with_blocking == without, m

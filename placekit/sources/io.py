@@ -39,6 +39,7 @@ def csv_export(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     (to_place_csv_columns(df).write.mode(mode)
         .option("header", True).option("quote", '"').option("escape", '"')
         .option("nullValue", "").option("emptyValue", "").option("quoteAll", False)
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
         .csv(path))
 
 

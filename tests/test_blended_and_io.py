@@ -73,3 +73,20 @@ def test_compare_job_on_csv_files(spark):
     rep = spark.read.option("header", True).csv(f"{d}/out")
     kinds = {r.match_type for r in rep.select("match_type").distinct().collect()}
     assert "A_UNIQUE" in kinds and any(k.endswith("DUPLICATE") for k in kinds)
+
+
+def test_csv_export_quoting_is_minimal(spark):
+    """Fields are quoted only for comma, quote or line break; whitespace kept."""
+    import glob
+    vals = [" lead", "trail ", "a,b", 'q"x', "line\nbreak", "", None, "#hash", "tab\tx"]
+    df = spark.createDataFrame([(v,) for v in vals], "name string").coalesce(1)
+    d = tempfile.mkdtemp(prefix="pk-q-")
+    io.csv_export(df, d)
+    body = open(glob.glob(d + "/*.csv")[0]).read().split("\n", 1)[1]
+
+    def rule(f):
+        if f is None:
+            return ""
+        e = f.replace('"', '""')
+        return f'"{e}"' if any(c in e for c in ',"\n\r') else e
+    assert body == "".join(",,,,,,,," + rule(v) + "," * 36 + "\n" for v in vals)

@@ -26,14 +26,14 @@ from pyspark.sql import functions as F
 
 from placekit.functions.geo import EARTH_RADIUS_MILES, haversine_miles
 
-_SLACK = 1 + 1e-9
+_MARGIN = 1 + 1e-9
 
 
 class Grid:
     def __init__(self, radius_miles: float):
         radius = max(float(radius_miles), 1e-9)
         self.theta = radius / EARTH_RADIUS_MILES
-        self.h = max(math.degrees(self.theta), 1e-4) * _SLACK
+        self.h = max(math.degrees(self.theta), 1e-4) * _MARGIN
         self.max_band = int(math.floor(180.0 / self.h)) + 1
         self.sin_half = math.sin(self.theta / 2)
 
@@ -45,7 +45,7 @@ class Grid:
         hi = (band + 2).cast("double") * F.lit(self.h) - F.lit(90.0)
         max_abs = F.least(F.greatest(F.abs(lo), F.abs(hi)), F.lit(90.0))
         cos_max = F.cos(F.radians(max_abs))
-        width = F.degrees(F.lit(2.0) * F.asin(F.lit(self.sin_half) / cos_max)) * F.lit(_SLACK)
+        width = F.degrees(F.lit(2.0) * F.asin(F.lit(self.sin_half) / cos_max)) * F.lit(_MARGIN)
         return (F.when(cos_max <= F.lit(self.sin_half), F.lit(1))
                  .otherwise(F.greatest(F.lit(1), F.floor(F.lit(360.0) / width).cast("int"))))
 

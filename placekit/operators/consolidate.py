@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from placekit.functions.names import name_key, name_uuid, normalize_name
 from placekit.operators.match import PRODUCTION, MatchParams, match_order, match_places
 from placekit.operators.ranking import rank_within
-from placekit.session import materialize
+from placekit.session import materialize, prepare_for_joins
 
 LINK_FIELDS = ["merchantId", "provider", "sourceId", "active", "redeemType",
                "savingsPercentage", "denominationsType"]
@@ -237,10 +237,13 @@ def provider_links(a: DataFrame, b: DataFrame, matches: DataFrame, un_a: DataFra
 
 
 def combine_feeds(feeds: list, params: MatchParams = PRODUCTION, matches: DataFrame | None = None,
-                  dedupe: bool = False) -> CombinedResult:
+                  dedupe: bool = False, prepare_inputs: bool = True) -> CombinedResult:
     """Combine feed A (``feeds[0]``, wins on merge) with feed B (``feeds[1]``).
 
-    0 feeds -> empty result; 1 feed -> unchanged rows plus their links.
+    1 feed -> unchanged rows plus their links.  With ``prepare_inputs`` both
+    feeds are first materialized once - bucketed by ``row_id``, the key of
+    every later join back to the feeds, when they are large; pass ``False``
+    when the caller already did that.
     """
     if len(feeds) > 2:
         raise ValueError("combine_feeds combines exactly two feeds; got %d" % len(feeds))
@@ -256,6 +259,8 @@ def combine_feeds(feeds: list, params: MatchParams = PRODUCTION, matches: DataFr
                   .select("merchantId", "provider", "v.*"))
         return CombinedResult(f, links, None)
     a, b = feeds
+    if prepare_inputs:
+        a, b = prepare_for_joins(a, "row_id"), prepare_for_joins(b, "row_id")
     if matches is None:
         matches = match_order(match_places(a, b, params))   # materialized by the matcher
     else:

@@ -18,7 +18,7 @@ from placekit.operators import changes as CH
 from placekit.operators import report as R
 from placekit.operators.consolidate import combine_feeds
 from placekit.operators.match import PRODUCTION, MatchParams
-from placekit.session import get_spark, materialize
+from placekit.session import get_spark, prepare_for_joins
 from placekit.sources import feeds as FD
 from placekit.sources import io as IO
 
@@ -42,13 +42,13 @@ def run_sync(inputs: dict, output_root: str, mode: str, snapshot_date: str,
              previous: DataFrame | None = None, params: MatchParams = PRODUCTION,
              blocklist: dict | None = None, force: bool = False) -> SyncResult:
     reg = FD.feed_a_brand_registry(inputs["brands_a"])
-    places_a = materialize(_numbered(FD.feed_a_places(reg.enabled, inputs["locations_a"])))
+    places_a = prepare_for_joins(_numbered(FD.feed_a_places(reg.enabled, inputs["locations_a"])), "row_id")
     fb = FD.feed_b(inputs["brands_b"], inputs["offers_b"], inputs["locations_b"], blocklist=blocklist)
-    places_b = materialize(_numbered(fb.places))
+    places_b = prepare_for_joins(_numbered(fb.places), "row_id")
     places_c = FD.feed_c_places(inputs["sheet_c"])
     kiosks = FD.kiosk_places(inputs["kiosks"])
 
-    combined = combine_feeds([places_a, places_b], params)
+    combined = combine_feeds([places_a, places_b], params, prepare_inputs=False)
     providers = R.archive(places_a).unionByName(R.archive(places_b))
     tables = {
         "merchant": IO.explore_table(places_c, combined.places),

@@ -252,17 +252,61 @@ def proximity_stage(a: DataFrame, b: DataFrame, exact: DataFrame, params: MatchP
     return out
 
 
+def candidate_pairs(a: DataFrame, b: DataFrame, params: MatchParams) -> DataFrame:
+    """Every pair that can pass either stage: within the reachable radius
+    (both stages score alike, so no pair beyond it reaches the confidence
+    threshold) and, unless names are ignored, with name similarity >= min.
+    ``same_cell`` marks the pairs of the exact-cell stage."""
+    p = params.coordinate_precision
+    A, B = _side(a, "a_", params), _side(b, "b_", params)
+    extra = {}
+    if _name_blocking(params):
+        m = params.min_name_similarity
+        extra = {"build_key": _length_band(F.col("a_name_cmp"), m),
+                 "probe_keys": _band_keys(F.col("b_name_cmp"), m)}
+    pairs = radius_join(A, B, reachable_radius(params),
+                        build_coords=("a_latitude", "a_longitude"),
+                        probe_coords=("b_latitude", "b_longitude"), **extra)
+    pairs = pairs.withColumn(
+        "same_cell",
+        (coordinate_cell("a_latitude", p) == coordinate_cell("b_latitude", p))
+        & (coordinate_cell("a_longitude", p) == coordinate_cell("b_longitude", p)))
+    if not params.ignore_name:
+        if params.similarity == "blended":
+            pairs = _blended_names(pairs)
+        else:
+            pairs = pairs.withColumn("name_similarity", similarity_of_forms("b_name_cmp", "a_name_cmp"))
+        pairs = pairs.filter(F.col("name_similarity") >= F.lit(params.min_name_similarity))
+    return pairs
+
+
 def match_places(a: DataFrame, b: DataFrame, params: MatchParams = PRODUCTION) -> DataFrame:
     """Matches between feed A (primary) and feed B (secondary).
 
     Inputs need ``row_id, seq, name, address1, latitude, longitude, city,
     territory``; output columns are :data:`PAIR_COLUMNS`.
+
+    One grid join produces the candidates of both stages, so each feed is
+    shuffled by location once: stage 1 is the same-cell subset; stage 2 is the
+    rest minus pairs touching a row matched in stage 1 (filtering the small
+    pair table is the same as filtering the inputs first).
     """
     from placekit.session import materialize
-    # stage-1 pairs are read three times (output and both remainders): once
-    exact = materialize(exact_stage(a, b, params))
+    cands = materialize(candidate_pairs(a, b, params))
+    exact = materialize(_finish(_score(cands.filter("same_cell"), params), params, 1, F.lit(
+        f"truncated_coordinates_{params.coordinate_precision}dp, coordinate_priority_match")))
+    rest = (cands.join(exact.select("a_row_id").distinct(), "a_row_id", "left_anti")
+                 .join(exact.select("b_row_id").distinct(), "b_row_id", "left_anti"))
+    reason = F.concat(F.lit("coordinate_priority_proximity, distance_"),
+                      F.format_string("%.3f", F.col("distance_miles")), F.lit("mi"))
+    prox = _finish(_score(rest, params), params, 2, reason)
+    if not params.show_all_matches:
+        best = (prox.groupBy("b_row_id")
+                    .agg(F.min_by(F.struct(*prox.columns),
+                                  F.struct(-F.col("confidence"), F.col("a_seq"))).alias("m")))
+        prox = best.select("m.*")
     # the pair table feeds every later stage (reports, merge, links): once
-    return materialize(exact.unionByName(proximity_stage(a, b, exact, params)))
+    return materialize(exact.unionByName(prox))
 
 
 def match_order(pairs: DataFrame) -> DataFrame:

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from placekit.functions.names import name_key, name_uuid, normalize_name
 from placekit.operators.match import PRODUCTION, MatchParams, match_order, match_places
+from placekit.operators.joins import left_join_nonnull
 from placekit.operators.ranking import rank_within
 from placekit.session import materialize, prepare_for_joins
 
@@ -99,7 +100,7 @@ def _logo_at(pos: Column) -> Column:
 
 
 def _dict_join(df: DataFrame, dictionary: DataFrame) -> DataFrame:
-    return standardize_names(df).join(dictionary, "name_key", "left")
+    return left_join_nonnull(standardize_names(df), dictionary, ["name_key"])
 
 
 def merged_places(a: DataFrame, b: DataFrame, matches: DataFrame) -> DataFrame:
@@ -185,7 +186,9 @@ def _apply_folds(rows: DataFrame, folds: DataFrame, un_b: DataFrame, dictionary:
     d = dictionary.select(F.col("name_key").alias("_fold_key"), F.col("canon_name").alias("_fn"),
                           F.col("canon_id").alias("_fid"), F.col("first_logo").alias("_fl"),
                           F.col("first_logo_ord").alias("_flo"))
-    r = rows.join(agg, "uid", "left").join(d, "_fold_key", "left")
+    # resolve the fold targets against the dictionary while they are small,
+    # then join the places once on their unique uid (no null-key hot spot)
+    r = rows.join(agg.join(d, "_fold_key", "left"), "uid", "left")
     folded = F.col("_fold_pos").isNotNull()
     return (r.withColumn("name", F.when(folded, F.col("_fn")).otherwise(F.col("name")))
              .withColumn("merchantId", F.when(folded, F.col("_fid")).otherwise(F.col("merchantId")))
@@ -284,9 +287,8 @@ def combine_feeds(feeds: list, params: MatchParams = PRODUCTION, matches: DataFr
 
 def _dedupe_key(places: DataFrame, dictionary: DataFrame) -> DataFrame:
     d = dictionary.select(F.col("name_key").alias("_k2"), F.col("canon_name").alias("_cn2"))
-    p = (places.withColumn("_n2", normalize_name("name"))
-               .withColumn("_k2", name_key("_n2"))
-               .join(d, "_k2", "left"))
+    p = left_join_nonnull(places.withColumn("_n2", normalize_name("name"))
+                               .withColumn("_k2", name_key("_n2")), d, ["_k2"])
     fmt = lambda c: F.coalesce(F.format_string("%.4f", F.col(c)), F.lit("null"))
     key = F.concat_ws("|", F.coalesce("_cn2", "_n2", F.lit("")), fmt("latitude"), fmt("longitude"),
                       F.coalesce(F.col("type"), F.lit("null")))

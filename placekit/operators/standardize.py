@@ -10,6 +10,7 @@ from placekit.functions.names import clean_business_name
 from placekit.functions.regions import CITY_ABBREVIATIONS, state_from_json, state_from_text
 from placekit.functions.text import utrim
 from placekit.operators.geo_join import radius_join
+from placekit.operators.joins import left_join_nonnull
 
 # Coordinate column names recognised by the geocoding job.
 LATITUDE_NAMES = ["latitude", "Latitude", "LATITUDE"]
@@ -76,7 +77,7 @@ def gazetteer_enrich(df: DataFrame, gazetteer: DataFrame, max_miles: float = 150
     near = radius_join(g, pts, max_miles, ("_glat", "_glon"), ("_rlat", "_rlon"), "_gd")
     best = near.groupBy("_rlat", "_rlon").agg(
         F.min_by(F.struct("_gcity", "_gstate"), F.struct("_gd", "_gcity", "_gstate")).alias("_g"))
-    out = rows.join(best, ["_rlat", "_rlon"], "left")
+    out = left_join_nonnull(rows, best, ["_rlat", "_rlon"])
     return (out.withColumn("corrected_city", F.coalesce(F.col("_g._gcity"), F.lit("")))
                .withColumn("corrected_state", F.coalesce(F.col("_g._gstate"), F.lit("")))
                .drop("_rlat", "_rlon", "_g"))

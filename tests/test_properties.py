@@ -159,3 +159,13 @@ def test_bucketed_inputs_give_same_result(spark):
     finally:
         spark.conf.unset(BUCKET_THRESHOLD_CONF)
     assert p1 == p2 and l1 == l2
+
+
+def test_left_join_nonnull_equals_left_join(spark):
+    from placekit.operators.joins import left_join_nonnull
+    big = spark.createDataFrame([(1, "x"), (2, None), (3, "y"), (4, None)], "id int, k string")
+    small = spark.createDataFrame([("x", 10), ("z", 30)], "k string, v int")
+    want = sorted(big.join(small, "k", "left").collect(), key=repr)
+    got = sorted(left_join_nonnull(big, small, ["k"]).select(*big.columns[::-1], "v")
+                 .select("k", "id", "v").collect(), key=repr)
+    assert [tuple(r) for r in got] == [tuple(r) for r in want]

@@ -37,9 +37,20 @@ def keyed_diff(prev: DataFrame, curr: DataFrame, key, drop_null_keys: bool = Fal
         p, c = p.filter(F.col("_dk").isNotNull()), c.filter(F.col("_dk").isNotNull())
     pk = p.select(F.col("_dk").alias("_ok")).distinct()
     ck = c.select(F.col("_dk").alias("_ok")).distinct()
-    new = c.join(pk, c["_dk"].eqNullSafe(pk["_ok"]), "left_anti").drop("_dk")
-    removed = p.join(ck, p["_dk"].eqNullSafe(ck["_ok"]), "left_anti").drop("_dk")
-    return Diff(new, removed)
+    return Diff(_absent(c, pk).drop("_dk"), _absent(p, ck).drop("_dk"))
+
+
+def _absent(side: DataFrame, other_keys: DataFrame) -> DataFrame:
+    """Rows of ``side`` whose key ``_dk`` is not among ``other_keys._ok``
+    (null equals null).  Null-key rows are not shuffled: whether the other
+    side has a null key is a marker of at most one row, broadcast."""
+    has = side.filter(F.col("_dk").isNotNull())
+    nonnull = has.join(other_keys.filter(F.col("_ok").isNotNull()),
+                       has["_dk"] == other_keys["_ok"], "left_anti")
+    marker = other_keys.filter(F.col("_ok").isNull()).select(F.lit(1).alias("_one")).limit(1)
+    nulls = (side.filter(F.col("_dk").isNull()).withColumn("_one", F.lit(1))
+                 .join(F.broadcast(marker), "_one", "left_anti").drop("_one"))
+    return nonnull.unionByName(nulls)
 
 
 def row_diff(prev: DataFrame, curr: DataFrame) -> Diff:

@@ -169,3 +169,16 @@ def test_left_join_nonnull_equals_left_join(spark):
     got = sorted(left_join_nonnull(big, small, ["k"]).select(*big.columns[::-1], "v")
                  .select("k", "id", "v").collect(), key=repr)
     assert [tuple(r) for r in got] == [tuple(r) for r in want]
+
+
+def test_keyed_diff_null_keys(spark):
+    from placekit.operators.changes import keyed_diff
+    prev = spark.createDataFrame([("a",), (None,), ("b",)], "k string")
+    curr = spark.createDataFrame([("a",), (None,), (None,), ("c",)], "k string")
+    d = keyed_diff(prev, curr, "k")
+    assert sorted(r.k for r in d.new.collect()) == ["c"]
+    assert sorted(r.k for r in d.removed.collect()) == ["b"]
+    d2 = keyed_diff(prev.filter("k is not null"), curr, "k")
+    assert sorted((r.k or "") for r in d2.new.collect()) == ["", "", "c"]
+    d3 = keyed_diff(prev, curr, "k", drop_null_keys=True)
+    assert sorted(r.k for r in d3.new.collect()) == ["c"]

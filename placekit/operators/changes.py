@@ -47,9 +47,9 @@ def _absent(side: DataFrame, other_keys: DataFrame) -> DataFrame:
     has = side.filter(F.col("_dk").isNotNull())
     nonnull = has.join(other_keys.filter(F.col("_ok").isNotNull()),
                        has["_dk"] == other_keys["_ok"], "left_anti")
-    marker = other_keys.filter(F.col("_ok").isNull()).select(F.lit(1).alias("_one")).limit(1)
-    nulls = (side.filter(F.col("_dk").isNull()).withColumn("_one", F.lit(1))
-                 .join(F.broadcast(marker), "_one", "left_anti").drop("_one"))
+    marker = other_keys.filter(F.col("_ok").isNull()).limit(1)
+    nulls = side.filter(F.col("_dk").isNull())
+    nulls = nulls.join(F.broadcast(marker), nulls["_dk"].eqNullSafe(marker["_ok"]), "left_anti")
     return nonnull.unionByName(nulls)
 
 

@@ -27,3 +27,16 @@ def test_sync_publishes_only_on_change(spark):
     counts = {r.source: r for r in r2.sources.collect()}
     assert counts["A"].new_brands == 0 and counts["B"].removed_brands == 0
     assert spark.read.parquet(f"{root}/merchant").count() == r1.tables["merchant"].count()
+
+
+def test_sync_cli_reads_landed_parquet(spark, capsys):
+    from placekit.plans.sync import INPUTS, main
+    land = tempfile.mkdtemp(prefix="pk-land-")
+    out = tempfile.mkdtemp(prefix="pk-out-")
+    for name, df in _inputs(spark).items():
+        df.write.mode("overwrite").parquet(f"{land}/{name}")
+    assert set(INPUTS) == set(_inputs(spark))
+    main(["--input", land, "--output", out, "--mode", "DEVNET", "--date", "2024-06-01"])
+    assert "published" in capsys.readouterr().out
+    main(["--input", land, "--output", out, "--mode", "DEVNET", "--date", "2024-06-02"])
+    assert "unchanged" in capsys.readouterr().out

@@ -86,9 +86,15 @@ def main(argv=None) -> None:
     ap.add_argument("--mode", required=True, choices=["PRODUCTION", "TESTNET", "DEVNET"])
     ap.add_argument("--date", required=True, help="snapshot date yyyy-MM-dd")
     ap.add_argument("--force", action="store_true")
+    ap.add_argument("--format", choices=["parquet", "json"], default="parquet",
+                    help="landed input format; JSON is read with the typed feed schemas (strict)")
     args = ap.parse_args(argv)
     spark = get_spark()
-    inputs = {n: spark.read.parquet(f"{args.input.rstrip('/')}/{n}") for n in INPUTS}
+    root = args.input.rstrip("/")
+    if args.format == "json":
+        inputs = {n: IO.read_feed_json(spark, f"{root}/{n}", IO.FEED_SCHEMAS[n]) for n in INPUTS}
+    else:
+        inputs = {n: spark.read.parquet(f"{root}/{n}") for n in INPUTS}
     previous = None
     try:
         snaps = spark.read.parquet(f"{args.output.rstrip('/')}/from_providers")

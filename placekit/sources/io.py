@@ -138,3 +138,57 @@ def publish_if_changed(tables: dict, root: str, mode_name: str, snapshot_date: s
     (fps.withColumn("mode", F.lit(mode_name)).withColumn("snapshot_date", F.lit(snapshot_date))
         .write.mode("append").parquet(manifest))
     return True
+
+
+# ---------------------------------------------------------------- landed JSON feeds
+
+def _fields(spec: str) -> str:
+    return spec
+
+
+_HOURS = ", ".join(f"{d}{oc} string" for d in ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday",
+                                              "Saturday", "Sunday") for oc in ("Open", "Close"))
+# Schemas (DDL) of the landed raw feeds, field names as the feeds deliver them.
+FEED_SCHEMAS = {
+    "brands_a": _fields("seq bigint, id string, name string, enabled boolean, type string, deeplink string, "
+                        "website string, logoUrl string, cardImageUrl string, redeemType string, "
+                        "savingsPercentage int, denominationsType string"),
+    "locations_a": _fields("seq bigint, id string, merchantId string, address1 string, address2 string, "
+                           "postalCode string, phone string, territory string, city string, sourceId string, "
+                           f"latitude double, longitude double, {_HOURS}"),
+    "brands_b": _fields("seq bigint, id string, name string"),
+    "offers_b": _fields("seq bigint, id int, name string, description string, image string, price_type string, "
+                        "currency string, discount_percentage double, min_denomination double, "
+                        "max_denomination double, denomination string, fee int, quantity int, brand_id string"),
+    "locations_b": _fields("seq bigint, name string, brand_id string, latitude double, longitude double, "
+                           "street_number string, street string, city string, state string, zip string, "
+                           "country string, opening_hours string, phone string, shop string, website string, "
+                           "wheelchair string"),
+    "kiosks": _fields("id int, url string, image_url string, type string, operator string, operator_logo string, "
+                      "operator_phone string, location string, country string, state string, city string, "
+                      "address string, is_247 int, open_hours string, lat double, lng double, buy int, sell int, "
+                      "updated_online bigint, buy_fee_perc string, sell_fee_perc string, fiat string, "
+                      "buy_fee_amt string, sell_fee_amt string"),
+}
+
+
+def _sheet_schema() -> str:
+    from placekit.sources.fixtures import SHEET_COLUMNS
+    return "row_key string, seq bigint, " + ", ".join(f"{c} string" for c in SHEET_COLUMNS)
+
+
+FEED_SCHEMAS["sheet_c"] = _sheet_schema()
+
+
+def read_feed_json(spark: SparkSession, path: str, schema: str, strict: bool = True) -> DataFrame:
+    """Read landed JSON feed records with an explicit schema.
+
+    Missing or null fields are null.  A value of the wrong JSON type fails the
+    read when ``strict`` (``FAILFAST``); otherwise the record is kept with
+    null fields and its text in ``_corrupt_record`` for quarantine.
+    """
+    reader = spark.read.option("mode", "FAILFAST" if strict else "PERMISSIVE")
+    if strict:
+        return reader.schema(schema).json(path)
+    return (reader.schema(f"{schema}, _corrupt_record string")
+                  .option("columnNameOfCorruptRecord", "_corrupt_record").json(path))

@@ -90,3 +90,20 @@ def test_csv_export_quoting_is_minimal(spark):
         e = f.replace('"', '""')
         return f'"{e}"' if any(c in e for c in ',"\n\r') else e
     assert body == "".join(",,,,,,,," + rule(v) + "," * 36 + "\n" for v in vals)
+
+
+def test_read_feed_json_strict_and_quarantine(spark):
+    import pytest
+    d = tempfile.mkdtemp(prefix="pk-json-")
+    with open(f"{d}/b.json", "w") as f:
+        f.write('{"seq": 1, "name": "ok", "brand_id": "7", "latitude": 1.5, "longitude": 2.0}\n')
+        f.write('{"seq": 2, "name": "bad", "brand_id": "7", "latitude": "north", "longitude": 2.0}\n')
+        f.write('{"seq": 3, "name": "missing"}\n')
+    schema = io.FEED_SCHEMAS["locations_b"]
+    with pytest.raises(Exception):
+        io.read_feed_json(spark, d, schema, strict=True).collect()
+    df = io.read_feed_json(spark, d, schema, strict=False)
+    rows = {r.seq: r for r in df.collect()}
+    assert rows[1].latitude == 1.5 and rows[1]._corrupt_record is None
+    assert rows[2].latitude is None and "north" in rows[2]._corrupt_record
+    assert rows[3].latitude is None and rows[3]._corrupt_record is None

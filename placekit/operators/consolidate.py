@@ -24,7 +24,7 @@ from placekit.functions.names import name_key, name_uuid, normalize_name
 from placekit.operators.match import PRODUCTION, MatchParams, match_order, match_places
 from placekit.operators.joins import left_join_nonnull
 from placekit.operators.ranking import rank_within
-from placekit.session import materialize, prepare_for_joins
+from placekit.session import materialize
 
 LINK_FIELDS = ["merchantId", "provider", "sourceId", "active", "redeemType",
                "savingsPercentage", "denominationsType"]
@@ -244,8 +244,8 @@ def combine_feeds(feeds: list, params: MatchParams = PRODUCTION, matches: DataFr
     """Combine feed A (``feeds[0]``, wins on merge) with feed B (``feeds[1]``).
 
     1 feed -> unchanged rows plus their links.  With ``prepare_inputs`` both
-    feeds are first materialized once - bucketed by ``row_id``, the key of
-    every later join back to the feeds, when they are large; pass ``False``
+    feeds are first materialized once, because every later join goes back
+    to them; pass ``False``
     when the caller already did that.
     """
     if len(feeds) > 2:
@@ -263,7 +263,7 @@ def combine_feeds(feeds: list, params: MatchParams = PRODUCTION, matches: DataFr
         return CombinedResult(f, links, None)
     a, b = feeds
     if prepare_inputs:
-        a, b = prepare_for_joins(a, "row_id"), prepare_for_joins(b, "row_id")
+        a, b = materialize(a), materialize(b)
     if matches is None:
         matches = match_order(match_places(a, b, params))   # materialized by the matcher
     else:

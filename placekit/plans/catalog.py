@@ -94,10 +94,10 @@ from placekit.operators import consolidate as C  # noqa: E402
 
 
 def combined(spark, sf_dir):
-    from placekit.session import prepare_for_joins
+    from placekit.session import materialize
     # the consolidation joins each feed back by row_id several times:
-    # derive them once (bucketed by that key when large)
-    a, b = (prepare_for_joins(f, "row_id") for f in feeds(spark, sf_dir))
+    # derive them once
+    a, b = (materialize(f) for f in feeds(spark, sf_dir))
     return a, b, C.combine_feeds([a, b], M.PRODUCTION, prepare_inputs=False)
 
 

@@ -6,8 +6,8 @@ settings that are still unset, so cluster-level configuration always wins.
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -53,12 +53,16 @@ def get_spark(master: str | None = None, app_name: str = "placekit",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) a scratch
-    folder is created and registered.
+    Read from the session.  Only a local session (tests, bench), where driver
+    and tasks share one disk, gets a scratch folder when the setting is unset;
+    a cluster session without it is an error, because other executors could
+    not read what the driver's machine holds.
     """
     sc = spark.sparkContext
     path = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="placekit-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(path)
@@ -66,61 +70,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialize(df):
-    """Cut lineage: reliable checkpoint into the shared checkpoint folder.
+    """Cut lineage: write ``df`` as Parquet into the shared checkpoint folder
+    and read it back.
 
     Used for tables that several later stages read (the match pairs, the
     brand dictionary), so their plans are computed once and survive lost
-    executors.
+    executors; readers of the Parquet files still prune columns.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def bucketed(df, key: str, buckets: int | None = None, prefix: str = "placekit"):
-    """Write ``df`` once as a table bucketed (and sorted) by ``key`` in the
-    shared checkpoint folder and return it.
-
-    Later joins on ``key`` read it without a shuffle; only their other side is
-    hash-partitioned to the same bucket count.  Repartitioning first keeps one
-    file per bucket.
-    """
-    import uuid
-    spark = df.sparkSession
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    name = f"{prefix}_{uuid.uuid4().hex[:12]}"
-    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}"
-    (df.repartition(n, key).write.mode("overwrite").bucketBy(n, key).sortBy(key)
-       .option("path", path).saveAsTable(name))
-    return spark.table(name)
-
-
-# Feeds estimated at or above this size are bucketed before the consolidation
-# joins; smaller ones are only checkpointed (session conf overrides it).
-BUCKET_THRESHOLD_CONF = "placekit.bucketJoinThresholdBytes"
-BUCKET_THRESHOLD_BYTES = 1 << 30
-
-
-def input_bytes(df) -> int:
-    """Bytes of the relations ``df`` reads: the sum of its plan leaves' size
-    statistics (file sizes for file sources; no job runs).  Catalyst's
-    estimate for the whole plan is not used because, without join statistics,
-    it multiplies the sides of every join."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    total = 0
-    for i in range(leaves.size()):
-        leaf = leaves.apply(i)
-        if leaf.nodeName() == "LogicalRDD":
-            continue  # checkpointed data: its statistics are not file sizes
-        total += int(str(leaf.stats().sizeInBytes()))
-    return total
-
-
-def prepare_for_joins(df, key: str):
-    """Materialize a table that several later joins read back by ``key``:
-    bucketed by ``key`` when large (saves a shuffle of it per join), a plain
-    checkpoint when small (a bucketed write costs more than it saves)."""
     spark = df.sparkSession
-    threshold = int(spark.conf.get(BUCKET_THRESHOLD_CONF, str(BUCKET_THRESHOLD_BYTES)))
-    if input_bytes(df) >= threshold:
-        return bucketed(df, key)
-    return materialize(df)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -141,26 +141,6 @@ def test_name_length_blocking_is_exact(spark, monkeypatch):
         assert with_blocking == without, m
 
 
-def test_bucketed_inputs_give_same_result(spark):
-    """Large feeds are bucketed by row_id before consolidation; forcing that
-    path (threshold 0) must not change any row."""
-    from placekit.operators.consolidate import combine_feeds
-    from placekit.session import BUCKET_THRESHOLD_CONF
-    from placekit.sources import fixtures as fx
-    a, b = fx.place_a(spark, SF_SMALL), fx.place_b(spark, SF_SMALL)
-    key = lambda r: repr(tuple(r))
-    plain = combine_feeds([a, b])
-    spark.conf.set(BUCKET_THRESHOLD_CONF, "0")
-    try:
-        buck = combine_feeds([a, b])
-        p1 = sorted(plain.places.drop("pos").collect(), key=key)
-        p2 = sorted(buck.places.drop("pos").collect(), key=key)
-        l1, l2 = sorted(plain.links.collect(), key=key), sorted(buck.links.collect(), key=key)
-    finally:
-        spark.conf.unset(BUCKET_THRESHOLD_CONF)
-    assert p1 == p2 and l1 == l2
-
-
 def test_left_join_nonnull_equals_left_join(spark):
     from placekit.operators.joins import left_join_nonnull
     big = spark.createDataFrame([(1, "x"), (2, None), (3, "y"), (4, None)], "id int, k string")

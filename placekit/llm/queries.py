@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from placekit.llm.bpe import op2_bpe
 from placekit.llm.decontaminate import op7_decontaminate
+from placekit.llm.ngram_join import op4_ngram_join
 
 QUERIES = {
     "op2_bpe": op2_bpe,
+    "op4_ngram_join": op4_ngram_join,
     "op7_decontaminate": op7_decontaminate,
 }
 

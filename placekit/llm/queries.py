@@ -5,8 +5,10 @@ from __future__ import annotations
 from placekit.llm.bpe import op2_bpe
 from placekit.llm.decontaminate import op7_decontaminate
 from placekit.llm.ngram_join import op4_ngram_join
+from placekit.llm.toxicity import op1_toxicity
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_bpe": op2_bpe,
     "op4_ngram_join": op4_ngram_join,
     "op7_decontaminate": op7_decontaminate,

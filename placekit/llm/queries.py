@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from placekit.llm.bpe import op2_bpe
 from placekit.llm.decontaminate import op7_decontaminate
+from placekit.llm.line_dedup import op10_line_dedup
 from placekit.llm.ngram_join import op4_ngram_join
 from placekit.llm.toxicity import op1_toxicity
 
@@ -12,6 +13,7 @@ QUERIES = {
     "op2_bpe": op2_bpe,
     "op4_ngram_join": op4_ngram_join,
     "op7_decontaminate": op7_decontaminate,
+    "op10_line_dedup": op10_line_dedup,
 }
 
 ORACLE: dict[str, str] = {}

@@ -6,6 +6,7 @@ from placekit.llm.bpe import op2_bpe
 from placekit.llm.decontaminate import op7_decontaminate
 from placekit.llm.line_dedup import op10_line_dedup
 from placekit.llm.ngram_join import op4_ngram_join
+from placekit.llm.token_files import op9_token_files
 from placekit.llm.toxicity import op1_toxicity
 
 QUERIES = {
@@ -13,6 +14,7 @@ QUERIES = {
     "op2_bpe": op2_bpe,
     "op4_ngram_join": op4_ngram_join,
     "op7_decontaminate": op7_decontaminate,
+    "op9_token_files": op9_token_files,
     "op10_line_dedup": op10_line_dedup,
 }
 

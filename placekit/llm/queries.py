@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from placekit.llm.bpe import op2_bpe
+from placekit.llm.chat import OP3_SQL, op3_chat_format
 from placekit.llm.decontaminate import op7_decontaminate
 from placekit.llm.line_dedup import op10_line_dedup
 from placekit.llm.ngram_join import op4_ngram_join
@@ -12,10 +13,13 @@ from placekit.llm.toxicity import op1_toxicity
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_bpe": op2_bpe,
+    "op3_chat_format": op3_chat_format,
     "op4_ngram_join": op4_ngram_join,
     "op7_decontaminate": op7_decontaminate,
     "op9_token_files": op9_token_files,
     "op10_line_dedup": op10_line_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op3_chat_format": OP3_SQL,
+}

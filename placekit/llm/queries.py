@@ -7,6 +7,7 @@ from placekit.llm.chat import OP3_SQL, op3_chat_format
 from placekit.llm.decontaminate import op7_decontaminate
 from placekit.llm.line_dedup import op10_line_dedup
 from placekit.llm.ngram_join import op4_ngram_join
+from placekit.llm.pii import op5_pii
 from placekit.llm.quality import op6_quality_rules
 from placekit.llm.token_files import op9_token_files
 from placekit.llm.toxicity import op1_toxicity
@@ -16,6 +17,7 @@ QUERIES = {
     "op2_bpe": op2_bpe,
     "op3_chat_format": op3_chat_format,
     "op4_ngram_join": op4_ngram_join,
+    "op5_pii": op5_pii,
     "op6_quality_rules": op6_quality_rules,
     "op7_decontaminate": op7_decontaminate,
     "op9_token_files": op9_token_files,

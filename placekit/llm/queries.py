@@ -9,6 +9,7 @@ from placekit.llm.line_dedup import op10_line_dedup
 from placekit.llm.ngram_join import op4_ngram_join
 from placekit.llm.pii import op5_pii
 from placekit.llm.quality import op6_quality_rules
+from placekit.llm.suffix_dedup import op8_suffix_dedup
 from placekit.llm.token_files import op9_token_files
 from placekit.llm.toxicity import op1_toxicity
 
@@ -20,6 +21,7 @@ QUERIES = {
     "op5_pii": op5_pii,
     "op6_quality_rules": op6_quality_rules,
     "op7_decontaminate": op7_decontaminate,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_token_files": op9_token_files,
     "op10_line_dedup": op10_line_dedup,
 }

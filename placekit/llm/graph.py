@@ -64,6 +64,6 @@ def block_pairs(members: DataFrame, group: str, node: str, block: int) -> DataFr
                     .select(group, F.ceil(F.col("_n") / block).cast("int").alias("_nb")))
     m = members.join(sizes, group)
     m = m.withColumn("blk", F.pmod(F.xxhash64(F.lit(7), F.col(node)), F.col("_nb")).cast("int"))
-    m = m.withColumn("_c", F.explode(F.sequence(F.lit(0), F.col("_nb") - 1)))
+    m = m.withColumn("_c", F.explode_outer(F.sequence(F.lit(0), F.col("_nb") - 1)))
     return (m.withColumn("lo", F.least("blk", "_c")).withColumn("hi", F.greatest("blk", "_c"))
              .drop("_nb", "_c"))

@@ -125,10 +125,11 @@ def content_fingerprint(df: DataFrame, method: str = "sha2") -> DataFrame:
     """Order-independent fingerprint: row count, XOR and sum of a 48-bit row hash.
 
     ``sha2`` hashes a delimited text form of the row (portable across engines);
-    ``xxhash64`` uses Spark's native hash (cheaper, Spark-only).
+    ``xxhash64`` uses Spark's native hash (cheaper, Spark-only); it skips
+    nulls, so each column brings whether it is null.
     """
     if method == "xxhash64":
-        h = F.xxhash64(*[F.col(c) for c in df.columns])
+        h = F.xxhash64(*[x for c in df.columns for x in (F.col(c).isNull(), F.col(c))])
         v = F.shiftright(h, 16)
     else:
         text = F.concat_ws("\u001f", *[F.coalesce(F.col(c).cast("string"), F.lit("\u0000"))

@@ -15,9 +15,10 @@ map side instead of being collected into one task.
 
 from __future__ import annotations
 
+from functools import cached_property
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from placekit.functions.names import name_key, name_uuid, normalize_name
@@ -30,12 +31,69 @@ LINK_FIELDS = ["merchantId", "provider", "sourceId", "active", "redeemType",
                "savingsPercentage", "denominationsType"]
 
 
-class CombinedResult(NamedTuple):
+# Schemas of the result of no feed at all.
+PLACE_SCHEMA = ("merchantId string, name string, address1 string, latitude double, longitude double, city string, "
+                "territory string, type string, savingsPercentage int, logoLocation string, source string, "
+                "sourceId string, active boolean, redeemType string, denominationsType string, plusCode string")
+LINK_SCHEMA = ("merchantId string, provider string, sourceId string, active boolean, redeemType string, "
+               "savingsPercentage int, denominationsType string")
+
+
+class CombinedResult:
+    """The combination of feed A and feed B, each table computed when it is
+    first asked for.  Tables that others are made from are written to the
+    shared folder once."""
+
+    def __init__(self, a: DataFrame, b: DataFrame, params: MatchParams, matches: DataFrame | None = None,
+                 dedupe: bool = False):
+        self._a, self._b, self._params, self._given, self._dedupe = a, b, params, matches, dedupe
+
+    @cached_property
+    def matches(self) -> DataFrame:
+        m = match_places(self._a, self._b, self._params) if self._given is None else self._given
+        return materialize(match_order(m))
+
+    @cached_property
+    def dictionary(self) -> DataFrame:
+        return materialize(brand_dictionary(dictionary_events(self._a, self._b, self.matches)))
+
+    @cached_property
+    def merged(self) -> DataFrame:
+        return merged_places(self._a, self._b, self.matches)
+
+    @cached_property
+    def unmatched_a(self) -> DataFrame:
+        return unmatched_rows(self._a, self.matches, self.dictionary, "a")
+
+    @cached_property
+    def unmatched_b(self) -> DataFrame:
+        return unmatched_rows(self._b, self.matches, self.dictionary, "b")
+
+    @cached_property
+    def folds(self) -> DataFrame:
+        return materialize(online_fold(self.merged, self.unmatched_a, self.unmatched_b))
+
+    @cached_property
+    def places(self) -> DataFrame:
+        un_a, un_b = self.unmatched_a, self.unmatched_b
+        inserted = self.folds.filter(F.col("target_uid").isNull()).select(F.col("b_uid").alias("uid"))
+        b_rows = (un_b.filter(F.col("type").isNull() | (F.col("type") != "online"))
+                      .unionByName(un_b.filter(F.col("type") == "online").join(inserted, "uid", "left_semi")))
+        rows = _place_cols(self.merged).unionByName(_place_cols(un_a)).unionByName(_place_cols(b_rows))
+        places = _apply_folds(rows, self.folds, un_b, self.dictionary)
+        return dedupe_places(places, self.dictionary) if self._dedupe else places
+
+    @cached_property
+    def links(self) -> DataFrame:
+        return provider_links(self._a, self._b, self.matches, self.unmatched_a, self.unmatched_b, self.folds)
+
+
+class Uncombined(NamedTuple):
+    """The result of one feed or none: nothing to match."""
+
     places: DataFrame
     links: DataFrame
-    matches: DataFrame | None
-    dictionary: DataFrame | None = None
-    folds: DataFrame | None = None
+    matches: None = None
 
 
 def _ord(p: int | Column, m=0, s=None, c=0.0, a=0) -> Column:
@@ -139,8 +197,11 @@ def online_fold(merged: DataFrame, un_a: DataFrame, un_b: DataFrame) -> DataFram
     rows by ``seq``.  Each update moves the row to the end of the list, so pj
     folds onto e[(j-1) mod k + 1]; with k = 0, p1 is inserted and p2..pm fold
     into it.  Returns one row per B online row with ``target_uid`` (null when
-    inserted) and the merchant id its provider link uses.
+    inserted) and the merchant id its provider link uses.  A row without a name
+    shares it with no other, so it is inserted.
     """
+    unnamed = un_b.filter((F.col("type") == "online") & F.col("name").isNull())
+    un_b = un_b.filter(F.col("name").isNotNull())
     existing = (merged.filter(F.col("type") == "online")
                       .select(F.col("name").alias("c"), "uid", "pos", F.col("merchantId").alias("orig_mid"))
                       .unionByName(un_a.filter(F.col("type") == "online")
@@ -168,12 +229,17 @@ def online_fold(merged: DataFrame, un_a: DataFrame, un_b: DataFrame) -> DataFram
     p = p.withColumn("i", F.when(F.col("k") > 0, F.pmod(F.col("j") - 1, F.col("k")) + 1))
     e = existing.select("c", "i", F.col("uid").alias("e_uid"), "orig_mid")
     p = p.join(e, ["c", "i"], "left")
-    return p.select(
+    alone = unnamed.select(
+        F.col("row_id").alias("b_row_id"), F.col("uid").alias("b_uid"), "seq", "pos", "name_key",
+        F.lit(1).cast("int").alias("j"), F.lit(0).cast("bigint").alias("k"),
+        F.lit(None).cast("string").alias("target_uid"), F.col("canon_id").alias("link_merchantId"))
+    folded = p.select(
         F.col("row_id").alias("b_row_id"), "b_uid", "seq", "pos", "name_key", "j", "k",
         F.when(F.col("k") > 0, F.col("e_uid"))
          .when(F.col("j") > 1, F.col("p1_uid")).alias("target_uid"),
         F.when((F.col("k") > 0) & (F.col("j") <= F.col("k")), F.col("orig_mid"))
          .otherwise(F.col("canon_id")).alias("link_merchantId"))
+    return folded.unionByName(alone)
 
 
 def _apply_folds(rows: DataFrame, folds: DataFrame, un_b: DataFrame, dictionary: DataFrame) -> DataFrame:
@@ -240,18 +306,16 @@ def provider_links(a: DataFrame, b: DataFrame, matches: DataFrame, un_a: DataFra
 
 
 def combine_feeds(feeds: list, params: MatchParams = PRODUCTION, matches: DataFrame | None = None,
-                  dedupe: bool = False, prepare_inputs: bool = True) -> CombinedResult:
+                  dedupe: bool = False) -> CombinedResult | Uncombined:
     """Combine feed A (``feeds[0]``, wins on merge) with feed B (``feeds[1]``).
 
-    1 feed -> unchanged rows plus their links.  With ``prepare_inputs`` both
-    feeds are first materialized once, because every later join goes back
-    to them; pass ``False``
-    when the caller already did that.
+    No feed -> empty places and links; 1 feed -> unchanged rows plus their links.
     """
     if len(feeds) > 2:
         raise ValueError("combine_feeds combines exactly two feeds; got %d" % len(feeds))
     if len(feeds) == 0:
-        raise ValueError("combine_feeds needs at least one feed")
+        spark = SparkSession.getActiveSession()
+        return Uncombined(spark.createDataFrame([], PLACE_SCHEMA), spark.createDataFrame([], LINK_SCHEMA))
     if len(feeds) == 1:
         f = feeds[0]
         links = (f.filter(F.col("merchantId").isNotNull() & F.col("source").isNotNull())
@@ -260,29 +324,8 @@ def combine_feeds(feeds: list, params: MatchParams = PRODUCTION, matches: DataFr
                   .agg(F.max_by(F.struct(F.col("merchantId").alias("sourceId"), "active", "redeemType",
                                          "savingsPercentage", "denominationsType"), "w").alias("v"))
                   .select("merchantId", "provider", "v.*"))
-        return CombinedResult(f, links, None)
-    a, b = feeds
-    if prepare_inputs:
-        a, b = materialize(a), materialize(b)
-    if matches is None:
-        matches = match_order(match_places(a, b, params))   # materialized by the matcher
-    else:
-        # The pair table feeds every later stage: compute it once.
-        matches = materialize(match_order(matches))
-    dictionary = materialize(brand_dictionary(dictionary_events(a, b, matches)))
-    merged = merged_places(a, b, matches)
-    un_a = materialize(unmatched_rows(a, matches, dictionary, "a"))
-    un_b = materialize(unmatched_rows(b, matches, dictionary, "b"))
-    folds = materialize(online_fold(merged, un_a, un_b))
-    inserted = folds.filter(F.col("target_uid").isNull()).select(F.col("b_uid").alias("uid"))
-    b_rows = (un_b.filter(F.col("type").isNull() | (F.col("type") != "online"))
-                  .unionByName(un_b.filter(F.col("type") == "online").join(inserted, "uid", "left_semi")))
-    rows = (_place_cols(merged).unionByName(_place_cols(un_a)).unionByName(_place_cols(b_rows)))
-    places = materialize(_apply_folds(rows, folds, un_b, dictionary))
-    links = provider_links(a, b, matches, un_a, un_b, folds)
-    if dedupe:
-        places = dedupe_places(places, dictionary)
-    return CombinedResult(places, links, matches, dictionary, folds)
+        return Uncombined(f, links)
+    return CombinedResult(*feeds, params, matches, dedupe)
 
 
 def _dedupe_key(places: DataFrame, dictionary: DataFrame) -> DataFrame:

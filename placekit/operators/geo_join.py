@@ -29,12 +29,23 @@ from placekit.functions.geo import EARTH_RADIUS_MILES, haversine_miles
 _MARGIN = 1 + 1e-9
 
 
+def folded(lat: Column, lon: Column) -> tuple[Column, Column]:
+    """The same point of the sphere with a latitude within -90..90: the
+    haversine formula takes any angle, so a row with a latitude out of range
+    still has its partners."""
+    turn = F.pmod(lat, F.lit(360.0))
+    over = F.abs(lat) > 90.0
+    back = over & (turn > 90.0) & (turn < 270.0)
+    return (F.when(back, F.lit(180.0) - turn).when(over & (turn >= 270.0), turn - 360.0)
+             .when(over, turn).otherwise(lat),
+            F.when(back, lon + 180.0).otherwise(lon))
+
+
 class Grid:
     def __init__(self, radius_miles: float):
         radius = max(float(radius_miles), 1e-9)
         self.theta = radius / EARTH_RADIUS_MILES
         self.h = max(math.degrees(self.theta), 1e-4) * _MARGIN
-        self.max_band = int(math.floor(180.0 / self.h)) + 1
         self.sin_half = math.sin(self.theta / 2)
 
     def band(self, lat: Column) -> Column:
@@ -54,10 +65,12 @@ class Grid:
         return F.pmod(F.floor((lon + F.lit(180.0)) * n.cast("double") / F.lit(360.0)).cast("int"), n)
 
     def home(self, lat: Column, lon: Column) -> Column:
+        lat, lon = folded(lat, lon)
         b = self.band(lat)
         return F.struct(b.alias("band"), self.cell(lon, self.cells(b)).alias("cell"))
 
     def neighbourhood(self, lat: Column, lon: Column) -> Column:
+        lat, lon = folded(lat, lon)
         b = self.band(lat)
         keys = []
         for db in (-1, 0, 1):
@@ -66,9 +79,7 @@ class Grid:
             c = self.cell(lon, n)
             for dc in (-1, 0, 1):
                 keys.append(F.struct(bb.alias("band"), F.pmod(c + dc, n).alias("cell")))
-        valid = F.filter(F.array_distinct(F.array(*keys)),
-                         lambda k: (k["band"] >= 0) & (k["band"] <= self.max_band))
-        return valid
+        return F.array_distinct(F.array(*keys))
 
 
 def radius_join(build: DataFrame, probe: DataFrame, radius_miles: float,

@@ -41,9 +41,6 @@ class MatchParams:
     # "blended": the comparison tool's Ratcliff/Obershelp-based scores with
     # loose city/state/zip checks (Arrow pandas UDFs on surviving pairs)
     similarity: str = "edit"
-    # (0.0, 0.0) is a legal coordinate in the source system; dropping it
-    # removes the largest possible hot cell when feeds use it as "unknown"
-    drop_null_island: bool = False
 
     @property
     def geo_ignored(self) -> bool:
@@ -99,13 +96,13 @@ def _band_keys(n, m: float):
 def _side(df: DataFrame, prefix: str, params: MatchParams) -> DataFrame:
     """Project one feed and compute its per-row comparison forms once, before
     any join, so a pair only costs the edit distances."""
-    if params.drop_null_island:
-        df = df.filter(~(F.col("latitude").eqNullSafe(F.lit(0.0)) & F.col("longitude").eqNullSafe(F.lit(0.0))))
     cols = [F.col(c).alias(f"{prefix}{c}") for c in _SIDE_COLS]
     if params.zip_column not in _SIDE_COLS:
         cols.append(F.col(params.zip_column).alias(f"{prefix}{params.zip_column}"))
     if params.similarity == "blended":
-        return df.select(*cols)
+        from placekit.functions import blended as BL
+        return df.select(*cols, BL.name_form("name").alias(f"{prefix}name_cmp"),
+                         BL.street_form("address1").alias(f"{prefix}street_cmp"))
     if not params.ignore_name:
         cols.append(name_compare_form("name").alias(f"{prefix}name_cmp"))
         if _name_blocking(params):
@@ -122,24 +119,37 @@ def _side(df: DataFrame, prefix: str, params: MatchParams) -> DataFrame:
     return df.select(*cols)
 
 
-def _blended_names(pairs: DataFrame) -> DataFrame:
-    """Blended name score, computed once per distinct (B name, A name)."""
-    from placekit.functions.blended import blended_name_similarity
-    names = pairs.select("b_name", "a_name").distinct()
-    scored = names.withColumn("name_similarity", blended_name_similarity("b_name", "a_name"))
-    return pairs.join(scored, [pairs.b_name.eqNullSafe(scored.b_name), pairs.a_name.eqNullSafe(scored.a_name)],
-                      "left").drop(scored.b_name).drop(scored.a_name)
+def _ratios(pairs: DataFrame, x: str, y: str, wanted, out: str) -> DataFrame:
+    """Add the Ratcliff/Obershelp ratio ``out`` of two string columns, computed
+    once per distinct pair of strings among the ``wanted`` rows."""
+    from placekit.functions.blended import ratcliff_ratio
+    distinct = pairs.filter(wanted).select(x, y).distinct().withColumn(out, ratcliff_ratio(x, y))
+    return pairs.join(distinct, [x, y], "left")
+
+
+def _blended_names(pairs: DataFrame, params: MatchParams) -> DataFrame:
+    """Add ``name_similarity``.  Pairs that cannot reach the threshold by lengths
+    and words are dropped before Python; equal names need no ratio."""
+    from placekit.functions import blended as BL
+    x, y = "b_name_cmp", "a_name_cmp"
+    pairs = pairs.filter(BL.name_score_bound(x, y) >= F.lit(params.min_name_similarity))
+    ask = (F.col(x) != F.col(y)) & ~BL.lengths_differ(x, y)
+    return (_ratios(pairs, x, y, ask, "_ratio")
+            .withColumn("name_similarity", BL.name_score(x, y, "_ratio")).drop("_ratio"))
 
 
 def _score_blended(pairs: DataFrame, params: MatchParams) -> DataFrame:
-    from placekit.functions.blended import blended_street_similarity
     from placekit.functions.regions import city_equal_loose, state_equal_loose, zip_equal_digits
     if params.ignore_name:
         pairs = pairs.withColumn("name_similarity", F.lit(0.0))
     elif "name_similarity" not in pairs.columns:
-        pairs = _blended_names(pairs)
+        pairs = _blended_names(pairs, params)
     if params.include_address and params.geo_ignored:
-        pairs = pairs.withColumn("address_similarity", blended_street_similarity("b_address1", "a_address1"))
+        both = F.col("b_street_cmp").isNotNull() & F.col("a_street_cmp").isNotNull()
+        same = F.col("b_street_cmp") == F.col("a_street_cmp")
+        pairs = (_ratios(pairs, "b_street_cmp", "a_street_cmp", both & ~same, "_ratio")
+                 .withColumn("address_similarity", F.when(~both, 0.0).when(same, 1.0).otherwise(F.col("_ratio")))
+                 .withColumn("address_similarity", F.coalesce("address_similarity", F.lit(0.0))).drop("_ratio"))
     else:
         pairs = pairs.withColumn("address_similarity", F.lit(0.0))
     z = params.zip_column
@@ -211,7 +221,7 @@ def coordinate_cell_pairs(a: DataFrame, b: DataFrame, params: MatchParams) -> Da
               .filter(F.col("distance_miles") <= F.lit(params.max_distance)))
     if not params.ignore_name:
         if params.similarity == "blended":
-            pairs = _blended_names(pairs)
+            pairs = _blended_names(pairs, params)
         else:
             pairs = pairs.withColumn("name_similarity", similarity_of_forms("b_name_cmp", "a_name_cmp"))
         pairs = pairs.filter(F.col("name_similarity") >= F.lit(params.min_name_similarity))
@@ -273,7 +283,7 @@ def candidate_pairs(a: DataFrame, b: DataFrame, params: MatchParams) -> DataFram
         & (coordinate_cell("a_longitude", p) == coordinate_cell("b_longitude", p)))
     if not params.ignore_name:
         if params.similarity == "blended":
-            pairs = _blended_names(pairs)
+            pairs = _blended_names(pairs, params)
         else:
             pairs = pairs.withColumn("name_similarity", similarity_of_forms("b_name_cmp", "a_name_cmp"))
         pairs = pairs.filter(F.col("name_similarity") >= F.lit(params.min_name_similarity))
@@ -306,7 +316,7 @@ def match_places(a: DataFrame, b: DataFrame, params: MatchParams = PRODUCTION) -
                                   F.struct(-F.col("confidence"), F.col("a_seq"))).alias("m")))
         prox = best.select("m.*")
     # the pair table feeds every later stage (reports, merge, links): once
-    return materialize(exact.unionByName(prox))
+    return exact.unionByName(prox)
 
 
 def match_order(pairs: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from placekit.functions.regions import CITY_ABBREVIATIONS, state_from_json, stat
 from placekit.functions.text import utrim
 from placekit.operators.geo_join import radius_join
 from placekit.operators.joins import left_join_nonnull
+from placekit.session import materialize
 
 # Coordinate column names recognised by the geocoding job.
 LATITUDE_NAMES = ["latitude", "Latitude", "LATITUDE"]
@@ -59,14 +60,18 @@ def round_half_up(c, digits: int):
     return F.floor(c * F.lit(f) + F.lit(0.5)) / F.lit(f)
 
 
-def gazetteer_enrich(df: DataFrame, gazetteer: DataFrame, max_miles: float = 150.0,
-                     digits: int = 3, key: str = "row_id") -> DataFrame:
-    """Add ``corrected_city`` / ``corrected_state`` from the nearest gazetteer
-    place within ``max_miles`` of the coordinates rounded to ``digits``.
+# Radii of the nearest-place search, in miles; the last one spans the globe.
+RINGS = (10.0, 40.0, 160.0, 640.0, 2560.0, 12500.0)
+
+
+def gazetteer_enrich(df: DataFrame, gazetteer: DataFrame, digits: int = 3) -> DataFrame:
+    """Add ``corrected_city`` / ``corrected_state`` from the gazetteer place
+    nearest to the coordinates rounded to ``digits``.
 
     Lookups are done once per distinct rounded coordinate (the work grows
-    with distinct locations, not rows); rows without coordinates or without
-    a gazetteer place in range get ``''``.
+    with distinct locations, not rows), first within a small radius; only
+    points without a place there are looked up again in a larger one.  Rows
+    without coordinates, and all rows of an empty gazetteer, get ``''``.
     """
     lat, lon = detect_coordinate_columns(df)
     rows = df.withColumn("_rlat", round_half_up(F.col(lat), digits)) \
@@ -74,9 +79,16 @@ def gazetteer_enrich(df: DataFrame, gazetteer: DataFrame, max_miles: float = 150
     pts = rows.select("_rlat", "_rlon").filter(F.col("_rlat").isNotNull() & F.col("_rlon").isNotNull()).distinct()
     g = gazetteer.select(F.col("city").alias("_gcity"), F.col("state").alias("_gstate"),
                          F.col("lat").alias("_glat"), F.col("lon").alias("_glon"))
-    near = radius_join(g, pts, max_miles, ("_glat", "_glon"), ("_rlat", "_rlon"), "_gd")
-    best = near.groupBy("_rlat", "_rlon").agg(
-        F.min_by(F.struct("_gcity", "_gstate"), F.struct("_gd", "_gcity", "_gstate")).alias("_g"))
+    best = None
+    open_points = materialize(pts)
+    for radius in RINGS:
+        near = radius_join(g, open_points, radius, ("_glat", "_glon"), ("_rlat", "_rlon"), "_gd")
+        found = materialize(near.groupBy("_rlat", "_rlon").agg(
+            F.min(F.struct("_gd", "_gcity", "_gstate")).alias("_g")))
+        best = found if best is None else best.unionByName(found)
+        open_points = materialize(open_points.join(found, ["_rlat", "_rlon"], "left_anti"))
+        if open_points.isEmpty():
+            break
     out = left_join_nonnull(rows, best, ["_rlat", "_rlon"])
     return (out.withColumn("corrected_city", F.coalesce(F.col("_g._gcity"), F.lit("")))
                .withColumn("corrected_state", F.coalesce(F.col("_g._gstate"), F.lit("")))

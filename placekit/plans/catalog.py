@@ -94,11 +94,8 @@ from placekit.operators import consolidate as C  # noqa: E402
 
 
 def combined(spark, sf_dir):
-    from placekit.session import materialize
-    # the consolidation joins each feed back by row_id several times:
-    # derive them once
-    a, b = (materialize(f) for f in feeds(spark, sf_dir))
-    return a, b, C.combine_feeds([a, b], M.PRODUCTION, prepare_inputs=False)
+    a, b = feeds(spark, sf_dir)
+    return a, b, C.combine_feeds([a, b], M.PRODUCTION)
 
 
 @query("standardize_names")
@@ -115,16 +112,14 @@ def q_brand_dictionary(spark, sf_dir):
 
 @query("merged_places")
 def q_merged_places(spark, sf_dir):
-    a, b, r = combined(spark, sf_dir)
-    return C.merged_places(a, b, r.matches).select(
+    return combined(spark, sf_dir)[2].merged.select(
         "uid", "merchantId", "name", "savingsPercentage", "plusCode", "logoLocation")
 
 
 def _unmatched_query(side):
     def run(spark, sf_dir):
-        a, b, r = combined(spark, sf_dir)
-        df = a if side == "a" else b
-        return C.unmatched_rows(df, r.matches, r.dictionary, side).select(
+        r = combined(spark, sf_dir)[2]
+        return (r.unmatched_a if side == "a" else r.unmatched_b).select(
             "uid", "merchantId", "name", "logoLocation", "savingsPercentage")
     return run
 
@@ -172,8 +167,8 @@ from placekit.operators import report as R  # noqa: E402
 def _desktop(spark, sf_dir):
     from placekit.session import materialize
     a, b = feeds(spark, sf_dir)
-    a, b = materialize(R.valid_coordinates(a)), materialize(R.valid_coordinates(b))
-    return a, b, M.match_places(a, b, M.DESKTOP)
+    a, b = R.valid_coordinates(a), R.valid_coordinates(b)
+    return a, b, materialize(M.match_places(a, b, M.DESKTOP))
 
 
 def _report_out(rep):
@@ -376,7 +371,7 @@ def _offers(spark, sf_dir):
 
 @query("offer_blocklist")
 def q_offer_blocklist(spark, sf_dir):
-    return _offers(spark, sf_dir).select("brand_id", "seq.l_orderkey", "seq.l_linenumber", "seq.l_suppkey", "name")
+    return _offers(spark, sf_dir).select("brand_id", "l_orderkey", "l_linenumber", "l_suppkey", "name")
 
 
 @query("offer_selection")
@@ -478,22 +473,11 @@ def q_match_places_blended(spark, sf_dir):
 
 
 def _source_report(spark, sf_dir):
-    reg = _registry(spark, sf_dir)
-    loc_a = fx.raw_location_a(spark, sf_dir)
-    cur_a = reg.enabled.select("name").filter(F.col("name").isNotNull()).distinct()
-    diff_a = CH.new_removed_brands(fx.previous_brand_names(spark, sf_dir, "A"),
-                                   fx.raw_brand_a(spark, sf_dir).filter("enabled").select("name"), False)
-    fb = _feed_b(spark, sf_dir)
-    brands_b = fx.raw_brand_b(spark, sf_dir)
-    diff_b = CH.new_removed_brands(fx.previous_brand_names(spark, sf_dir, "B"), brands_b, True)
-    cand_a = FD._a_candidates(reg.enabled, loc_a).filter("_valid")
-    return R.source_report({
-        "A": {"brands": reg.enabled, "locations": cand_a, "disabled": reg.disabled.select("name"),
-              "new": diff_a.new, "removed": diff_a.removed},
-        "B": {"brands": brands_b, "locations": fb.places.filter(F.col("type") == "physical"),
-              "new": diff_b.new, "removed": diff_b.removed,
-              "negative": fb.rejected_brands.filter(F.col("reason") == "negative_discount").select("name")},
-    })
+    from placekit.plans.sync import source_summary
+    brands_a, brands_b = fx.raw_brand_a(spark, sf_dir), fx.raw_brand_b(spark, sf_dir)
+    return source_summary(_registry(spark, sf_dir), brands_a, fx.raw_location_a(spark, sf_dir), brands_b,
+                          _feed_b(spark, sf_dir), fx.previous_brand_names(spark, sf_dir, "A"),
+                          fx.previous_brand_names(spark, sf_dir, "B"))
 
 
 @query("source_report")
@@ -545,3 +529,71 @@ def q_snapshot_scan(spark, sf_dir):
     IO.publish_tables({"from_providers": _provider_archive(spark, sf_dir)}, root, "PRODUCTION", "2024-01-01")
     prev = IO.snapshot_scan(spark, f"{root}/from_providers", source="A")
     return _r6_all(prev.drop("mode", "snapshot_date"))
+
+
+@query("nonempty_guard")
+def q_nonempty_guard(spark, sf_dir):
+    """A table that passes the non-empty guard comes through unchanged."""
+    from placekit.sources import io as IO
+    return _r6_all(IO.nonempty_guard(_provider_archive(spark, sf_dir), "provider_archive"))
+
+
+@query("detect_coordinate_columns")
+def q_detect_coordinate_columns(spark, sf_dir):
+    """The coordinate columns that are found by name, under other names, with their values."""
+    b = feeds(spark, sf_dir)[1].select("row_id", F.col("latitude").alias("Latitude"), F.col("longitude").alias("lng"))
+    lat, lon = ST.detect_coordinate_columns(b)
+    return b.select("row_id", F.lit(lat).alias("lat_column"), F.lit(lon).alias("lon_column"),
+                    r6(lat).alias("lat"), r6(lon).alias("lon"))
+
+
+@query("read_feed_json")
+def q_read_feed_json(spark, sf_dir):
+    """Land feed A's brand pages as JSON and read them with the feed's schema."""
+    from placekit.sources import io as IO
+    path = _scratch(spark, "json")
+    fx.raw_brand_a(spark, sf_dir).write.json(path)
+    return IO.read_feed_json(spark, path, IO.FEED_SCHEMAS["brands_a"]).select(
+        "seq", "id", "name", "enabled", "type", "savingsPercentage", "logoUrl", "deeplink")
+
+
+@query("read_sheet_csv")
+def q_read_sheet_csv(spark, sf_dir):
+    """Export the curated sheet under another header and read it by position."""
+    from placekit.sources import io as IO
+    path = _scratch(spark, "sheet")
+    sheet = fx.raw_sheet_c(spark, sf_dir).select(*fx.SHEET_COLUMNS)
+    (sheet.toDF(*[f"column {i}" for i in range(len(fx.SHEET_COLUMNS))])
+          .write.option("header", True).option("quote", '"').option("escape", '"').csv(path))
+    return FD.feed_c_places(IO.read_sheet_csv(spark, path)).select(
+        "merchantId", "active", "name", "address1", r6("latitude").alias("latitude"),
+        r6("longitude").alias("longitude"), "territory", "sourceId", "type", "paymentMethod", "logoLocation")
+
+
+@query("publish_if_changed")
+def q_publish_if_changed(spark, sf_dir):
+    """Publish contents A, B, A for one date, then for the next date a table
+    whose values moved between two nullable columns: what each date holds."""
+    from placekit.sources import io as IO
+    root = _scratch(spark, "changed")
+    a = _provider_archive(spark, sf_dir).select("source", "sourceId", "name", F.lit(None).cast("string").alias("other"))
+    less = a.filter(F.col("source") == "A")
+    moved = a.select("source", "sourceId", F.col("other").alias("name"), F.col("name").alias("other"))
+    for date, t in (("2024-01-01", a), ("2024-01-01", less), ("2024-01-01", a), ("2024-01-02", moved),
+                    ("2024-01-03", moved)):
+        IO.publish_if_changed({"places": t}, root, "PRODUCTION", date)
+    return spark.read.parquet(f"{root}/places").select(
+        "source", "sourceId", "name", "other", F.col("snapshot_date").cast("string").alias("snapshot_date"))
+
+
+@query("archive_sql")
+def q_archive_sql(spark, sf_dir):
+    """The archive and the duplicates as SQL views: names that differ, by source and distance of spelling."""
+    from placekit.sources import io as IO
+    a, b, r = combined(spark, sf_dir)
+    IO.register_views({"from_providers": R.archive(a).unionByName(R.archive(b)),
+                       "duplicates": R.duplicates_table(a, b, r.matches)}, prefix="archive_")
+    return spark.sql("""
+        SELECT p.source, count(*) AS places, count(DISTINCT p.name) AS names,
+               max((SELECT count(*) FROM archive_duplicates d WHERE d.A_name <> d.B_name)) AS mismatched
+        FROM archive_from_providers p GROUP BY p.source""")

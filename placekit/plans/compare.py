@@ -10,7 +10,7 @@ from __future__ import annotations
 import argparse
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from placekit.operators import report as R
@@ -25,22 +25,22 @@ class Comparison(NamedTuple):
     sample: DataFrame
 
 
-def _keyed(df: DataFrame, offset: int) -> DataFrame:
-    """Give scanned CSV rows a job-local row key and order.
-
-    Place CSV files carry no unique key, so rows are numbered in reader order.
-    The number is not a business key: it only identifies rows inside this job
-    (report rows and the top-k tie-break), and it is pinned by a checkpoint
-    so recomputation cannot renumber rows.
-    """
-    keyed = df.withColumn("row_id", F.monotonically_increasing_id() + F.lit(offset))
-    return materialize(keyed.withColumn("seq", F.col("row_id")))
+def _keyed(df: DataFrame, salt: int) -> DataFrame:
+    """Give scanned CSV rows a key and an order that depend on their content
+    alone, not on how files are split: the hash of the row, then a counter of
+    equal rows (which cannot be told apart)."""
+    half = F.lit(1 << 62).cast("decimal(20,0)") * 2
+    row = F.xxhash64(F.lit(salt), *[x for c in df.columns for x in (F.col(c).isNull(), F.col(c))])
+    keyed = df.withColumn("_h", row)
+    n = F.row_number().over(Window.partitionBy("_h").orderBy("_h"))
+    key = ((F.col("_h").cast("decimal(20,0)") + half) * F.lit(10 ** 12) + n).cast("decimal(38,0)")
+    return materialize(keyed.withColumn("row_id", key).withColumn("seq", key).drop("_h"))
 
 
 def compare(a: DataFrame, b: DataFrame, params: MatchParams = BLENDED) -> Comparison:
     """``a`` is the primary feed, ``b`` the secondary; both need ``row_id``/``seq``."""
     a, b = R.valid_coordinates(a), R.valid_coordinates(b)
-    m = match_places(a, b, params)
+    m = materialize(match_places(a, b, params))
     rep = R.comparison_report(a, b, m)
     return Comparison(rep, R.match_tier_summary(rep), R.top_matches_sample(a, b, m))
 
@@ -58,7 +58,7 @@ def main(argv=None) -> None:
     params = BLENDED.with_(max_distance=args.max_distance, min_name_similarity=args.min_name,
                            min_confidence=args.min_confidence)
     a = _keyed(csv_place_scan(spark, args.a), 0)
-    b = _keyed(csv_place_scan(spark, args.b), 1 << 40)
+    b = _keyed(csv_place_scan(spark, args.b), 1)
     res = compare(a, b, params)
     res.report.write.mode("overwrite").option("header", True).csv(args.out)
     res.summary.show(truncate=False)

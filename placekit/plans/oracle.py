@@ -127,11 +127,11 @@ def r6(x: str) -> str:
 # ---------------------------------------------------------------- fixtures
 
 FX_BASE = """fx_base AS (
-  SELECT c_custkey k, p_name nm,
+  SELECT c_custkey k, p_name || ' ' || p_partkey nm,
     concat(cast(100 + c_custkey % 900 AS VARCHAR), ' ', c_mktsegment, ' Street') addr,
     25.0e0 + ((c_custkey * 7919) % 240000) / 10000.0e0 lat,
     -124.0e0 + ((c_custkey * 104729) % 570000) / 10000.0e0 lon
-  FROM customer JOIN part ON p_partkey = c_custkey % 200)"""
+  FROM customer JOIN part ON p_partkey = c_custkey // 20)"""
 
 PLACE_A = """place_a AS (
   SELECT k row_id, k seq, 'A' || (k % 40) merchantId, nm name,
@@ -675,9 +675,10 @@ OFFERS = [
     CAST(l_partkey AS VARCHAR) brand_id,
     'Card ' || l_linenumber || CASE WHEN l_quantity = 1 THEN ' (Instant Delivery)'
       WHEN l_quantity = 2 THEN ' (instant delivery)' ELSE '' END name,
-    CASE l_returnflag WHEN 'A' THEN 'Fixed' WHEN 'R' THEN 'Option' WHEN 'N' THEN 'Range' END price_type,
+    CASE WHEN l_partkey % 3 = 0 AND l_returnflag = 'N' THEN 'Fixed'
+      WHEN l_returnflag = 'A' THEN 'Fixed' WHEN l_returnflag = 'R' THEN 'Option' WHEN l_returnflag = 'N' THEN 'Range' END price_type,
     l_discount * 100.0e0 discount_percentage, 'img-' || l_partkey image
-  FROM lineitem WHERE NOT (l_partkey % 3 = 0 AND l_returnflag = 'N'))""",
+  FROM lineitem)""",
     """kept AS (SELECT * FROM offers WHERE NOT (brand_id = '174' AND (contains(name, 'Card 1') OR contains(name, 'Card 2'))))""",
     """ranked AS (SELECT *, contains(lower(name), '(instant delivery)') inst,
     price_type = 'Fixed' AND NOT contains(name, '(instant delivery)') fx_extra,
@@ -703,17 +704,18 @@ register("offer_savings", with_(*OFFERS) + "SELECT brand_id, savingsPercentage,
 FEED_B = [*OFFERS,
           "brand_b AS (SELECT CAST(p_partkey AS VARCHAR) id, CASE WHEN p_partkey % 5 = 0 THEN p_name || ' USA' "
           "ELSE p_name END name FROM part)",
-          f"bb AS (SELECT b.id, {strip_suffix('b.name')} pname, s.* FROM brand_b b JOIN sav s ON s.brand_id = b.id)",
+          f"bb AS (SELECT b.id, {strip_suffix('b.name')} pname, s.* FROM brand_b b LEFT JOIN sav s ON s.brand_id = b.id)",
           "okb AS (SELECT * FROM bb WHERE coalesce(pname, '') <> '' AND savingsPercentage >= 0)",
           f"""loc_b AS (SELECT 'loc-' || o_orderkey name, o_orderkey seq, CAST(o_custkey AS VARCHAR) brand_id,
     CASE WHEN o_orderkey % 6 = 0 THEN 'Unknown' ELSE CAST(o_orderkey % 900 AS VARCHAR) END street_number,
-    CASE WHEN o_orderkey % 8 = 0 THEN '' ELSE 'Oak Ave' END street, 'City ' || (o_orderkey % 50) city,
-    {_TERR.format(k='o_custkey')} state, CASE WHEN o_orderkey % 5 = 0 THEN 'CA' ELSE 'US' END country,
+    CASE WHEN o_orderkey % 8 = 0 THEN '' WHEN o_orderkey % 48 = 17 THEN NULL ELSE 'Oak Ave' END street, 'City ' || (o_orderkey % 50) city,
+    {_TERR.format(k='o_custkey')} state, CASE WHEN o_orderkey % 5 = 0 THEN 'CA' WHEN o_orderkey % 33 = 1 THEN NULL ELSE 'US' END country,
     CASE WHEN o_orderkey % 16 = 0 THEN 0.0e0 ELSE 25.0e0 + (o_orderkey % 240000) / 10000.0e0 END latitude,
     CASE WHEN o_orderkey % 16 = 0 THEN 0.0e0 ELSE -124.0e0 + (o_orderkey % 240000) / 10000.0e0 END longitude,
     'web-' || o_orderkey website FROM orders)""",
           """lj AS (SELECT l.*, o.pname, o.savingsPercentage, o.image, o.denominationsType,
-    (NOT (l.street = '' OR l.street_number = '') OR l.latitude <> 0.0e0 OR l.longitude <> 0.0e0) AND l.country = 'US' good
+    (coalesce(l.street, '') <> '' AND coalesce(l.street_number, '') <> '' OR coalesce(l.latitude, 0.0e0) <> 0.0e0
+      OR coalesce(l.longitude, 0.0e0) <> 0.0e0) AND coalesce(l.country, '') = 'US' good
   FROM loc_b l JOIN okb o ON l.brand_id = o.id)"""]
 register("feed_b_places", with_(*FEED_B) +
          "SELECT 'o:' || id row_id, id merchantId, pname name, 'online' address1, NULL::DOUBLE latitude, "
@@ -723,11 +725,12 @@ register("feed_b_places", with_(*FEED_B) +
          f"ELSE street END, round(latitude, 6), round(longitude, 6), {state_text('state')}, city, 'physical', "
          "savingsPercentage, image, denominationsType, website FROM lj WHERE good")
 register("feed_b_rejects", with_(*FEED_B) +
-         "SELECT name, arg_max(brand_id, seq) brand_id, arg_max(CASE WHEN country <> 'US' THEN 'other_country' "
+         "SELECT name, arg_max(brand_id, seq) brand_id, arg_max(CASE WHEN coalesce(country, '') <> 'US' THEN 'other_country' "
          "ELSE 'invalid_location' END, seq) reason FROM lj WHERE NOT good GROUP BY name")
 register("feed_b_rejected_brands", with_(*FEED_B) +
          "SELECT id brand_id, pname name, savingsPercentage, CASE WHEN coalesce(pname, '') = '' THEN 'empty_name' "
-         "ELSE 'negative_discount' END reason FROM bb WHERE coalesce(pname, '') = '' OR savingsPercentage < 0")
+         "WHEN brand_id IS NULL THEN 'no_offers' ELSE 'negative_discount' END reason FROM bb "
+         "WHERE coalesce(pname, '') = '' OR brand_id IS NULL OR savingsPercentage < 0")
 
 _SHEET_VALS = {
     "SOURCE_ID": "p_partkey || '.0'", "NAME": "p_name", "ADDRESS1": "p_type",
@@ -815,12 +818,12 @@ register("standardize_cities", with_(*PLACES) + f"SELECT row_id, city, {city_std
 _R3 = "floor({c} * 1000.0e0 + 0.5e0) / 1000.0e0"
 register("gazetteer_enrich", with_(
     *PLACES,
-    "gaz AS (SELECT 'City ' || k city, 'State ' || (k % 10) state, lat, lon FROM fx_base WHERE k % 50 = 0)",
+    "gaz AS (SELECT 'City ' || k city, 'State ' || (k % 10) state, lat, lon FROM fx_base)",
     f"rb AS (SELECT row_id, {_R3.format(c='latitude')} rlat, {_R3.format(c='longitude')} rlon FROM place_b)",
     "pts AS (SELECT DISTINCT rlat, rlon FROM rb WHERE rlat IS NOT NULL AND rlon IS NOT NULL)",
     f"cand AS (SELECT rlat, rlon, city, state, {haversine('lat', 'lon', 'rlat', 'rlon')} d FROM pts, gaz)",
     "best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY rlat, rlon ORDER BY d, city, state) rn "
-    "FROM cand WHERE d <= 150.0e0) x WHERE rn = 1)") +
+    "FROM cand) x WHERE rn = 1)") +
     "SELECT rb.row_id, coalesce(best.city, '') corrected_city, coalesce(best.state, '') corrected_state "
     "FROM rb LEFT JOIN best ON best.rlat = rb.rlat AND best.rlon = rb.rlon")
 
@@ -864,3 +867,20 @@ register("csv_round_trip", sql_consolidate(
     "SELECT merchantId, name, address1, round(latitude, 6) latitude, round(longitude, 6) longitude, type, "
     "savingsPercentage, logoLocation, source, sourceId, plusCode, active, redeemType FROM places"))
 register("snapshot_scan", with_(*PLACES, _PROV) + "SELECT * FROM prov WHERE source = 'A'")
+
+register("nonempty_guard", ORACLE["provider_archive"])
+register("detect_coordinate_columns", with_(*PLACES) +
+         "SELECT row_id, 'Latitude' lat_column, 'lng' lon_column, round(latitude, 6) lat, round(longitude, 6) lon FROM place_b")
+register("read_feed_json", with_(RAW_BRAND_A) +
+         "SELECT seq, id, name, enabled, type, savingsPercentage, logoUrl, NULL::VARCHAR deeplink FROM raw_brand_a")
+register("read_sheet_csv", "SELECT merchantId, active, name, address1, latitude, longitude, territory, sourceId, type, "
+         "paymentMethod, logoLocation FROM (" + ORACLE["feed_c_places"] + ") x")
+register("publish_if_changed", with_(*PLACES) +
+         "SELECT source, sourceId, CASE WHEN d = 1 THEN name END name, CASE WHEN d = 2 THEN name END other, "
+         "'2024-01-0' || d snapshot_date FROM (SELECT source, sourceId, name FROM place_a UNION ALL "
+         "SELECT source, sourceId, name FROM place_b) p, (SELECT unnest([1, 2]) d) dates")
+register("archive_sql", sql_consolidate(
+    "SELECT source, count(*) places, count(DISTINCT name) names, "
+    "(SELECT count(*) FROM matches m JOIN place_a a ON a.row_id = m.a_row_id JOIN place_b b ON b.row_id = m.b_row_id "
+    "WHERE a.name <> b.name) mismatched "
+    "FROM (SELECT source, name FROM place_a UNION ALL SELECT source, name FROM place_b) p GROUP BY source"))

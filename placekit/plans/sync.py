@@ -38,6 +38,23 @@ def _numbered(df: DataFrame) -> DataFrame:
     return df.withColumn("row_id", F.col("seq"))
 
 
+def source_summary(reg, brands_a: DataFrame, locations_a: DataFrame, brands_b: DataFrame, fb,
+                   previous_a: DataFrame | None = None, previous_b: DataFrame | None = None):
+    """Counts and name lists per source (``report.source_report``): feed A's
+    locations before the name check, and the enabled brands of its pages, not
+    those of its places, against the names of the previous run."""
+    a = {"brands": reg.enabled, "locations": FD.feed_a_counted_locations(reg.enabled, locations_a),
+         "disabled": reg.disabled.select("name")}
+    b = {"brands": brands_b, "locations": fb.places.filter(F.col("type") == "physical"),
+         "negative": fb.rejected_brands.filter(F.col("reason") == "negative_discount").select("name")}
+    for feed, before, now, normalized in ((a, previous_a, brands_a.filter("enabled"), False),
+                                          (b, previous_b, brands_b, True)):
+        if before is not None:
+            d = CH.new_removed_brands(before, now.select("name"), normalized)
+            feed.update(new=d.new, removed=d.removed)
+    return R.source_report({"A": a, "B": b})
+
+
 def run_sync(inputs: dict, output_root: str, mode: str, snapshot_date: str,
              previous: DataFrame | None = None, params: MatchParams = PRODUCTION,
              blocklist: dict | None = None, force: bool = False) -> SyncResult:
@@ -48,7 +65,7 @@ def run_sync(inputs: dict, output_root: str, mode: str, snapshot_date: str,
     places_c = FD.feed_c_places(inputs["sheet_c"])
     kiosks = FD.kiosk_places(inputs["kiosks"])
 
-    combined = combine_feeds([places_a, places_b], params, prepare_inputs=False)
+    combined = combine_feeds([places_a, places_b], params)
     providers = R.archive(places_a).unionByName(R.archive(places_b))
     tables = {
         "merchant": IO.explore_table(places_c, combined.places),
@@ -61,19 +78,8 @@ def run_sync(inputs: dict, output_root: str, mode: str, snapshot_date: str,
     for name in ("merchant", "provider_links", "atm"):
         IO.nonempty_guard(tables[name], name)
 
-    new_removed = {}
-    if previous is not None:
-        for src, df, normalized in (("A", places_a, False), ("B", places_b, True)):
-            prev_names = previous.filter(F.col("source") == src).select("name")
-            d = CH.new_removed_brands(prev_names, df.select("name"), normalized)
-            new_removed[src] = d
-    sources, lists = R.source_report({
-        "A": {"brands": reg.enabled, "locations": places_a, "disabled": reg.disabled.select("name"),
-              **({"new": new_removed["A"].new, "removed": new_removed["A"].removed} if new_removed else {})},
-        "B": {"brands": inputs["brands_b"], "locations": places_b.filter(F.col("type") == "physical"),
-              "negative": fb.rejected_brands.filter(F.col("reason") == "negative_discount").select("name"),
-              **({"new": new_removed["B"].new, "removed": new_removed["B"].removed} if new_removed else {})},
-    })
+    names = [None if previous is None else previous.filter(F.col("source") == src).select("name") for src in "AB"]
+    sources, lists = source_summary(reg, inputs["brands_a"], inputs["locations_a"], inputs["brands_b"], fb, *names)
     published = IO.publish_if_changed(tables, output_root, mode, snapshot_date, force=force)
     report = R.sync_report(combined.places, combined.links, combined.matches)
     return SyncResult(published, tables, report, sources, lists)
@@ -96,15 +102,14 @@ def main(argv=None) -> None:
     else:
         inputs = {n: spark.read.parquet(f"{root}/{n}") for n in INPUTS}
     previous = None
-    try:
-        snaps = spark.read.parquet(f"{args.output.rstrip('/')}/from_providers")
+    archive = f"{args.output.rstrip('/')}/from_providers"
+    snaps = IO.read_if_there(spark, archive)
+    if snaps is not None:
         last = (snaps.filter((F.col("mode") == args.mode) & (F.col("snapshot_date") != args.date))
                      .agg(F.max("snapshot_date")).first()[0])
         if last is not None:
-            previous = IO.snapshot_scan(spark, f"{args.output.rstrip('/')}/from_providers") \
-                .filter((F.col("mode") == args.mode) & (F.col("snapshot_date") == last))
-    except Exception:  # first run: nothing published yet
-        previous = None
+            previous = IO.snapshot_scan(spark, archive).filter(
+                (F.col("mode") == args.mode) & (F.col("snapshot_date") == last))
     res = run_sync(inputs, args.output, args.mode, args.date, previous=previous, force=args.force)
     res.report.show(truncate=False)
     res.sources.show(truncate=False)

@@ -121,9 +121,9 @@ def feed_a_rejects(enabled: DataFrame, locations: DataFrame) -> DataFrame:
     return c.select("id", "merchantId", reason.alias("reason")).filter(F.col("reason").isNotNull())
 
 
-def feed_a_location_count(enabled: DataFrame, locations: DataFrame) -> DataFrame:
-    """Valid candidate rows before the name/address check (the report's count)."""
-    return _a_candidates(enabled, locations).filter("_valid").agg(F.count("*").alias("locations"))
+def feed_a_counted_locations(enabled: DataFrame, locations: DataFrame) -> DataFrame:
+    """Valid candidate rows before the name/address check: what the report counts."""
+    return _a_candidates(enabled, locations).filter("_valid")
 
 
 # ---------------------------------------------------------------- feed B
@@ -142,27 +142,29 @@ def offer_blocklist(offers: DataFrame, blocklist: dict | None = None) -> DataFra
 
 
 def offer_selection(offers: DataFrame) -> DataFrame:
-    """One representative offer per brand (by arrival order ``seq``):
-    first instant-delivery offer with the max discount over instant and fixed
-    offers; else the first non-fixed offer; else the first offer with the max
-    discount.  Brands without offers produce no row."""
+    """One representative offer per brand (by arrival order ``seq``, a number
+    that is unique in its brand): first instant-delivery offer with the max
+    discount over instant and fixed offers; else the first non-fixed offer;
+    else the first offer with the max discount.  Brands without offers
+    produce no row.
+
+    Fixed-width aggregates find the chosen offer's number (a hash aggregate,
+    partial on the map side); one join brings its other columns.
+    """
     name, pt, disc = F.col("name"), F.col("price_type"), F.col("discount_percentage")
     instant = F.lower(name).contains(INSTANT_PHRASE)
     fixed_extra = (pt == "Fixed") & ~name.contains(INSTANT_PHRASE)
     is_fixed = F.coalesce(pt.isin(*FIXED_PRICE_TYPES), F.lit(False))
-    offer = F.struct("name", "price_type", "discount_percentage", "image")
-    agg = offers.groupBy("brand_id").agg(
-        F.min_by(offer, F.when(instant, F.col("seq"))).alias("_inst"),
+    per = offers.groupBy(F.col("brand_id").alias("_brand")).agg(
+        F.min(F.when(instant, F.col("seq"))).alias("_inst"),
         F.max(F.when(instant | fixed_extra, disc)).alias("_inst_max"),
-        F.min_by(offer, F.when(~is_fixed, F.col("seq"))).alias("_range"),
-        F.min_by(offer, F.col("seq")).alias("_first"),
-        F.max(disc).alias("_max"),
-        F.count("*").alias("offers"))
-    chosen = (F.when(F.col("_inst").isNotNull(),
-                     F.col("_inst").withField("discount_percentage", F.col("_inst_max")))
-               .when(F.col("_range").isNotNull(), F.col("_range"))
-               .otherwise(F.col("_first").withField("discount_percentage", F.col("_max"))))
-    return agg.select("brand_id", chosen.alias("o"), "offers").select("brand_id", "o.*", "offers")
+        F.min(F.when(~is_fixed, F.col("seq"))).alias("_range"),
+        F.min("seq").alias("_first"), F.max(disc).alias("_max"), F.count("*").alias("offers"))
+    per = per.withColumn("_seq", F.coalesce("_inst", "_range", "_first"))
+    best = (F.when(F.col("_inst").isNotNull(), F.col("_inst_max"))
+             .when(F.col("_range").isNotNull(), disc).otherwise(F.col("_max")))
+    return offers.join(per, (F.col("brand_id") == F.col("_brand")) & (F.col("seq") == F.col("_seq"))).select(
+        "brand_id", "name", "price_type", best.alias("discount_percentage"), "image", "offers")
 
 
 def offer_savings(selected: DataFrame) -> DataFrame:
@@ -182,18 +184,23 @@ class FeedB(NamedTuple):
 
 def _b_location_valid() -> Column:
     """Valid when street and number are both non-empty, or a coordinate is non-zero."""
-    empty_addr = (F.col("loc_street") == "") | (F.col("loc_street_number") == "")
-    return ~empty_addr | (F.col("loc_latitude") != 0.0) | (F.col("loc_longitude") != 0.0)
+    some = lambda c: F.coalesce(F.col(c) != "", F.lit(False))
+    nonzero = lambda c: F.coalesce(F.col(c) != 0.0, F.lit(False))
+    return ((some("loc_street") & some("loc_street_number"))
+            | nonzero("loc_latitude") | nonzero("loc_longitude"))
 
 
 def feed_b(brands: DataFrame, offers: DataFrame, locations: DataFrame, country: str = "US",
            source: str = "B", blocklist: dict | None = None) -> FeedB:
     """Per accepted brand one online row plus one row per valid location in
-    ``country``; brands with an empty name or negative savings are rejected."""
+    ``country``; brands with an empty name, without offers or with negative
+    savings are rejected.  A null never passes a check, so every location is
+    either a place or a reject."""
     sel = (offer_savings(offer_selection(offer_blocklist(offers, blocklist)))
            .withColumnRenamed("name", "offer_name"))
-    br = brands.join(sel, brands.id == sel.brand_id).withColumn("_pname", strip_suffix(brands.name))
+    br = brands.join(sel, brands.id == sel.brand_id, "left").withColumn("_pname", strip_suffix(brands.name))
     reject = (F.when(_empty(F.col("_pname")), F.lit("empty_name"))
+               .when(F.col("brand_id").isNull(), F.lit("no_offers"))
                .when(F.col("savingsPercentage") < 0, F.lit("negative_discount")))
     br = br.withColumn("_reject", reject)
     rejected = br.filter(F.col("_reject").isNotNull()).select(
@@ -214,7 +221,8 @@ def feed_b(brands: DataFrame, offers: DataFrame, locations: DataFrame, country:
                        F.lit("online").alias("type"))
     loc = locations.select(*[F.col(c).alias("loc_" + c) for c in locations.columns])
     loc = loc.join(ok, loc.loc_brand_id == ok.merchantId)
-    good = _b_location_valid() & (F.col("loc_country") == F.lit(country))
+    here = F.coalesce(F.col("loc_country") == F.lit(country), F.lit(False))
+    good = _b_location_valid() & here
     addr = (F.when(F.col("loc_street_number") != "Unknown",
                    F.concat(F.col("loc_street_number"), F.lit(" "), F.col("loc_street")))
              .otherwise(F.col("loc_street")))
@@ -227,7 +235,7 @@ def feed_b(brands: DataFrame, offers: DataFrame, locations: DataFrame, country:
         *([F.col("loc_seq").alias("_loc_seq")] if "seq" in locations.columns else []))
     bad = loc.filter(~good).select(
         F.col("loc_name").alias("name"), F.col("loc_brand_id").alias("brand_id"),
-        F.when(F.col("loc_country") != F.lit(country), F.lit("other_country"))
+        F.when(~here, F.lit("other_country"))
          .otherwise(F.lit("invalid_location")).alias("reason"),
         F.col("loc_seq").alias("seq") if "seq" in locations.columns else F.lit(0).alias("seq"))
     # keyed by location name, the last one wins

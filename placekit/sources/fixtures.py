@@ -32,12 +32,13 @@ def _pick(selector: Column, values: list) -> Column:
 
 
 def base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One candidate place per customer: key, name, street, coordinates."""
+    """One candidate place per customer: key, name, street, coordinates.  Twenty
+    customers are places of one brand, so brands and names grow with the data."""
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name")
     k = F.col("c_custkey")
-    return (c.join(p, p.p_partkey == k % 200)
-             .select(k.alias("k"), F.col("p_name").alias("nm"),
+    return (c.join(p, p.p_partkey == F.floor(k / 20))
+             .select(k.alias("k"), F.concat_ws(" ", "p_name", F.col("p_partkey").cast("string")).alias("nm"),
                      F.concat((F.lit(100) + k % 900).cast("string"), F.lit(" "),
                               F.col("c_mktsegment"), F.lit(" Street")).alias("addr"),
                      (F.lit(25.0) + ((k * 7919) % 240000) / F.lit(10000.0)).alias("lat"),
@@ -215,16 +216,30 @@ def raw_brand_b(spark: SparkSession, sf_dir: str) -> DataFrame:
 _PRICE_TYPES = {"A": "Fixed", "R": "Option", "N": "Range"}
 
 
+def _digits(*parts) -> Column:
+    """Non-negative numbers side by side in one decimal, so that it is ordered
+    as they are; each with its number of digits."""
+    out = F.lit(0).cast("decimal(38,0)")
+    for c, digits in parts:
+        c = F.col(c) if isinstance(c, str) else c
+        out = (out * F.lit(10 ** digits) + F.round(c).cast("bigint")).cast("decimal(38,0)")
+    return out
+
+
 def raw_offer_b(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Offers (gift cards) per brand; arrival order is the struct ``seq``."""
+    """Offers (gift cards) per brand; arrival order is the decimal ``seq``."""
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
         "l_discount", "l_returnflag")
     q = F.col("l_quantity")
     rf = F.col("l_returnflag")
     price = F.when(rf == "A", F.lit("Fixed")).when(rf == "R", F.lit("Option")).when(rf == "N", F.lit("Range"))
-    return li.filter(~((F.col("l_partkey") % 3 == 0) & (rf == "N"))).select(
-        F.struct("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "l_quantity").alias("seq"),
+    # every third brand has no offer with a price range
+    price = F.when((F.col("l_partkey") % 3 == 0) & (rf == "N"), F.lit("Fixed")).otherwise(price)
+    return li.select(
+        "l_orderkey", "l_linenumber", "l_suppkey", _digits(
+            ("l_orderkey", 12), ("l_linenumber", 2), ("l_suppkey", 8), (F.col("l_extendedprice") * 100, 10),
+            ("l_quantity", 4)).alias("seq"),
         F.col("l_partkey").cast("string").alias("brand_id"),
         F.concat(F.lit("Card "), F.col("l_linenumber").cast("string"),
                  F.when(q == 1, F.lit(" (Instant Delivery)")).when(q == 2, F.lit(" (instant delivery)"))
@@ -242,10 +257,12 @@ def raw_location_b(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("loc-"), k.cast("string")).alias("name"), k.alias("seq"),
         F.col("o_custkey").cast("string").alias("brand_id"),
         F.when(k % 6 == 0, F.lit("Unknown")).otherwise((k % 900).cast("string")).alias("street_number"),
-        F.when(k % 8 == 0, F.lit("")).otherwise(F.lit("Oak Ave")).alias("street"),
+        F.when(k % 8 == 0, F.lit("")).when(k % 48 == 17, F.lit(None).cast("string"))
+         .otherwise(F.lit("Oak Ave")).alias("street"),
         F.concat(F.lit("City "), (k % 50).cast("string")).alias("city"),
         _pick(F.col("o_custkey") % 5, _TERRITORIES).alias("state"),
-        F.when(k % 5 == 0, F.lit("CA")).otherwise(F.lit("US")).alias("country"),
+        F.when(k % 5 == 0, F.lit("CA")).when(k % 33 == 1, F.lit(None).cast("string"))
+         .otherwise(F.lit("US")).alias("country"),
         F.when(zero, F.lit(0.0)).otherwise(F.lit(25.0) + (k % 240000) / F.lit(10000.0)).alias("latitude"),
         F.when(zero, F.lit(0.0)).otherwise(F.lit(-124.0) + (k % 240000) / F.lit(10000.0)).alias("longitude"),
         F.concat(F.lit("web-"), k.cast("string")).alias("website"))
@@ -306,9 +323,9 @@ def raw_kiosk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reference places for reverse lookups: every 50th base place."""
+    """Reference places for reverse lookups: all base places."""
     k = _k()
-    return base(spark, sf_dir).filter(k % 50 == 0).select(
+    return base(spark, sf_dir).select(
         F.concat(F.lit("City "), k.cast("string")).alias("city"),
         F.concat(F.lit("State "), (k % 10).cast("string")).alias("state"), "lat", "lon")
 

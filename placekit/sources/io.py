@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from placekit.functions.text import utrim
 from placekit.operators.changes import content_fingerprint
+from placekit.session import materialize
 
 # The place CSV header, in order (the exchange format of the
 # place files both feeds are compared and exported with).
@@ -43,16 +47,41 @@ def csv_export(df: DataFrame, path: str, mode: str = "overwrite") -> None:
         .csv(path))
 
 
-def csv_place_scan(spark: SparkSession, path: str) -> DataFrame:
+_RECORD = "_record"  # text of a row whose number of fields differs from the header's
+
+
+def _csv_rows(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
+    schema = StructType([StructField(c, StringType()) for c in [*PLACE_CSV_COLUMNS, _RECORD]])
+    return (spark.read.schema(schema)
+            .option("header", True).option("quote", '"').option("escape", '"')
+            .option("multiLine", multi_line).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", _RECORD).option("columnPruning", False)
+            .option("enforceSchema", True).csv(path))
+
+
+def _short_row():
+    """Fewer fields than the header: commas outside quotes, plus one."""
+    bare = F.regexp_replace(F.col(_RECORD), '"(?:[^"]|"")*"', "")
+    fields = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
+    # reads a data column too: Spark refuses queries on the record's text alone
+    data = F.length(F.concat_ws("", F.col(PLACE_CSV_COLUMNS[0]))) >= 0
+    return F.coalesce(data & (fields < len(PLACE_CSV_COLUMNS)), F.lit(False))
+
+
+def csv_short_rows(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """The text of the rows that ``csv_place_scan`` leaves out."""
+    return _csv_rows(spark, path, multi_line).filter(_short_row()).select("name", F.col(_RECORD).alias("record"))
+
+
+def csv_place_scan(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Read place CSV files: values trimmed, empty -> null, lenient typed
-    parsing (bad values -> null), rows with fewer fields than the header skipped."""
-    raw_schema = StructType([StructField(c, StringType()) for c in PLACE_CSV_COLUMNS])
-    # rows with a different number of fields than the header are malformed
-    # and dropped by the reader itself
-    raw = (spark.read.schema(raw_schema)
-           .option("header", True).option("quote", '"').option("escape", '"')
-           .option("multiLine", True).option("mode", "DROPMALFORMED")
-           .option("enforceSchema", True).csv(path))
+    parsing (bad values -> null).  Rows with more fields than the header keep
+    the first ones; rows with fewer are left out (``csv_short_rows`` has them).
+
+    ``multi_line`` reads values with line breaks; without it a large file is
+    split between tasks.
+    """
+    raw = _csv_rows(spark, path, multi_line).filter(~_short_row())
     cols = []
     for c in PLACE_CSV_COLUMNS:
         v = utrim(F.col(c))
@@ -112,10 +141,13 @@ def publish_if_changed(tables: dict, root: str, mode_name: str, snapshot_date: s
     """Publish only when the content fingerprint differs from the last
     published one for ``mode_name`` (or when ``force``).  Returns whether it wrote.
 
-    The manifest is a small parquet table (one row per publish); only its
-    newest row for the mode is read back.
+    The manifest holds one partition per (mode, snapshot date), replaced with
+    each publish, and the time of publishing; the newest of the mode counts.
+    What is published is first written to the shared folder, so its plan runs
+    once for fingerprint, comparison and publish.
     """
     spark = next(iter(tables.values())).sparkSession
+    tables = {name: materialize(df) for name, df in tables.items()}
     fps = None
     for name, df in tables.items():
         fp = content_fingerprint(df, "xxhash64").select(F.lit(name).alias("table"), "*")
@@ -124,47 +156,58 @@ def publish_if_changed(tables: dict, root: str, mode_name: str, snapshot_date: s
     current = {r["table"]: (r["row_count"], r["hash_xor"], r["hash_sum"]) for r in fps.collect()}
     manifest = f"{root.rstrip('/')}/_manifest"
     previous = None
-    try:
-        m = spark.read.parquet(manifest).filter(F.col("mode") == mode_name)
-        last = m.agg(F.max("snapshot_date").alias("d")).first()["d"]
+    m = read_if_there(spark, manifest)
+    if m is not None:
+        m = m.filter(F.col("mode") == mode_name)
+        last = m.agg(F.max("published_at").alias("t")).first()["t"]
         if last is not None:
             previous = {r["table"]: (r["row_count"], r["hash_xor"], r["hash_sum"])
-                        for r in m.filter(F.col("snapshot_date") == last).collect()}
-    except Exception:  # no manifest yet
-        previous = None
+                        for r in m.filter(F.col("published_at") == last).collect()}
     if not force and previous == current:
         return False
     publish_tables(tables, root, mode_name, snapshot_date)
-    (fps.withColumn("mode", F.lit(mode_name)).withColumn("snapshot_date", F.lit(snapshot_date))
-        .write.mode("append").parquet(manifest))
+    now = datetime.now(timezone.utc)
+    rows = [(t, *v, now) for t, v in current.items()]
+    (spark.createDataFrame(rows, "table string, row_count bigint, hash_xor bigint, hash_sum string, "
+                                 "published_at timestamp")
+        .coalesce(1).withColumn("mode", F.lit(mode_name)).withColumn("snapshot_date", F.lit(snapshot_date))
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("mode", "snapshot_date").parquet(manifest))
     return True
 
 
-# ---------------------------------------------------------------- landed JSON feeds
+def read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
+    """The Parquet table at ``path``; None if nothing is there yet.  Any other
+    failure to read is raised."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
 
-def _fields(spec: str) -> str:
-    return spec
 
+# ---------------------------------------------------------------- landed JSON feeds
 
 _HOURS = ", ".join(f"{d}{oc} string" for d in ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday",
                                               "Saturday", "Sunday") for oc in ("Open", "Close"))
 # Schemas (DDL) of the landed raw feeds, field names as the feeds deliver them.
 FEED_SCHEMAS = {
-    "brands_a": _fields("seq bigint, id string, name string, enabled boolean, type string, deeplink string, "
+    "brands_a": ("seq bigint, id string, name string, enabled boolean, type string, deeplink string, "
                         "website string, logoUrl string, cardImageUrl string, redeemType string, "
                         "savingsPercentage int, denominationsType string"),
-    "locations_a": _fields("seq bigint, id string, merchantId string, address1 string, address2 string, "
+    "locations_a": ("seq bigint, id string, merchantId string, address1 string, address2 string, "
                            "postalCode string, phone string, territory string, city string, sourceId string, "
                            f"latitude double, longitude double, {_HOURS}"),
-    "brands_b": _fields("seq bigint, id string, name string"),
-    "offers_b": _fields("seq bigint, id int, name string, description string, image string, price_type string, "
+    "brands_b": ("seq bigint, id string, name string"),
+    "offers_b": ("seq bigint, id int, name string, description string, image string, price_type string, "
                         "currency string, discount_percentage double, min_denomination double, "
                         "max_denomination double, denomination string, fee int, quantity int, brand_id string"),
-    "locations_b": _fields("seq bigint, name string, brand_id string, latitude double, longitude double, "
+    "locations_b": ("seq bigint, name string, brand_id string, latitude double, longitude double, "
                            "street_number string, street string, city string, state string, zip string, "
                            "country string, opening_hours string, phone string, shop string, website string, "
                            "wheelchair string"),
-    "kiosks": _fields("id int, url string, image_url string, type string, operator string, operator_logo string, "
+    "kiosks": ("id int, url string, image_url string, type string, operator string, operator_logo string, "
                       "operator_phone string, location string, country string, state string, city string, "
                       "address string, is_247 int, open_hours string, lat double, lng double, buy int, sell int, "
                       "updated_online bigint, buy_fee_perc string, sell_fee_perc string, fiat string, "
@@ -180,6 +223,24 @@ def _sheet_schema() -> str:
 FEED_SCHEMAS["sheet_c"] = _sheet_schema()
 
 
+def read_sheet_csv(spark: SparkSession, path: str) -> DataFrame:
+    """The curated sheet as exported: columns by position, the header row
+    skipped whatever it says, missing cells null.  ``row_key`` is the hash of
+    the row's cells."""
+    from placekit.sources.fixtures import SHEET_COLUMNS
+    schema = StructType([StructField(c, StringType()) for c in SHEET_COLUMNS])
+    rows = (spark.read.schema(schema).option("header", True).option("enforceSchema", True)
+                 .option("quote", '"').option("escape", '"').option("multiLine", True)
+                 .option("mode", "PERMISSIVE").csv(path))
+    return rows.select(F.sha2(F.to_json(F.struct(*SHEET_COLUMNS)), 256).alias("row_key"), *SHEET_COLUMNS)
+
+
+def register_views(tables: dict, prefix: str = "") -> None:
+    """Archive and published tables as SQL temp views, for ``spark.sql``."""
+    for name, df in tables.items():
+        df.createOrReplaceTempView(f"{prefix}{name}")
+
+
 def read_feed_json(spark: SparkSession, path: str, schema: str, strict: bool = True) -> DataFrame:
     """Read landed JSON feed records with an explicit schema.
 

@@ -6,27 +6,61 @@ from difflib import SequenceMatcher
 
 from pyspark.sql import functions as F
 
-from placekit.functions.blended import (blended_name_similarity, blended_name_similarity_py,
-                                        blended_street_similarity, clean_name_py)
+from placekit.functions import blended as BL
 from placekit.sources import io
 
 
-def test_blended_name_matches_reference_formula(spark):
-    pairs = [("Starbucks Coffee", "Starbucks"), ("The Home Depot", "Home Depot Inc"),
-             ("Apple Store", "Best Buy"), (None, "x"), ("A", "Alphabet Corporation Limited")]
-    df = spark.createDataFrame(pairs, "a string, b string")
-    got = [r[0] for r in df.select(blended_name_similarity("a", "b")).collect()]
-    for (a, b), g in zip(pairs, got):
-        assert abs(g - blended_name_similarity_py(a, b)) < 1e-12
-    c1, c2 = clean_name_py("Starbucks Coffee"), clean_name_py("Starbucks")
-    r = SequenceMatcher(None, c1, c2).ratio()
-    assert abs(got[0] - min(r * 0.5 + 0.5 * 0.4 + 0.3, 1.0)) < 1e-12
+def plain_score(x, y):
+    """P13 over cleaned names, in plain Python."""
+    if not x or not y:
+        return 0.0
+    if x == y:
+        return 1.0
+    if min(len(x), len(y)) / max(len(x), len(y)) < 0.3:
+        return 0.0
+    r = SequenceMatcher(None, x, y).ratio()
+    a, b = set(x.split()), set(y.split())
+    words = 0.4 * len(a & b) / len(a | b) + 0.3 * any(len(w) > 3 and w in y for w in a)
+    return 0.4 * r if r < 0.3 else min(1.0, 0.5 * r + words)
+
+
+def test_blended_name_score(spark):
+    names = ["Starbucks Coffee", "Starbucks", "The Home Depot", "Home Depot Inc", "Apple Store", "Best Buy", None, "x",
+             "A", "Alphabet Corporation Limited", "Inc", "a the b", "Café Ünion", "zzzz qqqq", "Coffee Star-bucks"]
+    n = spark.createDataFrame([(x,) for x in names], "name string").select("name", BL.name_form("name").alias("c"))
+    rows = (n.selectExpr("name a", "c ca").crossJoin(n.selectExpr("name b", "c cb"))
+             .withColumn("r", F.when(F.col("ca").isNotNull() & F.col("cb").isNotNull(),
+                                     BL.ratcliff_ratio(F.coalesce("ca", F.lit("")), F.coalesce("cb", F.lit("")))))
+             .withColumn("score", BL.name_score("ca", "cb", "r"))
+             .withColumn("bound", BL.name_score_bound("ca", "cb")).collect())
+    clean = {r["a"]: r["ca"] for r in rows}
+    assert clean["The Home Depot"] == clean["Home Depot Inc"] == "home depot" and clean["Inc"] is None
+    for r in rows:
+        assert abs(r["score"] - plain_score(r["ca"], r["cb"])) < 1e-12, r
+        assert r["bound"] >= r["score"] - 1e-12
 
 
 def test_blended_street(spark):
-    df = spark.createDataFrame([("123 Main St, Springfield, IL, 62704", "123 Main Street")], "a string, b string")
-    v = df.select(blended_street_similarity("a", "b")).first()[0]
-    assert 0.7 < v < 1.0
+    rows = [("123 Main St, Springfield, IL, 62704", "123 main st"), ("IL, 62704", "il"), (", x", None), (None, None),
+            (" !! ", ""), ("1  Elm-St.", "1 elm st")]
+    df = spark.createDataFrame(rows, "a string, want string")
+    assert all(r["got"] == r["want"] for r in df.select("want", BL.street_form("a").alias("got")).collect())
+
+
+def test_blended_matches_drop_pairs(spark):
+    """Pairs that must fail: other names, other streets, too far."""
+    from placekit.operators.match import BLENDED, match_places
+    schema = ("row_id long, seq long, name string, address1 string, latitude double, longitude double, "
+              "city string, territory string")
+    a = spark.createDataFrame([(1, 1, "Starbucks Coffee", "1 Main St", 10.0, 10.0, "X", "NY"),
+                               (2, 2, "Best Buy", "2 Elm St", 10.0, 10.0, "X", "NY"),
+                               (3, 3, "Corner Shop", "3 Oak St", 40.0, 10.0, "X", "NY")], schema)
+    b = spark.createDataFrame([(1, 1, "Starbucks", "1 Main Street", 10.0, 10.0, "X", "NY"),
+                               (2, 2, "Zq Kw", "9 Pine", 10.0, 10.0, "X", "NY"),
+                               (3, 3, "Corner Shop", "3 Oak St", 10.0, 10.0, "X", "NY")], schema)
+    got = match_places(a, b, BLENDED).collect()
+    assert [(r["b_row_id"], r["a_row_id"]) for r in got] == [(1, 1)]
+    assert abs(got[0]["name_similarity"] - plain_score("starbucks", "starbucks coffee")) < 1e-9
 
 
 def test_csv_round_trip(spark):
@@ -107,3 +141,35 @@ def test_read_feed_json_strict_and_quarantine(spark):
     assert rows[1].latitude == 1.5 and rows[1]._corrupt_record is None
     assert rows[2].latitude is None and "north" in rows[2]._corrupt_record
     assert rows[3].latitude is None and rows[3]._corrupt_record is None
+
+
+def test_csv_rows_of_other_lengths(spark, tmp_path):
+    n = len(io.PLACE_CSV_COLUMNS)
+    name = io.PLACE_CSV_COLUMNS.index("name")
+
+    def row(text, fields):
+        cells = ["" for _ in range(fields)]
+        cells[name] = text
+        return ",".join(cells)
+
+    lines = [",".join(io.PLACE_CSV_COLUMNS), row("full", n), row('"lo,ng"', n + 2), row("short", n - 3), row("last", n)]
+    (tmp_path / "a.csv").write_text("\n".join(lines) + "\n")
+    for multi in (True, False):
+        got = io.csv_place_scan(spark, str(tmp_path / "a.csv"), multi)
+        assert sorted(r["name"] for r in got.collect()) == ["full", "last", "lo,ng"] and got.count() == 3
+        assert [r["name"] for r in io.csv_short_rows(spark, str(tmp_path / "a.csv"), multi).collect()] == ["short"]
+
+
+def test_publish_on_one_date_and_moved_values(spark, tmp_path):
+    root = str(tmp_path / "p")
+    a, b = spark.range(10).selectExpr("cast(id as string) x"), spark.range(11).selectExpr("cast(id as string) x")
+    assert [io.publish_if_changed({"t": t}, root, "M", "2024-01-01") for t in (a, b, a, a)] == [True, True, True, False]
+    assert spark.read.parquet(f"{root}/t").count() == 10
+    one = spark.createDataFrame([("x", None)], "a string, b string")
+    two = spark.createDataFrame([(None, "x")], "a string, b string")
+    assert [io.publish_if_changed({"t": t}, f"{root}2", "M", "2024-01-01") for t in (one, two)] == [True, True]
+    (tmp_path / "bad" / "_manifest").mkdir(parents=True)
+    (tmp_path / "bad" / "_manifest" / "part-0.parquet").write_text("no parquet")
+    import pytest
+    with pytest.raises(Exception):  # a manifest that cannot be read is no missing one
+        io.publish_if_changed({"t": a}, str(tmp_path / "bad"), "M", "2024-01-01")

@@ -199,3 +199,18 @@ def test_rank_within_hot_key(spark):
     got = rank_within(df, "k", "o", "r", partitions=8)
     want = df.withColumn("r", F.row_number().over(Window.partitionBy("k").orderBy("o")))
     assert sorted(got.select("k", "o", "r").collect()) == sorted(want.select("k", "o", "r").collect())
+
+
+def test_no_feed_and_unnamed_online_rows(spark):
+    from placekit.operators.consolidate import PLACE_SCHEMA, combine_feeds
+    none = combine_feeds([])
+    assert none.places.count() == 0 and none.links.count() == 0
+    schema = PLACE_SCHEMA + ", row_id long, seq long"
+
+    def row(i, name, kind):
+        return (f"m{i}", name, "online", None, None, None, "", kind, 5, None, "B", f"s{i}", True, "barcode", "fixed", None, i, i)
+
+    a = spark.createDataFrame([row(1, "Shop", "online")], schema).drop("plusCode")
+    b = spark.createDataFrame([row(2, None, "online"), row(3, "Shop", "online"), row(4, None, "online")], schema).drop("plusCode")
+    got = combine_feeds([a, b])
+    assert sorted(r["uid"] for r in got.places.collect()) == ["a:1", "b:2", "b:4"]  # 3 folds onto a's row

@@ -47,3 +47,20 @@ def test_grid_equals_brute_force(spark, radius):
     border = {(i, j) for i, la, lo in a for j, lb, lob in b
               if abs(hav(la, lo, lb, lob) - radius) <= 1e-9 * max(1.0, radius)}
     assert set(got_pairs) - border == expected - border
+
+
+def test_latitudes_out_of_range_keep_their_partners(spark):
+    """The haversine formula takes any angle; so does the grid."""
+    import random
+    from pyspark.sql import functions as F
+    from placekit.functions.geo import haversine_miles
+    from placekit.operators.geo_join import radius_join
+    rng = random.Random(1)
+    pts = [(i, rng.choice([200.0, -95.0, 89.99, 100.0, 80.0, 350.0, -170.0]) + rng.uniform(-0.02, 0.02),
+            rng.choice([0.0, 180.0, -179.99, 10.0]) + rng.uniform(-0.02, 0.02)) for i in range(300)]
+    a = spark.createDataFrame(pts, "a long, alat double, alon double")
+    b = spark.createDataFrame(pts[:150], "b long, blat double, blon double")
+    want = (a.crossJoin(b).filter(haversine_miles(F.col("alat"), F.col("alon"), F.col("blat"), F.col("blon")) <= 1.0)
+             .select("a", "b"))
+    got = radius_join(a, b, 1.0, ("alat", "alon"), ("blat", "blon")).select("a", "b")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() > 300

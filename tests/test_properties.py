@@ -100,17 +100,6 @@ def test_combine_invariant_under_repartition(spark):
     assert sorted(r1.links.collect(), key=key) == sorted(r2.links.collect(), key=key)
 
 
-def test_drop_null_island(spark):
-    from placekit.operators.match import PRODUCTION, match_places
-    rows = [(1, 1, "Shop", "1 Main St", 0.0, 0.0, None, None), (2, 2, "Shop", "1 Main St", 10.0, 10.0, None, None)]
-    schema = ("row_id long, seq long, name string, address1 string, latitude double, longitude double, "
-              "city string, territory string")
-    a = spark.createDataFrame(rows, schema)
-    b = spark.createDataFrame(rows, schema)
-    assert match_places(a, b, PRODUCTION).count() == 2
-    assert match_places(a, b, PRODUCTION.with_(drop_null_island=True)).count() == 1
-
-
 def test_name_length_blocking_is_exact(spark, monkeypatch):
     """Length-band blocking must not change matches, also in a hot cell."""
     import placekit.operators.match as M

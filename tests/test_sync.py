@@ -25,7 +25,12 @@ def test_sync_publishes_only_on_change(spark):
                   blocklist=fx.TEST_OFFER_BLOCKLIST)
     assert not r2.published
     counts = {r.source: r for r in r2.sources.collect()}
-    assert counts["A"].new_brands == 0 and counts["B"].removed_brands == 0
+    # the brands of the feed's pages against the names of the previous run
+    enabled = {r.name for r in _inputs(spark)["brands_a"].filter("enabled").collect() if r.name is not None}
+    before = {r.name for r in prev.filter("source = 'A'").collect() if r.name is not None}
+    assert counts["A"].new_brands == len(enabled - before) and counts["A"].removed_brands == len(before - enabled)
+    # feed A's locations are counted before the name check, so there are more than places
+    assert counts["A"].locations >= prev.filter("source = 'A'").count()
     assert spark.read.parquet(f"{root}/merchant").count() == r1.tables["merchant"].count()
 
 
@@ -49,7 +54,7 @@ def test_sync_cli_reads_landed_json(spark, capsys):
     out = tempfile.mkdtemp(prefix="pk-outj-")
     from pyspark.sql import functions as F
     for name, df in _inputs(spark).items():
-        if name == "offers_b":   # the fixture's arrival key is a struct; land a bigint one
+        if name == "offers_b":   # the fixture's arrival key is a decimal; land a bigint one
             df = df.withColumn("seq", F.monotonically_increasing_id())
         # land with the feed schema's column names and types
         want = spark.createDataFrame([], IO.FEED_SCHEMAS[name])
@@ -58,3 +63,15 @@ def test_sync_cli_reads_landed_json(spark, capsys):
     main(["--input", land, "--output", out, "--mode", "TESTNET", "--date", "2024-07-01", "--format", "json"])
     assert "published" in capsys.readouterr().out
     assert spark.read.parquet(f"{out}/merchant").count() > 0
+
+
+def test_sync_reports_what_the_query_reports(spark):
+    """The job's summary and the checked query are one function of the same inputs."""
+    from placekit.plans.catalog import QUERIES
+    from placekit.plans.sync import source_summary
+    from placekit.sources import feeds as FD
+    x = _inputs(spark)
+    fb = FD.feed_b(x["brands_b"], x["offers_b"], x["locations_b"], blocklist=fx.TEST_OFFER_BLOCKLIST)
+    got, _ = source_summary(FD.feed_a_brand_registry(x["brands_a"]), x["brands_a"], x["locations_a"], x["brands_b"], fb,
+                            fx.previous_brand_names(spark, SF_SMALL, "A"), fx.previous_brand_names(spark, SF_SMALL, "B"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, QUERIES["source_report"](spark, SF_SMALL).collect()))

@@ -28,7 +28,8 @@ from pyspark.sql import functions as F
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-REMEMBERED = 1_000_000  # chunks held by a task before its table is emptied
+CALL = 256  # fragments in one call of the model; a longer text costs more for each
+REMEMBERED = 800_000  # entries of a task's tables
 
 # White space of Unicode, which the tokenizers' patterns mean by \\s; Python's
 # str.split also takes U+001C to U+001F.
@@ -65,6 +66,26 @@ def byte_symbols() -> list[str]:
     return out
 
 
+class Remembered(dict):
+    """A bounded table: what is not asked for while it fills up once goes."""
+
+    def __init__(self):
+        super().__init__()
+        self.before: dict = {}
+
+    def bound(self, limit: int) -> None:
+        if len(self) > limit:
+            self.before = dict(self)
+            self.clear()
+
+    def older(self, key):
+        """A value from before, taken over."""
+        v = self.before.get(key)
+        if v is not None:
+            self[key] = v
+        return v
+
+
 class Bpe:
     """One tokenizer file: ``encode`` texts to little-endian unsigned 32-bit
     ids, ``decode`` them back to text."""
@@ -81,8 +102,9 @@ class Bpe:
         self.word_ends = bool(self.suffix)
         self.id_bytes = {x["id"]: x["content"].encode() for x in t["added_tokens"]}
         self.id_bytes.update((i, s.encode()) for s, i in self.vocab.items())
-        self.chunks: dict[str, bytes] = {}  # what each chunk encodes to
-        self.inner: dict[str, bytes] = {}  # the same with the blank before it left out of the key
+        self.chunks = Remembered()  # what each chunk encodes to
+        self.inner = Remembered()  # the same with the blank before it left out of the key
+        self.pieces = Remembered()  # what each pre-token (bytes) encodes to
         self.pattern = regex.compile(_patterns(t["pre_tokenizer"]))
         self._models(t)
         self._pairs()
@@ -113,39 +135,47 @@ class Bpe:
                     self.cut[a, b] = False
         self.char = np.array([ord(s) for s in byte_symbols()], np.uint32)
 
-    def _learn(self, chunks: list[str]) -> dict[str, bytes]:
-        """Encode chunks that are not remembered, all together: one look-up of
-        every byte pair, one call of the model for the fragments that end a
-        word and one for the others."""
-        out = {}
-        for at in range(0, len(chunks), 16384):
-            part = chunks[at:at + 16384]
-            pieces, count, data, size = [], [], [], []
-            for c in part:
-                if max(c, default="") < _KNOWN:  # classes of letters that all versions of Unicode share
-                    c = c.lower() if self.word_ends else c
-                    got = self.pattern.findall(c)
-                    data += got
-                    size += map(len, got) if c.isascii() else [len(x.encode()) for x in got]
-                else:
-                    c = self.tok.normalizer.normalize_str(c) if self.tok.normalizer else c
-                    got = [bytes(map(self.symbol.__getitem__, x)).decode("latin-1")
-                           for x, _ in self.tok.pre_tokenizer.pre_tokenize_str(c)]
-                    data += got
-                    size += map(len, got)
-                    pieces.append((len(data) - len(got), len(data)))
-                count.append(len(got))
-            raw = b""
-            at_raw = 0
-            for lo, hi in pieces:  # byte symbols were read back to bytes; the rest is text
-                raw += "".join(data[at_raw:lo]).encode() + "".join(data[lo:hi]).encode("latin-1")
-                at_raw = hi
-            raw += "".join(data[at_raw:]).encode()
-            ids, owner = self._fragments(raw, size)
-            bounds = (np.searchsorted(owner, np.cumsum([0, *count])) * 4).tolist()
+    def _learn(self, chunks: list[str]) -> list[bytes]:
+        """Encode chunks that are not remembered: their pre-tokens, and of these
+        the ones not remembered all together."""
+        cut = self._pre_tokens(chunks)
+        known = self.pieces
+        known.bound(REMEMBERED // 2)
+        flat = [p for ps in cut for p in ps]
+        new = [p for p in dict.fromkeys(flat) if p not in known and known.older(p) is None]
+        for at in range(0, len(new), 16384):
+            part = new[at:at + 16384]
+            ids, owner = self._fragments(b"".join(part), list(map(len, part)))
+            bounds = (np.searchsorted(owner, np.arange(len(part) + 1)) * 4).tolist()
             coded = ids.tobytes()
-            for i, c in enumerate(part):
-                out[c] = coded[bounds[i]:bounds[i + 1]]
+            known.update((p, coded[bounds[i]:bounds[i + 1]]) for i, p in enumerate(part))
+        return [known[ps[0]] if len(ps) == 1 else b"".join([known[p] for p in ps]) for ps in cut]
+
+    def _pre_tokens(self, chunks: list[str]) -> list[list[bytes]]:
+        """The pre-tokens of every chunk, in UTF-8."""
+        out: list = [None] * len(chunks)
+        simple: list[int] = []  # letters of ASCII, no line break
+        for i, c in enumerate(chunks):
+            if c.isascii() or max(c) < _KNOWN:  # classes of letters that all versions of Unicode share
+                if not self.word_ends and c.isascii() and c[-1:] > " " and "\n" not in c and not c[:2].isspace():
+                    simple.append(i)
+                else:
+                    out[i] = [x.encode() for x in self.pattern.findall(c.lower() if self.word_ends else c)]
+            else:
+                c = self.tok.normalizer.normalize_str(c) if self.tok.normalizer else c
+                out[i] = [bytes(map(self.symbol.__getitem__, x))
+                          for x, _ in self.tok.pre_tokenizer.pre_tokenize_str(c)]
+        # all simple ones in one call: a line break is a pre-token between them
+        found: list[bytes] = []
+        done = iter(simple)
+        for x in self.pattern.findall("\n".join([chunks[i] for i in simple])) if simple else ():
+            if x == "\n":
+                out[next(done)] = found
+                found = []
+            else:
+                found.append(x.encode())
+        if simple:
+            out[next(done)] = found
         return out
 
     def _fragments(self, raw: bytes, sizes: list[int]) -> tuple[np.ndarray, np.ndarray]:
@@ -166,11 +196,12 @@ class Bpe:
         ids, owner = [], []
         for end in sorted(self.model):
             at = np.flatnonzero(last == end) if self.word_ends else np.arange(len(fragments))
-            if len(at):
-                enc = self.model[end].encode(" ".join([fragments[i] for i in at.tolist()]),
+            for lo in range(0, len(at), CALL):
+                some = at[lo:lo + CALL]
+                enc = self.model[end].encode(" ".join([fragments[i] for i in some.tolist()]),
                                              add_special_tokens=False)
                 ids.append(np.array(enc.ids, "<u4"))
-                owner.append(at[np.array(enc.word_ids, np.int64)])
+                owner.append(some[np.array(enc.word_ids, np.int64)])
         ids, owner = np.concatenate(ids), np.concatenate(owner)
         order = np.argsort(owner, kind="stable")
         return ids[order].astype("<u4"), piece[owner[order]]
@@ -200,9 +231,8 @@ class Bpe:
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text (null: empty) as little-endian unsigned 32-bit
         integers.  Strings of added tokens stand for their id, as in the library."""
-        if len(self.chunks) + len(self.inner) > REMEMBERED:
-            self.chunks.clear()
-            self.inner.clear()
+        for table in (self.chunks, self.inner):
+            table.bound(REMEMBERED // 2)
         coded: list[list] = []  # of each text, its chunks' ids; None where not remembered
         new: dict[bool, dict[str, list]] = {False: {}, True: {}}  # chunk -> places to fill
         for t in texts:
@@ -226,7 +256,7 @@ class Bpe:
             if places:
                 table = self.inner if blank else self.chunks
                 got = self._learn([" " + c for c in places] if blank else list(places))
-                for (c, where), ids in zip(places.items(), got.values()):
+                for (c, where), ids in zip(places.items(), got):
                     table[c] = ids
                     for parts, i in where:
                         parts[i] = ids
@@ -234,13 +264,17 @@ class Bpe:
 
     def _look_up(self, chunks: list[str], blank: bool, parts: list, new: dict) -> None:
         base = len(parts)
-        got = list(map((self.inner if blank else self.chunks).get, chunks))
+        table = self.inner if blank else self.chunks
+        got = list(map(table.get, chunks))
         parts += got
         if None in got:
             places = new[blank]
             for i, v in enumerate(got):
                 if v is None:
-                    places.setdefault(chunks[i], []).append((parts, base + i))
+                    c = chunks[i]
+                    parts[base + i] = v = table.older(c)
+                    if v is None:
+                        places.setdefault(c, []).append((parts, base + i))
 
     def _around(self, x, special: str) -> list:
         if isinstance(x, bytes):

@@ -148,7 +148,7 @@ def test_token_file_frames_and_checksums():
     parts = [p for d, ids in docs for p in w.add(d, ids)] + w.close()
     raw = b"".join(p + T.SEPARATOR for p in parts)
     f = T.TokenFile(io.BytesIO(raw))
-    assert f.rank == 4 and len(f.frames) == 3
+    assert f.rank == 4 and len(f.frames) == 4
     assert [(d, i.tolist()) for d, i in f.read()] == [(d, i.tolist()) for d, i in docs]
     assert [i.tolist() for _, i in f.find([4])] == [docs[4][1].tolist()]
     # only the frame that is asked for is read
@@ -156,12 +156,12 @@ def test_token_file_frames_and_checksums():
     plain = T.TokenFile.frame
     f.frame = lambda k: asked.append(k) or plain(f, k)
     list(f.read([5]))
-    assert asked == [2]
+    assert asked == [3]
     # standard tools read the file as it is
     whole = zstandard.ZstdDecompressor().stream_reader(io.BytesIO(raw), read_across_frames=True).read()
     assert whole == b"".join(i.astype("<u2").tobytes() for _, i in docs)
     broken = bytearray(raw)
-    broken[int(f.frames[1]["offset"]) + 12] ^= 1
+    broken[int(f.frames[0]["offset"]) + 12] ^= 1
     with pytest.raises(Exception):
         list(T.TokenFile(io.BytesIO(bytes(broken))).read([2]))
     with pytest.raises(ValueError):

@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import random
+import re
 
 import numpy as np
 import pytest
@@ -272,17 +273,8 @@ def test_selected_positions_depend_on_content_alone():
 
 def line_shingles(line):
     low = line.lower()
-    out, i = {low[-16:]}, 0
-    while i < len(low):
-        if low[i].isspace() or i + 16 > len(low):
-            i += 1
-            continue
-        out.add(low[i:i + 16])
-        j = i
-        while j < len(low) and j < i + 8 and not low[j].isspace():
-            j += 1
-        i = j
-    return out
+    w = re.findall("[^ ]{1,32}", low) if re.search("[^ ]{65}", low) else [x for x in low.split(" ") if x]
+    return {tuple(w[i:i + 2]) for i in range(max(1, len(w) - 1))}
 
 
 def brute_lines(rows):
@@ -290,7 +282,7 @@ def brute_lines(rows):
     first = {}
     for d, t in sorted((r for r in rows if r[1]), key=lambda r: r[0]):
         for k, line in enumerate(t.split("\n")):
-            if len(line) >= 16:
+            if len(line) >= 16 and line.strip(" "):
                 first[line] = min(first.get(line, (d, k)), (d, k))
     lines = list(first)
     _, root = grouped([line_shingles(x) for x in lines])
@@ -299,14 +291,14 @@ def brute_lines(rows):
         keep[root[n]] = min(keep.get(root[n], first[line]), first[line])
     at = {line: n for n, line in enumerate(lines)}
     return [None if t is None else "\n".join(
-        x for k, x in enumerate(t.split("\n")) if len(x) < 16 or keep[root[at[x]]] == (d, k)) for d, t in rows]
+        x for k, x in enumerate(t.split("\n")) if len(x) < 16 or not x.strip(" ") or keep[root[at[x]]] == (d, k)) for d, t in rows]
 
 
 def test_lines_equal_brute_force(spark, monkeypatch):
     rng = random.Random(9)
     base = [rand_text(rng, n, 3000) for n in (4, 12, 30, 60, 8)]
     variants = [b[:k] + rng.choice("xyz") + b[k + 1:] for b in base for k in (rng.randrange(len(b)) for _ in range(8))]
-    pool = base + variants + ["short", "", "Ein Wort ohne Ende " + "ü" * 60, "日本語" * 12, base[2].upper()]
+    pool = base + variants + ["short", "", "Ein Wort ohne Ende " + "ü" * 60, "日本語" * 12, base[2].upper(), " " * 20, " " * 30]
     texts = ["\n".join(rng.choice(pool) for _ in range(rng.randrange(1, 9))) for _ in range(25)]
     texts += [None, "", "\n\n", base[1], base[1] + "\n" + base[1], "only this line here, alone\r"]
     rows = list(enumerate(texts))
@@ -314,7 +306,7 @@ def test_lines_equal_brute_force(spark, monkeypatch):
                                  "doc_id long, text string, node string, n_chars long")
     want = brute_lines(rows)
     for block in (L.BLOCK, 2):
-        monkeypatch.setattr(L.similar_lines, "__defaults__", (L.CHARS, L.STRIDE, L.THRESHOLD, block))
+        monkeypatch.setattr(L.similar_lines, "__defaults__", (L.CHARS, L.THRESHOLD, block))
         got = {r["doc_id"]: r for r in L.dedup_lines(docs).collect()}
         assert [got[d]["text"] for d, _ in rows] == want
         assert all(r["n_chars"] == len(r["text"] or "") and r["node"] == "k" for r in got.values())

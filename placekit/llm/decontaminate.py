@@ -15,7 +15,6 @@ of any size is handled.  A task keeps ``RESIDENT`` compiled blocks.
 
 from __future__ import annotations
 
-import hashlib
 import sys
 from collections.abc import Iterator
 
@@ -122,6 +121,16 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     document rows each give a row.  An empty benchmark hits nothing.  Other
     columns of ``docs`` are ignored unless named in ``keep``.
     """
+    found, names = _searched(docs, benchmark, window, max_block_bytes, keep)
+    return found.select(*[F.col(n).alias(c) for n, c in zip(names, keep)],
+                        "n_words", "n_hit", "items", _contaminated().alias("contaminated"))
+
+
+def _contaminated():
+    return (F.col("n_hit") > 0) & (SHARE * F.col("n_hit") >= F.col("n_words"))
+
+
+def _searched(docs: DataFrame, benchmark: DataFrame, window: int, max_block_bytes: int, keep) -> tuple:
     spark = docs.sparkSession
     blocks = [spark.sparkContext.broadcast(b) for b in benchmark_blocks(benchmark, max_block_bytes)]
     kept = docs.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)],
@@ -156,16 +165,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                                              names=[*names, *OUT.names])
 
     schema = ", ".join(f"{n} {kept.schema[n].dataType.simpleString()}" for n in names)
-    out = kept.mapInArrow(search, f"{schema}, n_words bigint, n_hit bigint, items array<bigint>")
-    return out.select(
-        *[F.col(n).alias(c) for n, c in zip(names, keep)], "n_words", "n_hit", "items",
-        ((F.col("n_hit") > 0) & (SHARE * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"))
+    return kept.mapInArrow(search, f"{schema}, n_words bigint, n_hit bigint, items array<bigint>"), names
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, unchanged."""
-    kept = contamination(docs, benchmark, keep=tuple(docs.columns))
-    return kept.filter(~F.col("contaminated")).select(*[F.col(c) for c in docs.columns])
+    found, names = _searched(docs, benchmark, WINDOW, MAX_BLOCK_BYTES, docs.columns)
+    return found.filter(~_contaminated()).select(*[F.col(n).alias(c) for n, c in zip(names, docs.columns)])
 
 
 def op7_decontaminate(spark, sf_dir: str) -> DataFrame:

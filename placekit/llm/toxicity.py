@@ -243,6 +243,11 @@ def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) ->
     the whole text is toxic.  Null and empty texts have no terms and get the
     model's base score.  Repeated rows each give a row; other columns are
     ignored."""
+    scored, names = _scored(docs, model, keep)
+    return scored.select(*[F.col(n).alias(c) for n, c in zip(names, keep)], "score")
+
+
+def _scored(docs: DataFrame, model: Model, keep) -> tuple[DataFrame, list[str]]:
     kept = docs.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)], F.col("text").alias("text"))
     names = [f"k{i}" for i in range(len(keep))]
 
@@ -254,8 +259,7 @@ def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) ->
                                              names=[*names, "score"])
 
     schema = ", ".join(f"{n} {kept.schema[n].dataType.simpleString()}" for n in names)
-    return kept.mapInArrow(run, f"{schema}, score double").select(
-        *[F.col(n).alias(c) for n, c in zip(names, keep)], "score")
+    return kept.mapInArrow(run, f"{schema}, score double"), names
 
 
 def fold(doc_id="doc_id"):
@@ -270,8 +274,8 @@ def train_on_folds(docs: DataFrame, labels: DataFrame) -> Model:
 
 def drop_toxic(docs: DataFrame, model: Model, cut: float = CUT) -> DataFrame:
     """The rows whose score is below ``cut``, unchanged."""
-    scored = score(docs, model, keep=tuple(docs.columns))
-    return scored.filter(F.col("score") < cut).select(*[F.col(c) for c in docs.columns])
+    scored, names = _scored(docs, model, docs.columns)
+    return scored.filter(F.col("score") < cut).select(*[F.col(n).alias(c) for n, c in zip(names, docs.columns)])
 
 
 def op1_toxicity(spark, sf_dir: str) -> DataFrame:

@@ -100,31 +100,34 @@ def references(found: DataFrame) -> dict[str, tuple[list[float], list[float]]]:
     return out
 
 
-def js_distance(counts: list[Column], reference: list[float]) -> Column:
-    """Jensen-Shannon distance (base 2) of a histogram from a distribution;
-    1 for an empty histogram."""
-    total = sum(counts[1:], counts[0]).cast("double")
-    part = F.lit(0.0)
-    for c, q in zip(counts, reference):
+def js_distance(counts: Column, total: Column, reference: list[float]) -> Column:
+    """Jensen-Shannon distance (base 2) of a histogram (an array) with this sum
+    from a distribution; 1 for an empty histogram."""
+    def part(c, q):
         p = c / total
-        m = (p + F.lit(q)) / 2
-        part = part + F.when(c > 0, p * F.log2(p / m)).otherwise(0.0)
-        if q:
-            part = part + F.lit(q) * F.log2(F.lit(q) / m)
-    return F.when(total > 0, F.sqrt(F.greatest(F.lit(0.0), part / 2))).otherwise(1.0)
+        m = (p + q) / 2
+        return F.when(c > 0, p * F.log2(p / m)).otherwise(0.0) + F.when(q > 0, q * F.log2(q / m)).otherwise(0.0)
+
+    parts = F.zip_with(counts, F.array(*[F.lit(float(q)) for q in reference]), part)
+    both = F.aggregate(parts, F.lit(0.0), lambda a, x: a + x)
+    return F.when(total > 0, F.sqrt(F.greatest(F.lit(0.0), both / 2))).otherwise(1.0)
 
 
 def judge(found: DataFrame, refs: dict[str, tuple[list[float], list[float]]]) -> DataFrame:
     """Adds ``class_distance`` and ``word_distance`` to the nearest language
     (null without references), ``base_failed`` and ``kept``."""
     total = lambda c: F.aggregate(c, F.lit(0).cast("bigint"), lambda a, x: a + x)
-    near = []
-    for lang, (classes, words) in sorted(refs.items()):
-        c = js_distance([F.get("classes", F.lit(i)) for i in range(6)], classes)
-        w = js_distance([F.get("common", F.lit(_ALL.index(x))) for x in COMMON[lang]], words)
-        found = found.withColumn(f"_c_{lang}", F.when(total("classes") > 0, c).otherwise(1.0)).withColumn(f"_w_{lang}", w)
-        near.append(F.struct((F.col(f"_c_{lang}") + F.col(f"_w_{lang}")).alias("sum"),
-                             F.col(f"_c_{lang}").alias("c"), F.col(f"_w_{lang}").alias("w")))
+    langs = sorted(refs)
+    # one step after the other, so that no expression is computed inside another
+    own = {lang: F.transform(F.array(*[F.lit(_ALL.index(x)) for x in COMMON[lang]]),
+                             lambda i: F.get("common", i)) for lang in langs}
+    found = found.withColumns({"_t": total("classes"), **{f"_own_{lang}": own[lang] for lang in langs}})
+    found = found.withColumns({f"_t_{lang}": total(f"_own_{lang}") for lang in langs})
+    found = found.withColumns({
+        **{f"_c_{lang}": js_distance(F.col("classes"), F.col("_t"), refs[lang][0]) for lang in langs},
+        **{f"_w_{lang}": js_distance(F.col(f"_own_{lang}"), F.col(f"_t_{lang}"), refs[lang][1]) for lang in langs}})
+    near = [F.struct((F.col(f"_c_{lang}") + F.col(f"_w_{lang}")).alias("sum"),
+                     F.col(f"_c_{lang}").alias("c"), F.col(f"_w_{lang}").alias("w")) for lang in langs]
     best = F.array_min(F.array(*near)) if near else F.lit(None).cast("struct<sum:double,c:double,w:double>")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     passes = (F.col("_best.c") <= CLASS_CUT) & (
@@ -133,7 +136,7 @@ def judge(found: DataFrame, refs: dict[str, tuple[list[float], list[float]]]) ->
                  .withColumn("class_distance", F.col("_best.c")).withColumn("word_distance", F.col("_best.w"))
                  .withColumn("base_failed", failed)
                  .withColumn("kept", ~failed & F.coalesce(passes, F.lit(True)))
-                 .drop("_best", *[f"_{k}_{lang}" for lang in refs for k in "cw"]))
+                 .drop("_best", "_t", *[f"_{k}_{lang}" for lang in refs for k in ("c", "w", "t", "own")]))
 
 
 def quality_rules(docs: DataFrame) -> DataFrame:

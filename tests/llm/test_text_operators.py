@@ -209,7 +209,8 @@ def test_quality_edges(spark):
 def test_distance_equals_the_formula(spark):
     refs = [0.5, 0.3, 0.2, 0.0]
     for counts in ([5, 3, 2, 0], [0, 0, 0, 9], [1, 0, 0, 0], [0, 0, 0, 0], [7, 1, 9, 4]):
-        got = spark.range(1).select(Q.js_distance([F.lit(c).cast("bigint") for c in counts], refs)).first()[0]
+        got = spark.range(1).select(Q.js_distance(
+            F.array(*[F.lit(c).cast("bigint") for c in counts]), F.lit(sum(counts)).cast("bigint"), refs)).first()[0]
         p = np.array(counts, float)
         if not p.sum():
             assert got == 1.0

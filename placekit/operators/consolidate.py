@@ -69,13 +69,18 @@ class CombinedResult:
     def unmatched_b(self) -> DataFrame:
         return unmatched_rows(self._b, self.matches, self.dictionary, "b")
 
+    @cached_property
+    def _rest(self) -> tuple[DataFrame, DataFrame]:
+        """The unmatched rows of both feeds, once, for the tables made from them."""
+        return materialize(self.unmatched_a), materialize(self.unmatched_b)
+
     @cached_property
     def folds(self) -> DataFrame:
-        return materialize(online_fold(self.merged, self.unmatched_a, self.unmatched_b))
+        return materialize(online_fold(self.merged, *self._rest))
 
     @cached_property
     def places(self) -> DataFrame:
-        un_a, un_b = self.unmatched_a, self.unmatched_b
+        un_a, un_b = self._rest
         inserted = self.folds.filter(F.col("target_uid").isNull()).select(F.col("b_uid").alias("uid"))
         b_rows = (un_b.filter(F.col("type").isNull() | (F.col("type") != "online"))
                       .unionByName(un_b.filter(F.col("type") == "online").join(inserted, "uid", "left_semi")))
@@ -85,7 +90,7 @@ class CombinedResult:
 
     @cached_property
     def links(self) -> DataFrame:
-        return provider_links(self._a, self._b, self.matches, self.unmatched_a, self.unmatched_b, self.folds)
+        return provider_links(self._a, self._b, self.matches, *self._rest, self.folds)
 
 
 class Uncombined(NamedTuple):

@@ -182,3 +182,29 @@ def op7_decontaminate(spark, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
         F.sha2(F.concat_ws(",", F.col("items").cast("array<string>")).cast("binary"), 256)
          .alias("items_sha256"), "contaminated")
+
+
+OP7_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), items AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), patterns AS (
+  SELECT DISTINCT item_id, size, array_to_string(w[i:i + size - 1], ' ') AS p
+  FROM (SELECT item_id, w, least(13, len(w)) AS size, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i
+        FROM items WHERE len(w) > 0) x
+), places AS (
+  SELECT r, size, i, array_to_string(w[i:i + size - 1], ' ') AS p
+  FROM (SELECT r, w, size, unnest(range(1, len(w) - size + 2)) AS i
+        FROM docs, (SELECT DISTINCT size FROM patterns) s WHERE len(w) >= size) x
+), found AS (SELECT r, size, i, item_id FROM places JOIN patterns USING (size, p)),
+hits AS (SELECT r, count(DISTINCT word) AS n_hit FROM (SELECT r, unnest(range(i, i + size)) AS word FROM found) x GROUP BY r),
+named AS (SELECT r, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+          FROM (SELECT DISTINCT r, item_id FROM found WHERE item_id IS NOT NULL) x GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM docs LEFT JOIN hits USING (r) LEFT JOIN named USING (r)
+"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from placekit.llm.bpe import op2_bpe
 from placekit.llm.chat import OP3_SQL, op3_chat_format
-from placekit.llm.decontaminate import op7_decontaminate
+from placekit.llm.decontaminate import OP7_SQL, op7_decontaminate
 from placekit.llm.line_dedup import op10_line_dedup
 from placekit.llm.ngram_join import op4_ngram_join
 from placekit.llm.pii import op5_pii
@@ -28,4 +28,5 @@ QUERIES = {
 
 ORACLE: dict[str, str] = {
     "op3_chat_format": OP3_SQL,
+    "op7_decontaminate": OP7_SQL,
 }

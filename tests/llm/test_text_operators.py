@@ -237,6 +237,13 @@ def test_every_operator_is_registered_once():
     assert numbers == list(range(1, 11)) and set(queries.ORACLE) <= set(queries.QUERIES)
 
 
+@pytest.mark.parametrize("name", sorted(queries.ORACLE))
+def test_query_matches_its_sql(spark, name):
+    from tests.oracle_compare import compare, duck
+    ok, *_, detail = compare(spark, SF_SMALL, name, queries.QUERIES[name], queries.ORACLE[name], duck(SF_SMALL))
+    assert ok, detail
+
+
 def test_pipeline_equals_its_stages_by_brute_force(spark):
     """The last stage's rows are those of the kept documents, and each stage
     drops just what its operator decides on the stage before."""

@@ -1,4 +1,4 @@
-"""Repeated passages by sparse suffix arrays.
+"""Repeated passages by hashes of content-selected positions, in place of a suffix array.
 
 A passage of ``PASSAGE`` (50) words that stands in two places is a repeat; a
 text's repeated words are those inside any such passage.  Words are those of
@@ -6,19 +6,24 @@ text's repeated words are those inside any such passage.  Words are those of
 
 1. Equal texts are one class: a text with copies repeats as a whole, and one
    of them goes on.
-2. Suffixes are retained at content-selected positions: the smallest of each
+2. Positions are retained at content-selected positions: the smallest of each
    32 neighbouring eight-word hashes (minimisers), about one word in sixteen.  Each passage
-   selects one by its first 39 words alone, wherever it stands, and the suffix
-   there shares at least 19 words with that of the passage's other places.
-3. The retained suffixes are brought in the order of the hash of these 19
-   words and compared with their neighbours; those without an equal one go.
-4. What is left is extended left and right: every passage that selects a
-   remaining suffix is compared as a whole, by the hash of its 50 words, so a
-   match is found to its last word on either side.
+   selects one by its first 39 words alone, wherever it stands, and the words from
+   there on share at least 19 with those of the passage's other places.
+3. The retained positions are grouped by the hash of these 19 words; those
+   whose words stand nowhere else go.
+4. Every passage that selects one of the others is hashed over its 50 words,
+   and passages of the same hash are equal.
 5. The matching passages of a text are joined to spans.
 
-No step needs the rows of a group together: neighbours in the order meet as
-the least and the greatest occurrence of a value.
+There is no suffix array: suffixes are not sorted, neighbours in an order are
+not compared, and nothing is extended word by word.  Equal passages always
+select equal positions, so grouping by hash finds the same passages; neighbours
+in an order alone would miss one that shares its right side with suffixes of
+other left contexts, and a sort by words would move all of them.
+
+No step needs the rows of a group together: a hash that stands in two places
+has a least and a greatest place.
 """
 
 from __future__ import annotations

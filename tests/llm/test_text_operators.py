@@ -165,6 +165,18 @@ def test_windows_give_what_the_whole_text_gives(crf):
         assert sorted(P.added_spans(crf, [t], [[]])[0]) == sorted(whole)
 
 
+def test_spelled_out_addresses_in_capitals(crf):
+    rng = np.random.default_rng(4)
+    lines = [t.upper() for t, _ in P.labelled_rows()]
+    for _ in range(20):
+        t = " THING OF THE WORDS AND MORE OF IT ".join(lines[i] for i in rng.integers(0, len(lines), 6))
+        toks = P.tokens(t, 0, len(t))
+        whole = P._spans(t, toks, crf.viterbi([[v for _, _, v in toks]])[0], [])
+        assert sorted(P.added_spans(crf, [t], [[]])[0]) == sorted(whole)
+    for dot in ("DOT", "PUNKT", "PUNTO", "POINT", "dOT"):
+        assert P.windows(f"JANE AT EXAMPLE {dot} COM") and P._valid("email", f"JANE AT EXAMPLE {dot} COM")
+
+
 def test_pii_rows(spark, crf):
     docs = spark.createDataFrame([(1, None, 1), (1, "", 1), (None, "a@b.c +1 (974) 555-3436 x", 2), (2, "é a@b.c", 3)],
                                  "doc_id long, text string, spans int")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from placekit.llm.bpe import op2_bpe
 from placekit.llm.chat import OP3_SQL, op3_chat_format
 from placekit.llm.decontaminate import OP7_SQL, op7_decontaminate
+from placekit.llm.hard_negatives import OP13_SQL, op13_hard_negatives
 from placekit.llm.line_dedup import op10_line_dedup
 from placekit.llm.ngram_join import op4_ngram_join
 from placekit.llm.pii import op5_pii
@@ -24,9 +25,11 @@ QUERIES = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_token_files": op9_token_files,
     "op10_line_dedup": op10_line_dedup,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 ORACLE: dict[str, str] = {
     "op3_chat_format": OP3_SQL,
     "op7_decontaminate": OP7_SQL,
+    "op13_hard_negatives": OP13_SQL,
 }

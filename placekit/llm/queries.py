@@ -7,6 +7,7 @@ from placekit.llm.chat import OP3_SQL, op3_chat_format
 from placekit.llm.decontaminate import OP7_SQL, op7_decontaminate
 from placekit.llm.hard_negatives import OP13_SQL, op13_hard_negatives
 from placekit.llm.line_dedup import op10_line_dedup
+from placekit.llm.nearest import op12_nearest
 from placekit.llm.ngram_join import op4_ngram_join
 from placekit.llm.pii import op5_pii
 from placekit.llm.quality import op6_quality_rules
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_token_files": op9_token_files,
     "op10_line_dedup": op10_line_dedup,
+    "op12_nearest": op12_nearest,
     "op13_hard_negatives": op13_hard_negatives,
 }
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from placekit.llm.bpe import op2_bpe
 from placekit.llm.chat import OP3_SQL, op3_chat_format
+from placekit.llm.collocations import OP11_SQL, op11_collocations
 from placekit.llm.decontaminate import OP7_SQL, op7_decontaminate
 from placekit.llm.hard_negatives import OP13_SQL, op13_hard_negatives
 from placekit.llm.line_dedup import op10_line_dedup
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_token_files": op9_token_files,
     "op10_line_dedup": op10_line_dedup,
+    "op11_collocations": op11_collocations,
     "op12_nearest": op12_nearest,
     "op13_hard_negatives": op13_hard_negatives,
 }
@@ -33,5 +35,6 @@ QUERIES = {
 ORACLE: dict[str, str] = {
     "op3_chat_format": OP3_SQL,
     "op7_decontaminate": OP7_SQL,
+    "op11_collocations": OP11_SQL,
     "op13_hard_negatives": OP13_SQL,
 }

@@ -273,8 +273,7 @@ def test_selected_positions_depend_on_content_alone():
 
 def line_shingles(line):
     low = line.lower()
-    w = re.findall("[^ ]{1,32}", low) if re.search("[^ ]{65}", low) else [x for x in low.split(" ") if x]
-    return {tuple(w[i:i + 2]) for i in range(max(1, len(w) - 1))}
+    return {low[i:i + 5] for i in range(max(1, len(low) - 4))}
 
 
 def brute_lines(rows):
@@ -282,7 +281,7 @@ def brute_lines(rows):
     first = {}
     for d, t in sorted((r for r in rows if r[1]), key=lambda r: r[0]):
         for k, line in enumerate(t.split("\n")):
-            if len(line) >= 16 and line.strip(" "):
+            if line.strip():
                 first[line] = min(first.get(line, (d, k)), (d, k))
     lines = list(first)
     _, root = grouped([line_shingles(x) for x in lines])
@@ -291,7 +290,7 @@ def brute_lines(rows):
         keep[root[n]] = min(keep.get(root[n], first[line]), first[line])
     at = {line: n for n, line in enumerate(lines)}
     return [None if t is None else "\n".join(
-        x for k, x in enumerate(t.split("\n")) if len(x) < 16 or not x.strip(" ") or keep[root[at[x]]] == (d, k)) for d, t in rows]
+        x for k, x in enumerate(t.split("\n")) if not x.strip() or keep[root[at[x]]] == (d, k)) for d, t in rows]
 
 
 def test_lines_equal_brute_force(spark, monkeypatch):

@@ -49,8 +49,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 LEAST = 100  # occurrences of a candidate
 WORDS = 5  # of the longest candidate
 TOP = 2000  # rows of the report for each language
-CHUNK = 8 << 20
-SECTION = 1 << 21  # filter entries that a section is meant to have
+CHUNK = 4 << 20
+SECTION = 1 << 19  # filter entries that a section is meant to have
 SALTS = 64
 _MARK = b"\n"
 
@@ -173,15 +173,23 @@ _COUNTED = "lang string, section long, chunk long, bits int, lengths binary, rem
 _MERGED = "chunk long, lang string, codes binary, ids binary, first long, last long, id long, f long"
 
 
+def _rows(batch, *columns):
+    """The rows of a batch; binary values are views of it, not copies."""
+    cols = [batch.column(c) for c in columns]
+    for i in range(batch.num_rows):
+        yield tuple(c[i].as_buffer() if pa.types.is_binary(c.type) else c[i].as_py() for c in cols)
+
+
 def _word_state(batches):
     """The positions and numbers of the frequent words of each chunk, from rows
     of (chunk, lang, seq, known), known being its local numbers and their ids."""
     for b in batches:
-        for chunk, lang, seq, known in zip(*(b.column(c).to_pylist() for c in ("chunk", "lang", "seq", "known"))):
+        known = b.column("known")
+        for i, (chunk, lang, seq) in enumerate(_rows(b, "chunk", "lang", "seq")):
             seq = np.frombuffer(seq, np.int32)
             ids = np.full(max(seq.max(initial=0) + 1, 1) + 1, -1, np.int64)  # the last one is for the mark, -1
-            for k in known:
-                ids[k["local"]] = k["id"]
+            own = known[i].values
+            ids[own.field("local").to_numpy()] = own.field("id").to_numpy()
             yield _state_row(chunk, lang, np.arange(len(seq)), ids[seq])
 
 
@@ -189,15 +197,15 @@ def _state_row(chunk, lang, at, ids):
     ok = ids >= 0
     return pa.RecordBatch.from_arrays(
         [pa.array([chunk], pa.int64()), pa.array([lang], pa.string()),
-         pa.array([at[ok].astype(np.int32).tobytes()], pa.binary()), pa.array([ids[ok].astype(np.int64).tobytes()], pa.binary())],
+         pa.array([at[ok].astype(np.int32).tobytes()], pa.binary()), pa.array([ids[ok].astype(np.uint32).tobytes()], pa.binary())],
         ["chunk", "lang", "at", "ids"])
 
 
-def _pairs(at: bytes, ids: bytes, half: int) -> tuple[np.ndarray, np.ndarray]:
+def _pairs(at, ids, half: int) -> tuple[np.ndarray, np.ndarray]:
     """Where two frequent phrases start at neighbouring words, and the packed codes of the two."""
-    at, ids = np.frombuffer(at, np.int32), np.frombuffer(ids, np.int64).astype(np.uint64)
+    at, ids = np.frombuffer(at, np.int32), np.frombuffer(ids, np.uint32)
     both = np.flatnonzero(at[1:] == at[:-1] + 1)
-    return at[both], ids[both] << np.uint64(half) | ids[both + 1]
+    return at[both], ids[both].astype(np.uint64) << np.uint64(half) | ids[both + 1].astype(np.uint64)
 
 
 def _count_chunks(half: int, sections_log2: int):
@@ -206,7 +214,7 @@ def _count_chunks(half: int, sections_log2: int):
 
     def run(batches):
         for b in batches:
-            for chunk, lang, at, ids in zip(*(b.column(c).to_pylist() for c in ("chunk", "lang", "at", "ids"))):
+            for chunk, lang, at, ids in _rows(b, "chunk", "lang", "at", "ids"):
                 _, codes = _pairs(at, ids, half)
                 prints, counts = np.unique(permuted(codes, half), return_counts=True)
                 cut = min(sections_log2, bits)
@@ -251,7 +259,7 @@ def _merge_sections(half: int, sections: int, least: int):
             if len(there):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([chunk], pa.int64()), pa.array([lang]), pa.array([codes[there].tobytes()], pa.binary()),
-                     pa.array([ids[there].tobytes()], pa.binary()), *(nothing(1, pa.int64()) for _ in range(4))], schema=schema)
+                     pa.array([ids[there].astype(np.uint32).tobytes()], pa.binary()), *(nothing(1, pa.int64()) for _ in range(4))], schema=schema)
 
     def run(batches):
         key, chunks, filters = None, [], []
@@ -279,17 +287,18 @@ def _next_state(half: int):
             if chunk != now:
                 now, codes, ids = chunk, [], []
             if kind == 0:
-                codes += [np.frombuffer(x, np.uint64) for x in piece.column("codes").to_pylist()]
-                ids += [np.frombuffer(x, np.int64) for x in piece.column("ids").to_pylist()]
+                for x, y in _rows(piece, "codes", "ids"):
+                    codes.append(np.frombuffer(x, np.uint64))
+                    ids.append(np.frombuffer(y, np.uint32))
             elif codes:
-                for lang, at, own in zip(*(piece.column(c).to_pylist() for c in ("lang", "codes", "ids"))):
+                for lang, at, own in _rows(piece, "lang", "codes", "ids"):
                     known, number = np.concatenate(codes), np.concatenate(ids)
                     order = np.argsort(known)
                     known, number = known[order], number[order]
                     at, code = _pairs(at, own, half)
                     there = np.searchsorted(known, code)
                     there[there == len(known)] = 0
-                    yield _state_row(int(chunk), lang, at, np.where(known[there] == code, number[there], -1))
+                    yield _state_row(int(chunk), lang, at, np.where(known[there] == code, number[there].astype(np.int64), -1))
 
     return run
 
@@ -324,7 +333,7 @@ def counted_phrases(docs: DataFrame, least: int = LEAST, longest: int = WORDS, s
         if not size:
             break
         half = max(1, int(top).bit_length())
-        if half > 32:
+        if half > 32:  # states hold numbers of 32 bits, codes two of them
             raise ValueError(f"{top} is too large a phrase number: two do not fit 64 bits")
         cut = min(max(0, (size // section).bit_length()), 2 * half)
         found = materialize(state.mapInArrow(_count_chunks(half, cut), _COUNTED).repartition("lang", "section")

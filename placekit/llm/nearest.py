@@ -186,6 +186,32 @@ def _scored(queries: list[int], vectors: np.ndarray, batch, k: int):
     return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], ["query", "rep", "leaf", "score"])
 
 
+def _condensed(batches, k: int, most: int = 1 << 18):
+    """The best ``k`` rows of each query among the batches of a task.  Held rows are
+    merged when there are ``most``; what is still many then goes out."""
+    def merged(held):
+        query, rep, leaf, score = (np.concatenate([b.column(c).to_numpy() for b in held]) for c in ("query", "rep", "leaf", "score"))
+        order = np.lexsort((rep, -score, query))
+        q = query[order]
+        new = np.concatenate(([True], q[1:] != q[:-1]))
+        place = np.arange(len(q)) - np.flatnonzero(new)[np.cumsum(new) - 1]
+        order = order[place < k]
+        return pa.RecordBatch.from_arrays([pa.array(c[order]) for c in (query, rep, leaf, score)], ["query", "rep", "leaf", "score"])
+
+    held, rows = [], 0
+    for b in batches:
+        held.append(b)
+        rows += b.num_rows
+        if rows >= most:
+            held = [merged(held)]
+            rows = held[0].num_rows
+            if rows > most // 2:
+                yield held[0]
+                held, rows = [], 0
+    if rows:
+        yield merged(held)
+
+
 _SCORED = "query long, rep long, leaf long, score double"
 
 
@@ -197,7 +223,7 @@ def calibrated_visits(index: DataFrame, probes: DataFrame, tree: Tree, k: int, r
         return 1
     ids, x = asked.column("rep").to_pylist(), matrix(asked.column("v"))
     held = index.sparkSession.sparkContext.broadcast((ids, x))
-    scored = index.mapInArrow(lambda bs: (_scored(*held.value, b, k + 1) for b in bs if b.num_rows), _SCORED)
+    scored = index.mapInArrow(lambda bs: _condensed((_scored(*held.value, b, k + 1) for b in bs if b.num_rows), k + 1), _SCORED)
     true = _top(scored.filter("query != rep"), k).select("query", "leaf").collect()  # k rows for each probe
     ranks = {q: {leaf: n for n, leaf in enumerate(tree.visits(u), 1)} for q, u in zip(ids, unit(x))}
     found = sorted(ranks[r["query"]][r["leaf"]] for r in true)
@@ -255,8 +281,7 @@ def nearest(vectors: DataFrame, queries, k: int = NEAREST, recall: float = RECAL
     number = F.create_map(*[F.lit(x) for leaf_, n in sizes.items() for x in (leaf_, -(-n // block))])
     dealt = index.withColumn("cell", F.pmod(F.xxhash64("rep"), F.element_at(number, F.col("leaf"))))
     found = sorted_cells(dealt, cells, ["leaf", "cell"]).mapInArrow(
-        lambda bs: meet(bs, ["leaf", "cell"], lambda rows_, q: [
-            _found(rows_, q, k + 1)]), _SCORED)
+        lambda bs: _condensed(meet(bs, ["leaf", "cell"], lambda rows_, q: [_found(rows_, q, k + 1)]), k + 1), _SCORED)
     # the classes of a query's answer give their ids: at most k + 1 of k + 1 classes
     answer = (_top(found, k + 1).join(cls.select("rep", "members"), "rep")
               .groupBy("query").agg(F.flatten(F.collect_list(F.transform("members", lambda m: F.struct(

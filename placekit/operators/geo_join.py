@@ -1,20 +1,21 @@
 """Radius join on great-circle distance, blocked on a latitude-band grid.
 
 Spark has no spatial join; a plain theta join would be planned as a
-nested loop.  Rows are placed on a grid whose cells are at least as wide as
-the radius allows a partner to be away, so every qualifying pair shares a
-cell once the probe side is copied to its 3x3 neighbourhood.  The join is then
-an equi-join on ``(band, cell)`` followed by the exact haversine filter.
-
-Grid (r miles, theta = r / R):
-* band = floor((lat + 90) / h), h = max(degrees(theta), 1e-4) * (1 + 1e-9);
-* in band b the cell count n(b) = floor(360 / w(b)), w(b) the largest
-  longitude gap a pair with one point in bands b-1..b+1 can have, taken at the
-  band's largest |lat| (one cell around the poles).  Cells are 360 / n(b) wide,
-  so the ring closes exactly at the antimeridian.
-The build side keeps one (band, cell); the probe side is exploded to the three
-neighbouring cells in each of the three neighbouring bands (de-duplicated),
-so each pair meets in exactly one cell and no post-join distinct is needed.
+nested loop.  Build rows have one cell of a grid; a probe row goes to each
+cell that its circle can touch, so every qualifying pair shares exactly one
+cell.  The join is then an equi-join on ``(band, cell)`` followed by the exact
+haversine filter.
+
+Grid (r miles, theta = r / R, s cells of r a side):
+* band = floor((lat + 90) / h), h = s * degrees(theta), at least 1e-4;
+* in band b, w(b) is the largest longitude gap that a point of the band and one within
+  r of it can have, taken at the largest |lat| of the two; the cell count is
+  n(b) = floor(360 / (s * w(b))), or one around the poles.  Cells are 360 / n(b)
+  wide, so the ring closes exactly at the antimeridian.
+With s = 2 a circle touches four cells on average, with s = 1 it would be nine.
+
+A cell (and blocking key) that holds very many rows is dealt out in block pairs
+(``joins.dealt_join``).
 """
 
 from __future__ import annotations
@@ -25,8 +26,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from placekit.functions.geo import EARTH_RADIUS_MILES, haversine_miles
+from placekit.operators.joins import BLOCK_ROWS, dealt_join
 
 _MARGIN = 1 + 1e-9
+SIDE = 2
 
 
 def folded(lat: Column, lon: Column) -> tuple[Column, Column]:
@@ -42,70 +45,76 @@ def folded(lat: Column, lon: Column) -> tuple[Column, Column]:
 
 
 class Grid:
-    def __init__(self, radius_miles: float):
-        radius = max(float(radius_miles), 1e-9)
-        self.theta = radius / EARTH_RADIUS_MILES
-        self.h = max(math.degrees(self.theta), 1e-4) * _MARGIN
-        self.sin_half = math.sin(self.theta / 2)
-
-    def band(self, lat: Column) -> Column:
-        return F.floor((lat + F.lit(90.0)) / F.lit(self.h)).cast("int")
-
-    def cells(self, band: Column) -> Column:
-        lo = (band - 1).cast("double") * F.lit(self.h) - F.lit(90.0)
-        hi = (band + 2).cast("double") * F.lit(self.h) - F.lit(90.0)
-        max_abs = F.least(F.greatest(F.abs(lo), F.abs(hi)), F.lit(90.0))
-        cos_max = F.cos(F.radians(max_abs))
-        width = F.degrees(F.lit(2.0) * F.asin(F.lit(self.sin_half) / cos_max)) * F.lit(_MARGIN)
-        return (F.when(cos_max <= F.lit(self.sin_half), F.lit(1))
-                 .otherwise(F.greatest(F.lit(1), F.floor(F.lit(360.0) / width).cast("int"))))
+    """The grid of a radius; its methods add columns, so that each step is
+    computed once per row."""
 
-    @staticmethod
-    def cell(lon: Column, n: Column) -> Column:
-        return F.pmod(F.floor((lon + F.lit(180.0)) * n.cast("double") / F.lit(360.0)).cast("int"), n)
+    def __init__(self, radius_miles: float, side: float = SIDE):
+        theta = max(float(radius_miles), 1e-9) / EARTH_RADIUS_MILES
+        self.reach = max(math.degrees(theta), 1e-4) * _MARGIN
+        self.h = self.reach * side
+        self.side = side
+        self.sin_half = math.sin(min(theta, math.pi) / 2)
 
-    def home(self, lat: Column, lon: Column) -> Column:
+    def _points(self, df: DataFrame, lat: Column, lon: Column) -> DataFrame:
         lat, lon = folded(lat, lon)
-        b = self.band(lat)
-        return F.struct(b.alias("band"), self.cell(lon, self.cells(b)).alias("cell"))
+        return df.withColumn("_lat", lat + F.lit(90.0)).withColumn("_lon", lon + F.lit(180.0))
+
+    def _cells(self, df: DataFrame) -> DataFrame:
+        """Add the gap ``_w`` and the cell count ``_n`` of ``_band``."""
+        low = F.col("_band").cast("double") * F.lit(self.h) - F.lit(90.0 + self.reach)
+        high = low + F.lit(self.h + 2 * self.reach)
+        most = F.least(F.greatest(F.abs(low), F.abs(high)), F.lit(90.0))
+        df = df.withColumn("_cos", F.cos(F.radians(most)))
+        ring = F.col("_cos") <= F.lit(self.sin_half)
+        gap = F.degrees(F.lit(2.0) * F.asin(F.lit(self.sin_half) / F.col("_cos"))) * F.lit(_MARGIN)
+        df = df.withColumn("_w", F.when(ring, F.lit(360.0)).otherwise(gap))
+        return df.withColumn("_n", F.greatest(F.lit(1), F.floor(F.lit(360.0 / self.side) / F.col("_w")).cast("int")))
 
-    def neighbourhood(self, lat: Column, lon: Column) -> Column:
-        lat, lon = folded(lat, lon)
-        b = self.band(lat)
-        keys = []
-        for db in (-1, 0, 1):
-            bb = b + db
-            n = self.cells(bb)
-            c = self.cell(lon, n)
-            for dc in (-1, 0, 1):
-                keys.append(F.struct(bb.alias("band"), F.pmod(c + dc, n).alias("cell")))
-        return F.array_distinct(F.array(*keys))
+    @staticmethod
+    def _cell(lon: Column) -> Column:
+        return F.floor(lon * F.col("_n").cast("double") / F.lit(360.0)).cast("int")
+
+    def home(self, df: DataFrame, lat: Column, lon: Column) -> DataFrame:
+        """Add ``_band`` and ``_cell`` of each row."""
+        df = self._points(df, lat, lon).withColumn("_band", F.floor(F.col("_lat") / F.lit(self.h)).cast("int"))
+        df = self._cells(df).withColumn("_cell", F.pmod(self._cell(F.col("_lon")), F.col("_n")))
+        return df.drop("_lat", "_lon", "_cos", "_w", "_n")
+
+    def touched(self, df: DataFrame, lat: Column, lon: Column) -> DataFrame:
+        """A row for each ``(_band, _cell)`` that the circle round the row touches."""
+        band = lambda x: F.floor(x / F.lit(self.h)).cast("int")
+        df = self._points(df, lat, lon)
+        df = df.withColumn("_band", F.explode(F.sequence(
+            band(F.col("_lat") - F.lit(self.reach)), band(F.col("_lat") + F.lit(self.reach)))))
+        df = self._cells(df)
+        first, last = (self._cell(F.col("_lon") + F.lit(sign) * F.col("_w")) for sign in (-1.0, 1.0))
+        # a ring of few cells is touched as a whole, each cell once
+        last = F.least(last, first + F.col("_n") - 1)
+        df = df.withColumn("_cell", F.explode(F.sequence(first, last)))
+        return df.withColumn("_cell", F.pmod("_cell", "_n")).drop("_lat", "_lon", "_cos", "_w", "_n")
 
 
 def radius_join(build: DataFrame, probe: DataFrame, radius_miles: float,
                 build_coords=("latitude", "longitude"),
                 probe_coords=("latitude", "longitude"),
-                distance_col: str = "distance_miles",
-                build_key=None, probe_keys=None) -> DataFrame:
+                distance_col: str = "distance_miles", blocking=None,
+                block: int = BLOCK_ROWS, side: float = SIDE) -> DataFrame:
     """All (build, probe) pairs within ``radius_miles`` (both coordinates non-null).
 
     Column names of the two sides must not collide.  ``probe`` is the side that
-    is copied to its neighbourhood; pass the smaller side there.  An optional
-    extra blocking key (``build_key`` scalar, ``probe_keys`` array of the
-    probe's admissible build keys, distinct) narrows each cell further.
+    is copied to the cells it touches; pass the smaller side there.  An optional
+    ``blocking`` (see ``name_blocks``) narrows each cell by further keys.
     """
-    grid = Grid(radius_miles)
+    grid = Grid(radius_miles, side)
     blat, blon = (F.col(c) for c in build_coords)
     plat, plon = (F.col(c) for c in probe_coords)
-    b = (build.filter(blat.isNotNull() & blon.isNotNull())
-              .withColumn("_g", grid.home(blat, blon)))
-    p = (probe.filter(plat.isNotNull() & plon.isNotNull())
-              .withColumn("_g", F.explode(grid.neighbourhood(plat, plon))))
-    keys = ["_g"]
-    if build_key is not None:
-        b = b.withColumn("_x", build_key)
-        p = p.withColumn("_x", F.explode(probe_keys))
-        keys.append("_x")
-    joined = b.join(p, keys).drop(*keys)
-    dist = haversine_miles(blat, blon, plat, plon)
-    return joined.withColumn(distance_col, dist).filter(F.col(distance_col) <= F.lit(float(radius_miles)))
+    b = grid.home(build.filter(blat.isNotNull() & blon.isNotNull()), blat, blon)
+    p = grid.touched(probe.filter(plat.isNotNull() & plon.isNotNull()), plat, plon)
+    keys = ["_band", "_cell"]
+    if blocking is not None:
+        b, p, keys = blocking.build(b), blocking.probe(p), keys + blocking.keys
+    pairs = dealt_join(b, p, keys, block).withColumn(distance_col, haversine_miles(blat, blon, plat, plon))
+    pairs = pairs.filter(F.col(distance_col) <= F.lit(float(radius_miles)))
+    if blocking is not None:
+        pairs = blocking.accept(pairs)
+    return pairs.drop(*keys)

@@ -8,7 +8,6 @@ confidence pass the thresholds.  Matches are many-to-many.
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
@@ -21,6 +20,8 @@ from placekit.functions.text import is_blank
 from placekit.functions.regions import forms_equal, region_compare_form, zip_compare_form
 from placekit.functions.scoring import confidence, reachable_radius
 from placekit.operators.geo_join import radius_join
+from placekit.operators.joins import dealt_join
+from placekit.operators.name_blocks import Segments, name_blocks
 
 
 @dataclass(frozen=True)
@@ -68,29 +69,24 @@ PAIR_COLUMNS = ["b_row_id", "a_row_id", "b_seq", "a_seq", "distance_miles",
                 "city_match", "state_match", "geographic_warning", "match_stage"]
 
 
-def _length_band(n, m: float):
-    """Geometric length band of a name form: two forms whose edit similarity
-    can reach ``m`` have lengths in ratio >= m, so their bands differ by <= 1.
-    Empty forms get their own band (they only match empty forms)."""
-    length = F.length(n).cast("double")
-    if m >= 1.0:
-        band = length
-    else:
-        width = math.log(1.0 / m) * (1 + 1e-9)
-        band = F.floor(F.log(length) / F.lit(width))
-    return F.when(length == 0, F.lit(-(1 << 40))).otherwise(band).cast("bigint")
-
-
 def _name_blocking(params: MatchParams) -> bool:
     return (not params.ignore_name and params.similarity == "edit"
             and 0.0 < params.min_name_similarity)
 
 
-def _band_keys(n, m: float):
-    """The bands a probe form can meet: its own and both neighbours."""
-    band = _length_band(n, m)
-    empty = F.length(n) == 0
-    return F.when(empty, F.array(band)).otherwise(F.array(band - 1, band, band + 1))
+def _blocks(params: MatchParams):
+    """The blocking by names inside cells, if names decide."""
+    return name_blocks(params.min_name_similarity, "a_name_cmp", "b_name_cmp") if _name_blocking(params) else None
+
+
+def _near(a: DataFrame, b: DataFrame, params: MatchParams) -> DataFrame:
+    """The pairs of two sides within the reachable radius that the names do not
+    rule out.  Segments of names leave few pairs in a cell, so cells can be
+    larger, and fewer copies of B rows are needed."""
+    blocks = _blocks(params)
+    return radius_join(a, b, reachable_radius(params),
+                       build_coords=("a_latitude", "a_longitude"), probe_coords=("b_latitude", "b_longitude"),
+                       blocking=blocks, side=8 if isinstance(blocks, Segments) else 2)
 
 
 def _side(df: DataFrame, prefix: str, params: MatchParams) -> DataFrame:
@@ -209,16 +205,16 @@ def coordinate_cell_pairs(a: DataFrame, b: DataFrame, params: MatchParams) -> Da
     B = _side(b, "b_", params).filter(F.col("b_latitude").isNotNull() & F.col("b_longitude").isNotNull())
     A = A.withColumn("_clat", coordinate_cell("a_latitude", p)).withColumn("_clon", coordinate_cell("a_longitude", p))
     B = B.withColumn("_clat", coordinate_cell("b_latitude", p)).withColumn("_clon", coordinate_cell("b_longitude", p))
-    keys = ["_clat", "_clon"]
-    if _name_blocking(params):
-        m = params.min_name_similarity
-        A = A.withColumn("_nb", _length_band(F.col("a_name_cmp"), m))
-        B = B.withColumn("_nb", F.explode(_band_keys(F.col("b_name_cmp"), m)))
-        keys.append("_nb")
-    pairs = (B.join(A, keys).drop(*keys)
-              .withColumn("distance_miles",
-                          haversine_miles("b_latitude", "b_longitude", "a_latitude", "a_longitude"))
-              .filter(F.col("distance_miles") <= F.lit(params.max_distance)))
+    keys, blocks = ["_clat", "_clon"], _blocks(params)
+    if blocks is not None:
+        A, B, keys = blocks.build(A), blocks.probe(B), keys + blocks.keys
+    pairs = (dealt_join(B, A, keys)
+             .withColumn("distance_miles",
+                         haversine_miles("b_latitude", "b_longitude", "a_latitude", "a_longitude"))
+             .filter(F.col("distance_miles") <= F.lit(params.max_distance)))
+    if blocks is not None:
+        pairs = blocks.accept(pairs)
+    pairs = pairs.drop(*keys)
     if not params.ignore_name:
         if params.similarity == "blended":
             pairs = _blended_names(pairs, params)
@@ -240,16 +236,7 @@ def proximity_stage(a: DataFrame, b: DataFrame, exact: DataFrame, params: MatchP
         exact.select(F.col("a_row_id")).distinct(), "a_row_id", "left_anti")
     rem_b = _side(b, "b_", params).join(
         exact.select(F.col("b_row_id")).distinct(), "b_row_id", "left_anti")
-    radius = reachable_radius(params)
-    extra = {}
-    if _name_blocking(params):
-        m = params.min_name_similarity
-        extra = {"build_key": _length_band(F.col("a_name_cmp"), m),
-                 "probe_keys": _band_keys(F.col("b_name_cmp"), m)}
-    pairs = radius_join(rem_a, rem_b, radius,
-                        build_coords=("a_latitude", "a_longitude"),
-                        probe_coords=("b_latitude", "b_longitude"), **extra)
-    pairs = _score(pairs, params)
+    pairs = _score(_near(rem_a, rem_b, params), params)
     reason = F.concat(F.lit("coordinate_priority_proximity, distance_"),
                       F.format_string("%.3f", F.col("distance_miles")), F.lit("mi"))
     out = _finish(pairs, params, 2, reason)
@@ -268,16 +255,7 @@ def candidate_pairs(a: DataFrame, b: DataFrame, params: MatchParams) -> DataFram
     threshold) and, unless names are ignored, with name similarity >= min.
     ``same_cell`` marks the pairs of the exact-cell stage."""
     p = params.coordinate_precision
-    A, B = _side(a, "a_", params), _side(b, "b_", params)
-    extra = {}
-    if _name_blocking(params):
-        m = params.min_name_similarity
-        extra = {"build_key": _length_band(F.col("a_name_cmp"), m),
-                 "probe_keys": _band_keys(F.col("b_name_cmp"), m)}
-    pairs = radius_join(A, B, reachable_radius(params),
-                        build_coords=("a_latitude", "a_longitude"),
-                        probe_coords=("b_latitude", "b_longitude"), **extra)
-    pairs = pairs.withColumn(
+    pairs = _near(_side(a, "a_", params), _side(b, "b_", params), params).withColumn(
         "same_cell",
         (coordinate_cell("a_latitude", p) == coordinate_cell("b_latitude", p))
         & (coordinate_cell("a_longitude", p) == coordinate_cell("b_longitude", p)))

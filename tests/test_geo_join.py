@@ -64,3 +64,34 @@ def test_latitudes_out_of_range_keep_their_partners(spark):
              .select("a", "b"))
     got = radius_join(a, b, 1.0, ("alat", "alon"), ("blat", "blon")).select("a", "b")
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() > 300
+
+
+def test_hot_point_is_dealt_out(spark):
+    """A fifth of both sides at one point: every pair once, in cells of bounded size."""
+    rng = random.Random(8)
+    rows = [(i, 0.0, 0.0) if i % 5 == 0 else (i, rng.uniform(-1, 1), rng.uniform(-1, 1)) for i in range(2000)]
+    a = spark.createDataFrame(rows, "aid long, alat double, alon double")
+    b = spark.createDataFrame(rows[:1000], "bid long, blat double, blon double")
+    got = [(r.aid, r.bid) for r in radius_join(a, b, 0.5, ("alat", "alon"), ("blat", "blon"), block=50).collect()]
+    want = {(i, j) for i, la, lo in rows for j, lb, ob in rows[:1000] if abs(la - lb) < 0.01 and hav(la, lo, lb, ob) <= 0.5}
+    assert len(got) == len(set(got)) and set(got) == want
+    assert sum(i % 5 == 0 and j % 5 == 0 for i, j in got) == 400 * 200
+
+
+def test_dealt_join_bounds_a_task(spark):
+    from pyspark.sql import functions as F
+    from placekit.operators import joins as J
+    left = spark.range(3000).select(F.when(F.col("id") < 1500, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("x"))
+    right = spark.range(900).select(F.when(F.col("id") < 300, 0).otherwise(F.col("id") + 1000).alias("k"), F.col("id").alias("y"))
+    hot = J.hot_keys(left, right, ["k"], 100).collect()
+    assert [(r["k"], r["_ln"], r["_rn"]) for r in hot] == [(0, 15, 3)]
+    got = J.dealt_join(left, right, ["k"], 100)
+    assert got.columns == ["k", "x", "y"]
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, left.join(right, "k").collect()))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:  # the pairs of the hot key lie in 45 cells of about 100 by 100, dealt over the tasks
+        sizes = sorted(r["count"] for r in J.dealt_join(left, right, ["k"], 100).groupBy(
+            F.spark_partition_id()).count().collect())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(sizes) == 8 and sizes[-1] <= 4 * sizes[len(sizes) // 2]

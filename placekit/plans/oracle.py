@@ -815,6 +815,78 @@ def city_std_sql(c: str) -> str:
 
 register("standardize_cities", with_(*PLACES) + f"SELECT row_id, city, {city_std_sql('city')} city_std FROM place_b")
 
+# ---------------------------------------------------------------- blended profile
+
+from placekit.functions.regions import FULL_STATE_TO_ABBR  # noqa: E402
+from placekit.operators.match import BLENDED  # noqa: E402
+
+
+def _state_abbr(x: str) -> str:
+    table = ", ".join(f"'{full}': '{short}'" for full, short in FULL_STATE_TO_ABBR.items())
+    up = f"upper({utrim(x)})"
+    return f"coalesce((MAP {{{table}}})[{up}], {up})"
+
+
+def _zip_digits(x: str) -> str:
+    return f"left({utrim(x)}, 5)"
+
+
+def blended_confidence(p: MatchParams) -> str:
+    """Confidence with the loose city, state and zip rules; addresses do not count in this profile."""
+    z = p.zip_column
+    city = f"coalesce({city_std_sql('b_city')} = {city_std_sql('a_city')}, false)"
+    state = f"coalesce({_state_abbr('b_territory')} = {_state_abbr('a_territory')}, false)"
+    code = (f"coalesce(regexp_full_match({_zip_digits('b_' + z)}, '\\p{{Nd}}+') "
+            f"AND {_zip_digits('b_' + z)} = {_zip_digits('a_' + z)}, false)")
+    coord = coord_score("distance_miles")
+    final = (f"least({coord} * 0.6e0 + name_similarity * 0.4e0 + (CASE WHEN {city} THEN 0.05e0 ELSE 0.0e0 END) "
+             f"+ (CASE WHEN {state} THEN 0.05e0 ELSE 0.0e0 END) + (CASE WHEN {code} THEN 0.02e0 ELSE 0.0e0 END), 1.0e0)")
+    return (f"(CASE WHEN {coord} < 0.5e0 THEN least({final}, 0.4e0) "
+            f"WHEN {coord} < 0.7e0 THEN least({final}, 0.6e0) ELSE {final} END)")
+
+
+# Longest common block of two strings as length * 1000 - start in x: the longest, then the first.
+_BLOCK = ("list_max(flatten([[l * 1000 - i for l in range(1, length(x) - i + 2) if contains(y, substring(x, i, l))] "
+          "for i in range(1, length(x) + 1)]))")
+
+
+def blended_ctes(p: MatchParams) -> list[str]:
+    prec = f"{10 ** p.coordinate_precision}.0e0"
+    cell = " AND ".join(f"floor(b_{c} * {prec})::BIGINT = floor(a_{c} * {prec})::BIGINT" for c in ("latitude", "longitude"))
+    clean = lambda c: f"nullif({clean_name_sql(c)}, '')"
+    return [
+        f"near AS (SELECT *, {haversine('b_latitude', 'b_longitude', 'a_latitude', 'a_longitude')} AS distance_miles, "
+        f"{clean('b_name')} AS x, {clean('a_name')} AS y FROM ({_side('vb', 'b_')}) b, ({_side('va', 'a_')}) a "
+        f"WHERE distance_miles <= {p.max_distance}e0)",
+        "asked AS (SELECT DISTINCT x AS px, y AS py FROM near WHERE x IS NOT NULL AND y IS NOT NULL AND x <> y)",
+        # the segments left and right of a pair's longest block, until none has one
+        "seg(px, py, x, y, matched) AS (SELECT px, py, px, py, 0::BIGINT FROM asked UNION ALL "
+        "SELECT px, py, part.x, part.y, part.matched FROM (SELECT px, py, unnest([{'x': left(x, i - 1), 'y': left(y, j - 1), 'matched': l}, "
+        "{'x': substring(x, i + l), 'y': substring(y, j + l), 'matched': 0::BIGINT}]) AS part FROM ("
+        "SELECT *, strpos(y, substring(x, i, l)) AS j FROM (SELECT *, l * 1000 - best AS i FROM ("
+        "SELECT *, (best + 999) // 1000 AS l FROM ("
+        f"SELECT px, py, x, y, {_BLOCK} AS best FROM seg WHERE x <> '' AND y <> '') WHERE best IS NOT NULL)))))",
+        "ratio AS (SELECT px, py, 2.0e0 * sum(matched) / (length(px) + length(py)) AS r FROM seg GROUP BY px, py)",
+        "named AS (SELECT px, py, CASE WHEN least(length(px), length(py)) / greatest(length(px), length(py)) < 0.3e0 THEN 0.0e0 "
+        "WHEN r < 0.3e0 THEN r * 0.4e0 ELSE least(r * 0.5e0 "
+        "+ 0.4e0 * len(list_distinct(list_intersect(string_split(px, ' '), string_split(py, ' ')))) "
+        "/ len(list_distinct(list_concat(string_split(px, ' '), string_split(py, ' ')))) "
+        "+ CASE WHEN len([w for w in string_split(px, ' ') if length(w) > 3 AND contains(py, w)]) > 0 THEN 0.3e0 ELSE 0.0e0 END, "
+        "1.0e0) END AS score FROM ratio)",
+        "scored AS (SELECT near.*, CASE WHEN x = y THEN 1.0e0 ELSE coalesce(score, 0.0e0) END AS name_similarity, "
+        "0.0e0 AS address_similarity FROM near LEFT JOIN named ON px = x AND py = y)",
+        f"kept AS (SELECT * FROM (SELECT *, {blended_confidence(p)} AS confidence, {cell} AS same_cell FROM scored) z "
+        f"WHERE confidence >= {p.min_confidence}e0 AND name_similarity >= {p.min_name_similarity}e0)",
+        f"exact_m AS (SELECT {_finish(p, 1, repr(f'truncated_coordinates_{p.coordinate_precision}dp, coordinate_priority_match'))} "
+        "FROM kept WHERE same_cell)",
+        "matches AS (SELECT * FROM exact_m UNION ALL SELECT "
+        + _finish(p, 2, "'coordinate_priority_proximity, distance_' || printf('%.3f', distance_miles) || 'mi'")
+        + " FROM kept WHERE b_row_id NOT IN (SELECT b_row_id FROM exact_m) AND a_row_id NOT IN (SELECT a_row_id FROM exact_m))"]
+
+
+register("match_places_blended", with_(*PLACES, *_VALID, *blended_ctes(BLENDED)).replace("WITH ", "WITH RECURSIVE ", 1)
+         + f"SELECT {PAIR_OUT} FROM matches")
+
 _R3 = "floor({c} * 1000.0e0 + 0.5e0) / 1000.0e0"
 register("gazetteer_enrich", with_(
     *PLACES,

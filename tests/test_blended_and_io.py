@@ -4,6 +4,7 @@ import os
 import tempfile
 from difflib import SequenceMatcher
 
+from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from placekit.functions import blended as BL
@@ -40,6 +41,20 @@ def test_blended_name_score(spark):
         assert r["bound"] >= r["score"] - 1e-12
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(st.text("abcd é", max_size=25), st.text("abcd é\U0001F600", max_size=25)), min_size=1, max_size=12))
+def test_matched_characters_equal_the_library(pairs):
+    x, y = zip(*pairs)
+    got = BL.matched_characters(list(x), list(y)).tolist()
+    assert got == [sum(m.size for m in SequenceMatcher(None, a, b).get_matching_blocks()) for a, b in pairs]
+
+
+def test_ratio_of_long_and_empty_strings(spark):
+    rows = [("", ""), ("a", ""), ("ab " * 90, "ab " * 80 + "xyz"), ("abc", "a" * 200 + "bc"), ("a" * 300, "a" * 199)]
+    got = spark.createDataFrame(rows, "x string, y string").select(BL.ratcliff_ratio("x", "y")).collect()
+    assert [round(r[0], 12) for r in got] == [round(SequenceMatcher(None, a, b).ratio(), 12) for a, b in rows]
+
+
 def test_blended_street(spark):
     rows = [("123 Main St, Springfield, IL, 62704", "123 main st"), ("IL, 62704", "il"), (", x", None), (None, None),
             (" !! ", ""), ("1  Elm-St.", "1 elm st")]

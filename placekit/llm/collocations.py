@@ -6,9 +6,9 @@ blank and tab; A-Z are lower-cased.  Everything is per language (null: ``und``).
 1. Tasks cut the texts into chunks of about ``CHUNK`` bytes per language, and write
    each chunk as its list of different words, their counts, and the sequence
    of local word numbers with a mark between pieces.
-2. The words' counts are summed by Spark.  Words of at least ``least`` occurrences get
-   a number (others cannot be in a phrase that occurs so often), which goes back
-   to the chunks that hold the word.  No dictionary is broadcast.
+2. A chunk's words go to sections of their hash, where counts are summed.  Words of at least
+   ``least`` occurrences get a number (others cannot be in a phrase that occurs so often), which
+   goes back to the chunks that hold the word.  No dictionary is broadcast.
 3. Phrases of n words are counted after those of n - 1: a phrase is packed as the
    numbers of its first and of its last n - 1 words, both frequent, so its code is
    lossless and holds 2 b bits whatever n is.  The code is permuted by an
@@ -33,9 +33,11 @@ empty table gives no rows; further columns are ignored.
 from __future__ import annotations
 
 import sys
+import zlib
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -69,6 +71,15 @@ def _table() -> bytes:
 _BYTES = _table()
 
 
+def packed(x) -> bytes:
+    """Bytes or an array as they are kept in tables."""
+    return zstandard.compress(x if isinstance(x, bytes) else x.tobytes(), 1)
+
+
+def unpacked(x, kind) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(x), kind)
+
+
 def pieces(text: bytes) -> list[bytes]:
     """The words of a UTF-8 text, and a line feed for each end of a piece."""
     return [w for w in text.translate(_BYTES).replace(_MARK, b" \n ").split(b" ") if w]
@@ -101,12 +112,13 @@ def make_filter(prints: np.ndarray, counts: np.ndarray, bits: int) -> tuple[byte
     remainder = prints & np.uint64((1 << rest) - 1)
     low = remainder.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :-(-rest // 8)]
     small = np.minimum(counts, 255).astype(np.uint8)
-    return (bytes([q, width]) + lengths.astype(f"<u{width}").tobytes(), low.tobytes(),
-            small.tobytes() + counts[counts >= 255].astype("<u8").tobytes())
+    return (packed(bytes([q, width]) + lengths.astype(f"<u{width}").tobytes()), low.tobytes(),
+            packed(small.tobytes() + counts[counts >= 255].astype("<u8").tobytes()))
 
 
 def read_filter(lengths: bytes, remainders: bytes, counters: bytes, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """The fingerprints of a filter in order, and their counts."""
+    lengths, counters = zstandard.decompress(lengths), zstandard.decompress(counters)
     q, width = lengths[0], lengths[1]
     lengths = np.frombuffer(lengths, f"<u{width}", offset=2)
     n, rest = int(lengths.sum()), bits - q
@@ -135,9 +147,12 @@ def merged(filters: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np
 # ------------------------------------------------------------------ chunks and words
 
 
+_CHUNK = "chunk long, lang string, n long, different long, words binary, counts binary, seq binary"
+
+
 def _chunks(batches):
-    """(chunk, lang, words, counts, seq) from batches of (lang, text); a chunk's
-    number is unique among the tasks that wrote the table."""
+    """Batches of (lang, text) as chunks.  A chunk's number is unique among the
+    tasks that wrote the table; -1 in its sequence is an end of a piece."""
     number = TaskContext.get().partitionId() << 32
     held: dict[str, list] = {}  # lang: numbers of its words, sequences so far, bytes so far
 
@@ -147,10 +162,11 @@ def _chunks(batches):
         seq = np.concatenate(seqs)
         counts = np.bincount(seq, minlength=len(names))[1:]  # 0 is the mark; it becomes -1
         number += 1
-        return pa.RecordBatch.from_arrays(
-            [pa.array([number]), pa.array([lang]), pa.array([[w.decode() for w in list(names)[1:]]], pa.list_(pa.string())),
-             pa.array([counts.tolist()], pa.list_(pa.int64())), pa.array([(seq - np.int32(1)).tobytes()], pa.binary())],
-            ["chunk", "lang", "words", "counts", "seq"])
+        return pa.RecordBatch.from_pylist([{
+            "chunk": number, "lang": lang, "n": int(counts.sum()), "different": len(counts),
+            "words": packed(_MARK.join(list(names)[1:])), "counts": packed(counts), "seq": packed(seq - np.int32(1))}],
+            schema=pa.schema([("chunk", pa.int64()), ("lang", pa.string()), ("n", pa.int64()), ("different", pa.int64()),
+                              ("words", pa.binary()), ("counts", pa.binary()), ("seq", pa.binary())]))
 
     for b in batches:
         for lang, text in zip(b.column("lang").to_pylist(), b.column("text").cast(pa.binary())):
@@ -171,6 +187,8 @@ def _chunks(batches):
 _STATE = "chunk long, lang string, at binary, ids binary"
 _COUNTED = "lang string, section long, chunk long, bits int, lengths binary, remainders binary, counters binary"
 _MERGED = "chunk long, lang string, codes binary, ids binary, first long, last long, id long, f long"
+_DEALT = "lang string, section long, chunk long, words binary, locals binary, counts binary"
+_WORDS = "chunk long, lang string, codes binary, ids binary, word string, id long, f long"
 
 
 def _rows(batch, *columns):
@@ -180,30 +198,97 @@ def _rows(batch, *columns):
         yield tuple(c[i].as_buffer() if pa.types.is_binary(c.type) else c[i].as_py() for c in cols)
 
 
+def _deal_words(sections: int):
+    """The words of each chunk, by sections of their hash."""
+    def run(batches):
+        for b in batches:
+            for chunk, lang, words, counts in _rows(b, "chunk", "lang", "words", "counts"):
+                words, counts = zstandard.decompress(words).split(_MARK), unpacked(counts, np.int64)
+                if not len(counts):
+                    continue
+                at = np.fromiter((zlib.crc32(w) for w in words), np.int64, len(words)) % sections
+                order = np.argsort(at, kind="stable")
+                edge = np.searchsorted(at[order], np.arange(sections + 1))
+                rows = [(lang, s, chunk, packed(_MARK.join([words[i] for i in order[lo:hi].tolist()])),
+                         packed(order[lo:hi].astype(np.int32)), packed(counts[order[lo:hi]]))
+                        for s, (lo, hi) in enumerate(zip(edge[:-1], edge[1:])) if hi > lo]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.int64(), pa.int64(), pa.binary(),
+                                                                 pa.binary(), pa.binary()))],
+                    ["lang", "section", "chunk", "words", "locals", "counts"])
+
+    return run
+
+
+def _merge_words(sections: int, least: int):
+    """Of each section its frequent words (rows without chunk), and what each
+    chunk has of them: local numbers and ids."""
+    schema = pa.schema([("chunk", pa.int64()), ("lang", pa.string()), ("codes", pa.binary()), ("ids", pa.binary()),
+                        ("word", pa.string()), ("id", pa.int64()), ("f", pa.int64())])
+
+    def finish(lang, section, held):
+        total: dict[bytes, int] = {}
+        for _, words, _, counts in held:
+            for w, c in zip(zstandard.decompress(words).split(_MARK), unpacked(counts, np.int64).tolist()):
+                total[w] = total.get(w, 0) + c
+        often = sorted(w for w, c in total.items() if c >= least)
+        if not often:
+            return
+        ids = {w: n * sections + section for n, w in enumerate(often)}
+        yield pa.RecordBatch.from_pylist([{"lang": lang, "word": w.decode(), "id": i, "f": total[w]} for w, i in ids.items()],
+                                         schema=schema)
+        for chunk, words, local, _ in held:
+            number = np.array([ids.get(w, -1) for w in zstandard.decompress(words).split(_MARK)], np.int64)
+            ok = number >= 0
+            if ok.any():
+                yield pa.RecordBatch.from_pylist([{
+                    "chunk": chunk, "lang": lang, "codes": packed(unpacked(local, np.int32)[ok]),
+                    "ids": packed(number[ok].astype(np.uint32))}], schema=schema)
+
+    def run(batches):
+        key, held = None, []
+        for (lang, section), piece in runs(batches, ["lang", "section"]):
+            if (lang, section) != key:
+                if key:
+                    yield from finish(*key, held)
+                key, held = (lang, int(section)), []
+            held += zip(*(piece.column(c).to_pylist() for c in ("chunk", "words", "locals", "counts")))
+        if key:
+            yield from finish(*key, held)
+
+    return run
+
+
 def _word_state(batches):
-    """The positions and numbers of the frequent words of each chunk, from rows
-    of (chunk, lang, seq, known), known being its local numbers and their ids."""
-    for b in batches:
-        known = b.column("known")
-        for i, (chunk, lang, seq) in enumerate(_rows(b, "chunk", "lang", "seq")):
-            seq = np.frombuffer(seq, np.int32)
-            ids = np.full(max(seq.max(initial=0) + 1, 1) + 1, -1, np.int64)  # the last one is for the mark, -1
-            own = known[i].values
-            ids[own.field("local").to_numpy()] = own.field("id").to_numpy()
-            yield _state_row(chunk, lang, np.arange(len(seq)), ids[seq])
+    """A chunk's numbers of frequent words (kind 0), then its sequence (kind 1):
+    where these words stand."""
+    now, known = None, []
+    for (chunk, kind), piece in runs(batches, ["chunk", "kind"]):
+        if chunk != now:
+            now, known = chunk, []
+        if kind == 0:
+            known += [(unpacked(x, np.int32), unpacked(y, np.uint32)) for x, y in _rows(piece, "codes", "ids")]
+        elif known:
+            for lang, seq in _rows(piece, "lang", "codes"):
+                seq = unpacked(seq, np.int32)
+                ids = np.full(int(seq.max(initial=-1)) + 2, -1, np.int64)  # the last one is for the mark, -1
+                for local, number in known:
+                    ids[local] = number
+                yield _state_row(int(chunk), lang, np.arange(len(seq)), ids[seq])
 
 
 def _state_row(chunk, lang, at, ids):
     ok = ids >= 0
     return pa.RecordBatch.from_arrays(
         [pa.array([chunk], pa.int64()), pa.array([lang], pa.string()),
-         pa.array([at[ok].astype(np.int32).tobytes()], pa.binary()), pa.array([ids[ok].astype(np.uint32).tobytes()], pa.binary())],
+         pa.array([packed(np.diff(at[ok], prepend=0).astype(np.int32))], pa.binary()),  # steps: they are small
+         pa.array([packed(ids[ok].astype(np.uint32))], pa.binary())],
         ["chunk", "lang", "at", "ids"])
 
 
 def _pairs(at, ids, half: int) -> tuple[np.ndarray, np.ndarray]:
     """Where two frequent phrases start at neighbouring words, and the packed codes of the two."""
-    at, ids = np.frombuffer(at, np.int32), np.frombuffer(ids, np.uint32)
+    at, ids = np.cumsum(unpacked(at, np.int32)), unpacked(ids, np.uint32)
     both = np.flatnonzero(at[1:] == at[:-1] + 1)
     return at[both], ids[both].astype(np.uint64) << np.uint64(half) | ids[both + 1].astype(np.uint64)
 
@@ -258,8 +343,8 @@ def _merge_sections(half: int, sections: int, least: int):
             there = there[prints[there] == own]
             if len(there):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([chunk], pa.int64()), pa.array([lang]), pa.array([codes[there].tobytes()], pa.binary()),
-                     pa.array([ids[there].astype(np.uint32).tobytes()], pa.binary()), *(nothing(1, pa.int64()) for _ in range(4))], schema=schema)
+                    [pa.array([chunk], pa.int64()), pa.array([lang]), pa.array([packed(codes[there])], pa.binary()),
+                     pa.array([packed(ids[there].astype(np.uint32))], pa.binary()), *(nothing(1, pa.int64()) for _ in range(4))], schema=schema)
 
     def run(batches):
         key, chunks, filters = None, [], []
@@ -288,8 +373,8 @@ def _next_state(half: int):
                 now, codes, ids = chunk, [], []
             if kind == 0:
                 for x, y in _rows(piece, "codes", "ids"):
-                    codes.append(np.frombuffer(x, np.uint64))
-                    ids.append(np.frombuffer(y, np.uint32))
+                    codes.append(unpacked(x, np.uint64))
+                    ids.append(unpacked(y, np.uint32))
             elif codes:
                 for lang, at, own in _rows(piece, "lang", "codes", "ids"):
                     known, number = np.concatenate(codes), np.concatenate(ids)
@@ -311,21 +396,18 @@ def counted_phrases(docs: DataFrame, least: int = LEAST, longest: int = WORDS, s
     words that occur at least ``least`` times, and lang and n, its number of words."""
     texts = docs.filter(F.col("text").isNotNull() & (F.col("text") != "")).select(
         F.coalesce("lang", F.lit("und")).alias("lang"), "text")
-    chunks = materialize(texts.mapInArrow(
-        _chunks, "chunk long, lang string, words array<string>, counts array<long>, seq binary"))
-    words = chunks.select("chunk", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("local", "w")).select(
-        "chunk", "lang", "local", F.col("w.words").alias("word"), F.col("w.counts").alias("c"))
-    often = words.groupBy("lang", "word").agg(F.sum("c").alias("f"))
-    totals = materialize(often.groupBy("lang").agg(F.sum("f").alias("n")))
-    place = F.monotonically_increasing_id()
-    often = materialize(often.filter(F.col("f") >= least).withColumn("part", F.shiftright(place, 33))
-                             .withColumn("row", place.bitwiseAND((1 << 33) - 1)))
-    parts = often.agg(F.max("part")).first()[0]
-    number = F.col("row") * F.lit((parts or 0) + 1) + F.col("part")
-    often = often.select("lang", "word", "f", number.alias("id"))
-    known = words.join(often, ["lang", "word"]).groupBy("chunk").agg(F.collect_list(F.struct("local", "id")).alias("known"))
-    state = materialize(chunks.select("chunk", "lang", "seq").join(known, "chunk").mapInArrow(_word_state, _STATE))
-
+    chunks = materialize(texts.mapInArrow(_chunks, _CHUNK))
+    totals = chunks.groupBy("lang").agg(F.sum("n").alias("n")).filter("n > 0")
+    different = chunks.agg(F.sum("different")).first()[0] or 0
+    sections = different // section + 1
+    found = materialize(chunks.select("chunk", "lang", "words", "counts").mapInArrow(_deal_words(sections), _DEALT)
+                              .repartition("lang", "section").sortWithinPartitions("lang", "section", "chunk")
+                              .mapInArrow(_merge_words(sections, least), _WORDS))
+    both = (found.filter("chunk is not null").select("chunk", "lang", "codes", "ids").withColumn("kind", F.lit(0))
+                 .unionByName(chunks.select("chunk", "lang", F.col("seq").alias("codes"), F.lit(b"").alias("ids"), F.lit(1).alias("kind"))))
+    state = materialize(both.repartition("chunk").sortWithinPartitions("chunk", "kind").mapInArrow(_word_state, _STATE))
+
+    often = found.filter("chunk is null")
     level = often.select("lang", "id", F.array("word").alias("words"), "f")
     phrases = level.select("lang", "words", "f")
     for _ in range(2, longest + 1):

@@ -9,9 +9,8 @@ from placekit.functions.address import street_component
 from placekit.functions.names import clean_business_name
 from placekit.functions.regions import CITY_ABBREVIATIONS, state_from_json, state_from_text
 from placekit.functions.text import utrim
-from placekit.operators.geo_join import radius_join
 from placekit.operators.joins import left_join_nonnull
-from placekit.session import materialize
+from placekit.operators.nearest_place import nearest_places
 
 # Coordinate column names recognised by the geocoding job.
 LATITUDE_NAMES = ["latitude", "Latitude", "LATITUDE"]
@@ -41,17 +40,17 @@ def standardize_cities(df: DataFrame, col: str = "city") -> DataFrame:
     return df.withColumn("city_std", c)
 
 
+def _last_named(columns: list[str], names: list[str]) -> str | None:
+    """The last of the columns that has one of these names."""
+    return max((c for c in columns if c in names), key=columns.index, default=None)
+
+
 def detect_coordinate_columns(df: DataFrame) -> tuple[str, str]:
-    """(latitude column, longitude column) by name; the last match wins."""
-    lat = lon = None
-    for c in df.columns:
-        if c in LATITUDE_NAMES:
-            lat = c
-        elif c in LONGITUDE_NAMES:
-            lon = c
-    if not lat or not lon:
+    """(latitude column, longitude column) by name; of several the last one counts."""
+    found = tuple(_last_named(df.columns, names) for names in (LATITUDE_NAMES, LONGITUDE_NAMES))
+    if None in found:
         raise ValueError(f"no latitude/longitude columns among {df.columns}")
-    return lat, lon
+    return found
 
 
 def round_half_up(c, digits: int):
@@ -60,36 +59,23 @@ def round_half_up(c, digits: int):
     return F.floor(c * F.lit(f) + F.lit(0.5)) / F.lit(f)
 
 
-# Radii of the nearest-place search, in miles; the last one spans the globe.
-RINGS = (10.0, 40.0, 160.0, 640.0, 2560.0, 12500.0)
-
-
 def gazetteer_enrich(df: DataFrame, gazetteer: DataFrame, digits: int = 3) -> DataFrame:
     """Add ``corrected_city`` / ``corrected_state`` from the gazetteer place
     nearest to the coordinates rounded to ``digits``.
 
     Lookups are done once per distinct rounded coordinate (the work grows
-    with distinct locations, not rows), first within a small radius; only
-    points without a place there are looked up again in a larger one.  Rows
-    without coordinates, and all rows of an empty gazetteer, get ``''``.
+    with distinct locations, not rows), in a pyramid of cells
+    (``nearest_place``).  Rows without coordinates, and all rows of an empty
+    gazetteer, get ``''``.
     """
     lat, lon = detect_coordinate_columns(df)
     rows = df.withColumn("_rlat", round_half_up(F.col(lat), digits)) \
              .withColumn("_rlon", round_half_up(F.col(lon), digits))
     pts = rows.select("_rlat", "_rlon").filter(F.col("_rlat").isNotNull() & F.col("_rlon").isNotNull()).distinct()
-    g = gazetteer.select(F.col("city").alias("_gcity"), F.col("state").alias("_gstate"),
-                         F.col("lat").alias("_glat"), F.col("lon").alias("_glon"))
-    best = None
-    open_points = materialize(pts)
-    for radius in RINGS:
-        near = radius_join(g, open_points, radius, ("_glat", "_glon"), ("_rlat", "_rlon"), "_gd")
-        found = materialize(near.groupBy("_rlat", "_rlon").agg(
-            F.min(F.struct("_gd", "_gcity", "_gstate")).alias("_g")))
-        best = found if best is None else best.unionByName(found)
-        open_points = materialize(open_points.join(found, ["_rlat", "_rlon"], "left_anti"))
-        if open_points.isEmpty():
-            break
+    g = gazetteer.select("city", "state", F.col("lat").alias("_glat"), F.col("lon").alias("_glon"))
+    best = nearest_places(pts, g, ("_rlat", "_rlon"), ("_glat", "_glon")).select(
+        "_rlat", "_rlon", F.col("near.city").alias("_city"), F.col("near.state").alias("_state"))
     out = left_join_nonnull(rows, best, ["_rlat", "_rlon"])
-    return (out.withColumn("corrected_city", F.coalesce(F.col("_g._gcity"), F.lit("")))
-               .withColumn("corrected_state", F.coalesce(F.col("_g._gstate"), F.lit("")))
-               .drop("_rlat", "_rlon", "_g"))
+    return (out.withColumn("corrected_city", F.coalesce(F.col("_city"), F.lit("")))
+               .withColumn("corrected_state", F.coalesce(F.col("_state"), F.lit("")))
+               .drop("_rlat", "_rlon", "_city", "_state"))

@@ -254,8 +254,12 @@ def candidate_pairs(a: DataFrame, b: DataFrame, params: MatchParams) -> DataFram
     (both stages score alike, so no pair beyond it reaches the confidence
     threshold) and, unless names are ignored, with name similarity >= min.
     ``same_cell`` marks the pairs of the exact-cell stage."""
+    return _candidates(_side(a, "a_", params), _side(b, "b_", params), params)
+
+
+def _candidates(a: DataFrame, b: DataFrame, params: MatchParams) -> DataFrame:
     p = params.coordinate_precision
-    pairs = _near(_side(a, "a_", params), _side(b, "b_", params), params).withColumn(
+    pairs = _near(a, b, params).withColumn(
         "same_cell",
         (coordinate_cell("a_latitude", p) == coordinate_cell("b_latitude", p))
         & (coordinate_cell("a_longitude", p) == coordinate_cell("b_longitude", p)))
@@ -268,6 +272,31 @@ def candidate_pairs(a: DataFrame, b: DataFrame, params: MatchParams) -> DataFram
     return pairs
 
 
+def _classes(side: DataFrame, prefix: str) -> tuple[DataFrame, DataFrame]:
+    """(classes, members): rows of one coordinate and equal comparison forms are one
+    class, known by its smallest row id, because their pairs score alike.
+    Members are (class, row id, seq)."""
+    row, seq = f"{prefix}row_id", f"{prefix}seq"
+    keys = [f"{prefix}latitude", f"{prefix}longitude", *[c for c in side.columns if c.endswith("_cmp")]]
+    rows = side.select(row, seq, *keys).filter(F.col(keys[0]).isNotNull() & F.col(keys[1]).isNotNull())
+    classes = rows.groupBy(*keys).agg(F.min(row).alias(row), F.min(seq).alias(seq))
+    key = F.xxhash64(*[x for k in keys for x in (F.col(k).isNull(), F.col(k))])
+    # two classes of one hash stay apart: the keys are compared as well
+    named = classes.select(key.alias("_key"), F.struct(*keys).alias("_of"), F.col(row).alias(f"{prefix}class"))
+    members = (rows.select(key.alias("_key"), F.struct(*keys).alias("_is"), row, seq)
+                   .join(named, "_key").filter(F.col("_is").eqNullSafe(F.col("_of"))))
+    return classes, members.select(f"{prefix}class", row, seq)
+
+
+def _expanded(pairs: DataFrame, a_members: DataFrame, b_members: DataFrame) -> DataFrame:
+    """Pairs of classes as pairs of their members."""
+    columns = pairs.columns
+    for prefix, members in (("a_", a_members), ("b_", b_members)):
+        pairs = pairs.drop(f"{prefix}seq").withColumnRenamed(f"{prefix}row_id", f"{prefix}class")
+        pairs = dealt_join(pairs, members, [f"{prefix}class"]).drop(f"{prefix}class")
+    return pairs.select(*columns)
+
+
 def match_places(a: DataFrame, b: DataFrame, params: MatchParams = PRODUCTION) -> DataFrame:
     """Matches between feed A (primary) and feed B (secondary).
 
@@ -278,23 +307,34 @@ def match_places(a: DataFrame, b: DataFrame, params: MatchParams = PRODUCTION) -
     shuffled by location once: stage 1 is the same-cell subset; stage 2 is the
     rest minus pairs touching a row matched in stage 1 (filtering the small
     pair table is the same as filtering the inputs first).
+
+    Where names do not count, nothing thins a place that very many rows share.
+    There rows are compared as classes of equal coordinates and comparison forms, so
+    the work of scoring grows with different places, and the pairs of classes
+    are turned into pairs of rows at the end.
     """
     from placekit.session import materialize
-    cands = materialize(candidate_pairs(a, b, params))
+    side_a, side_b = _side(a, "a_", params), _side(b, "b_", params)
+    if params.ignore_name and params.similarity == "edit":
+        (side_a, a_members), (side_b, b_members) = _classes(side_a, "a_"), _classes(side_b, "b_")
+        expand = lambda pairs: _expanded(pairs, a_members, b_members)
+    else:
+        expand = lambda pairs: pairs
+    cands = materialize(_candidates(side_a, side_b, params))
     exact = materialize(_finish(_score(cands.filter("same_cell"), params), params, 1, F.lit(
         f"truncated_coordinates_{params.coordinate_precision}dp, coordinate_priority_match")))
     rest = (cands.join(exact.select("a_row_id").distinct(), "a_row_id", "left_anti")
                  .join(exact.select("b_row_id").distinct(), "b_row_id", "left_anti"))
     reason = F.concat(F.lit("coordinate_priority_proximity, distance_"),
                       F.format_string("%.3f", F.col("distance_miles")), F.lit("mi"))
-    prox = _finish(_score(rest, params), params, 2, reason)
+    prox = expand(_finish(_score(rest, params), params, 2, reason))
     if not params.show_all_matches:
         best = (prox.groupBy("b_row_id")
                     .agg(F.min_by(F.struct(*prox.columns),
                                   F.struct(-F.col("confidence"), F.col("a_seq"))).alias("m")))
         prox = best.select("m.*")
     # the pair table feeds every later stage (reports, merge, links): once
-    return exact.unionByName(prox)
+    return expand(exact).unionByName(prox)
 
 
 def match_order(pairs: DataFrame) -> DataFrame:

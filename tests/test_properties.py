@@ -151,3 +151,28 @@ def test_keyed_diff_null_keys(spark):
     assert sorted((r.k or "") for r in d2.new.collect()) == ["", "", "c"]
     d3 = keyed_diff(prev, curr, "k", drop_null_keys=True)
     assert sorted(r.k for r in d3.new.collect()) == ["c"]
+
+
+def test_classes_of_equal_places_expand_to_all_rows(spark, monkeypatch):
+    """Coordinates alone: classes of equal rows give the pairs of all rows."""
+    import placekit.operators.match as M
+    rng = random.Random(5)
+
+    def rows(base):
+        out = []
+        for i in range(150):
+            lat = 40.0 if i % 3 == 0 else 40.0 + rng.choice([0.00001, 0.0003, 0.0009, 0.002])
+            street = rng.choice(["1 Main St", "1 Main St", "2 Elm St", None, " "])
+            out.append((base + i, base + i, "n", street, None if i % 31 == 7 else lat, -73.0, rng.choice(["X", None]), "NY"))
+        return out
+    schema = ("row_id long, seq long, name string, address1 string, latitude double, longitude double, "
+              "city string, territory string")
+    a, b = spark.createDataFrame(rows(0), schema), spark.createDataFrame(rows(1000), schema)
+    for params in (M.COORDS_ONLY, M.COORDS_ONLY.with_(show_all_matches=False), M.COORDS_ONLY.with_(ignore_city=False)):
+        got = sorted(map(tuple, M.match_places(a, b, params).collect()))
+        sides = M._side(a, "a_", params), M._side(b, "b_", params)
+        classes = [M._classes(s, p)[0].count() for s, p in zip(sides, ("a_", "b_"))]
+        assert max(classes) < 60
+        exact = M.exact_stage(a, b, params)
+        want = sorted(map(tuple, exact.unionByName(M.proximity_stage(a, b, exact, params)).collect()))
+        assert got == want and len(got) > 500

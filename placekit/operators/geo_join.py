@@ -26,7 +26,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from placekit.functions.geo import EARTH_RADIUS_MILES, haversine_miles
-from placekit.operators.joins import BLOCK_ROWS, dealt_join
+from placekit.operators.joins import BLOCK_ROWS
+from placekit.operators.name_blocks import blocked_join
+from placekit.session import materialize
 
 _MARGIN = 1 + 1e-9
 SIDE = 2
@@ -108,13 +110,10 @@ def radius_join(build: DataFrame, probe: DataFrame, radius_miles: float,
     grid = Grid(radius_miles, side)
     blat, blon = (F.col(c) for c in build_coords)
     plat, plon = (F.col(c) for c in probe_coords)
-    b = grid.home(build.filter(blat.isNotNull() & blon.isNotNull()), blat, blon)
-    p = grid.touched(probe.filter(plat.isNotNull() & plon.isNotNull()), plat, plon)
+    # written once: the count pass and the join read them
+    b = grid.home(materialize(build.filter(blat.isNotNull() & blon.isNotNull())), blat, blon)
+    p = grid.touched(materialize(probe.filter(plat.isNotNull() & plon.isNotNull())), plat, plon)
     keys = ["_band", "_cell"]
-    if blocking is not None:
-        b, p, keys = blocking.build(b), blocking.probe(p), keys + blocking.keys
-    pairs = dealt_join(b, p, keys, block).withColumn(distance_col, haversine_miles(blat, blon, plat, plon))
-    pairs = pairs.filter(F.col(distance_col) <= F.lit(float(radius_miles)))
-    if blocking is not None:
-        pairs = blocking.accept(pairs)
-    return pairs.drop(*keys)
+    pairs = blocked_join(b, p, keys, blocking, block).drop(*keys)
+    pairs = pairs.withColumn(distance_col, haversine_miles(blat, blon, plat, plon))
+    return pairs.filter(F.col(distance_col) <= F.lit(float(radius_miles)))

@@ -49,7 +49,7 @@ def hot_keys(left: DataFrame, right: DataFrame, keys: list[str], block: int) ->
     return hot.select(*keys, *blocks)
 
 
-def dealt_join(left: DataFrame, right: DataFrame, keys: list[str], block: int = BLOCK_ROWS) -> DataFrame:
+def dealt_join(left: DataFrame, right: DataFrame, keys: list[str], block: int = BLOCK_ROWS, among=None) -> DataFrame:
     """``left JOIN right USING (keys)``, a hot key dealt out over many tasks.
 
     A hot key's rows get a block by the hash of the whole row, so a task that

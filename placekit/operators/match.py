@@ -21,7 +21,8 @@ from placekit.functions.regions import forms_equal, region_compare_form, zip_com
 from placekit.functions.scoring import confidence, reachable_radius
 from placekit.operators.geo_join import radius_join
 from placekit.operators.joins import dealt_join
-from placekit.operators.name_blocks import Segments, name_blocks
+from placekit.operators.name_blocks import Segments, blocked_join, name_blocks
+from placekit.session import materialize
 
 
 @dataclass(frozen=True)
@@ -201,20 +202,14 @@ def coordinate_cell_pairs(a: DataFrame, b: DataFrame, params: MatchParams) -> Da
     """Pairs sharing a truncated (lat, lon) cell within ``max_distance`` whose
     name similarity passes (unless names are ignored)."""
     p = params.coordinate_precision
-    A = _side(a, "a_", params).filter(F.col("a_latitude").isNotNull() & F.col("a_longitude").isNotNull())
-    B = _side(b, "b_", params).filter(F.col("b_latitude").isNotNull() & F.col("b_longitude").isNotNull())
+    A = materialize(_side(a, "a_", params).filter(F.col("a_latitude").isNotNull() & F.col("a_longitude").isNotNull()))
+    B = materialize(_side(b, "b_", params).filter(F.col("b_latitude").isNotNull() & F.col("b_longitude").isNotNull()))
     A = A.withColumn("_clat", coordinate_cell("a_latitude", p)).withColumn("_clon", coordinate_cell("a_longitude", p))
     B = B.withColumn("_clat", coordinate_cell("b_latitude", p)).withColumn("_clon", coordinate_cell("b_longitude", p))
-    keys, blocks = ["_clat", "_clon"], _blocks(params)
-    if blocks is not None:
-        A, B, keys = blocks.build(A), blocks.probe(B), keys + blocks.keys
-    pairs = (dealt_join(B, A, keys)
+    pairs = (blocked_join(A, B, ["_clat", "_clon"], _blocks(params)).drop("_clat", "_clon")
              .withColumn("distance_miles",
                          haversine_miles("b_latitude", "b_longitude", "a_latitude", "a_longitude"))
              .filter(F.col("distance_miles") <= F.lit(params.max_distance)))
-    if blocks is not None:
-        pairs = blocks.accept(pairs)
-    pairs = pairs.drop(*keys)
     if not params.ignore_name:
         if params.similarity == "blended":
             pairs = _blended_names(pairs, params)
@@ -313,7 +308,6 @@ def match_places(a: DataFrame, b: DataFrame, params: MatchParams = PRODUCTION) -
     the work of scoring grows with different places, and the pairs of classes
     are turned into pairs of rows at the end.
     """
-    from placekit.session import materialize
     side_a, side_b = _side(a, "a_", params), _side(b, "b_", params)
     if params.ignore_name and params.similarity == "edit":
         (side_a, a_members), (side_b, b_members) = _classes(side_a, "a_"), _classes(side_b, "b_")

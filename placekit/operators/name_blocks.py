@@ -11,8 +11,14 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from placekit.operators.joins import BLOCK_ROWS, dealt_join, hot_keys
+
 # From this similarity on, names are blocked by their segments.
 SEGMENTS_FROM = 0.85
+# Rows of a cell, on either side, from which its names are cut in segments.
+DENSE_ROWS = 256
+# Whether a row's cell is so.
+DENSE = "_dense"
 _EPS = 1e-9
 
 
@@ -53,6 +59,9 @@ class Segments:
     build side's keys; the substrings of the probe form at these places are the probe side's.
     A pair that shares several segments is kept at the first one, which
     is tested on the two names: no pair comes twice, and none needs a distinct.
+
+    Only rows of dense cells (column ``DENSE``) are cut; in all others each row
+    has one key.
     """
 
     keys = ["_seg"]
@@ -83,11 +92,12 @@ class Segments:
     def build(self, df: DataFrame) -> DataFrame:
         name = F.col(self.columns[0])
         df = df.withColumn("_len", F.length(name)).withColumn("_number", self._number(F.col("_len")))
-        df = df.withColumn("_i", F.explode(F.sequence(F.lit(0), F.col("_number") - 1)))
+        df = df.withColumn("_i", F.explode(F.when(F.col(DENSE), F.sequence(F.lit(0), F.col("_number") - 1))
+                                            .otherwise(F.array(F.lit(0)))))
         start = self._start(F.col("_i"), F.col("_len"), F.col("_number"))
         end = self._start(F.col("_i") + 1, F.col("_len"), F.col("_number"))
         key = F.xxhash64("_len", "_i", F.substring(name, start + 1, end - start))
-        return df.withColumn("_seg", key).drop("_len", "_number")
+        return df.withColumn("_seg", F.when(F.col(DENSE), key).otherwise(F.lit(0))).drop("_len", "_number")
 
     def probe(self, df: DataFrame) -> DataFrame:
         name = F.col(self.columns[1])
@@ -107,7 +117,8 @@ class Segments:
             return F.flatten(F.transform(F.sequence(F.lit(0), number - 1), of_segment(n, number)))
 
         keys = F.array_distinct(F.flatten(F.transform(F.sequence(least, most), of_length)))
-        return df.withColumn("_seg", F.explode(F.when(name.isNotNull(), keys)))
+        some = F.when(name.isNull(), F.lit(None)).when(F.col(DENSE), keys).otherwise(F.array(F.lit(0).cast("bigint")))
+        return df.withColumn("_seg", F.explode(some))
 
     def accept(self, pairs: DataFrame) -> DataFrame:
         build, probe = (F.col(c) for c in self.columns)
@@ -120,9 +131,29 @@ class Segments:
             return (first <= last) & F.contains(F.substring(probe, first + 1, last - first + size), segment)
 
         first = F.get(F.filter(F.sequence(F.lit(0), F.col("_i")), shared), F.lit(0))
-        return pairs.filter(first == F.col("_i")).drop("_i")
+        fit = F.abs(n - length) <= self._edits(F.greatest(n, length))
+        return pairs.filter(fit & (~F.col(DENSE) | (first == F.col("_i")))).drop("_i")
 
 
 def name_blocks(m: float, build: str, probe: str):
     """The blocking for a similarity of at least ``m`` of two columns."""
     return (Segments if m >= SEGMENTS_FROM else LengthBands)(m, build, probe)
+
+
+def blocked_join(build: DataFrame, probe: DataFrame, keys: list[str], blocking=None,
+                 block: int = BLOCK_ROWS, dense_rows: int = DENSE_ROWS) -> DataFrame:
+    """``build JOIN probe USING (keys)`` without the pairs that the blocking rules out.
+
+    For segments one count pass over the cells finds the dense ones
+    (``joins.hot_keys``, a table of bounded size), and only there names are cut.
+    What is still hot then, one name of a dense cell, is dealt out in blocks.
+    """
+    if blocking is None:
+        return dealt_join(build, probe, keys, block)
+    among = None
+    if isinstance(blocking, Segments):
+        hot = F.broadcast(hot_keys(build, probe, keys, dense_rows).select(*keys, F.lit(True).alias(DENSE)))
+        build, probe = (d.join(hot, keys, "left").withColumn(DENSE, F.col(DENSE).isNotNull()) for d in (build, probe))
+        keys, among = [*keys, DENSE], F.col(DENSE)
+    pairs = dealt_join(blocking.build(build), blocking.probe(probe), keys + blocking.keys, block, among)
+    return blocking.accept(pairs).drop(DENSE, *blocking.keys)

@@ -80,4 +80,14 @@ def materialize(df):
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_to = path
+    return out
+
+
+def discard(df) -> None:
+    """Delete the files of a table that ``materialize`` returned.  Nothing that is
+    still to be computed may read it; loops call this for the table of the round
+    before."""
+    path = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(df._written_to)
+    path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)

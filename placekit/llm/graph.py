@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placekit.session import materialize
+from placekit.session import discard, materialize
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -21,7 +21,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     neighbours, then its smaller ones, to the smallest node it knows, until
     nothing changes; the edges are then stars.  The minima are partial
     aggregates and the joins are plain equi-joins, so a hub node is split like
-    any other hot join key.  Each round is written to the shared folder.
+    any other hot join key.  Each round is written to the shared folder, and the
+    round before it is deleted.
     Self-edges and nulls are ignored; an empty edge list gives no rows.
     """
     e = (edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
@@ -35,9 +36,10 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
                      .filter("u != v").distinct())
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u")
-        e = materialize(small.filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        before, e = e, materialize(small.filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                              .unionByName(low.select("u", F.col("m").alias("v"))).distinct())
         after = _state(e)
+        discard(before)
         if after == state:
             break
         state = after

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +10,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from placekit.functions.text import utrim
 from placekit.operators.changes import content_fingerprint
 from placekit.session import materialize
+from placekit.sources.publish import commit_snapshot, job_lock, newest
 
 # The place CSV header, in order (the exchange format of the
 # place files both feeds are compared and exported with).
@@ -141,38 +140,24 @@ def publish_if_changed(tables: dict, root: str, mode_name: str, snapshot_date: s
     """Publish only when the content fingerprint differs from the last
     published one for ``mode_name`` (or when ``force``).  Returns whether it wrote.
 
-    The manifest holds one partition per (mode, snapshot date), replaced with
-    each publish, and the time of publishing; the newest of the mode counts.
+    One job at a time holds the lock of the mode (``publish.job_lock``), and readers
+    of ``publish.published`` see the old set of tables or the new one, never a mixture.
     What is published is first written to the shared folder, so its plan runs
     once for fingerprint, comparison and publish.
     """
     spark = next(iter(tables.values())).sparkSession
-    tables = {name: materialize(df) for name, df in tables.items()}
-    fps = None
-    for name, df in tables.items():
-        fp = content_fingerprint(df, "xxhash64").select(F.lit(name).alias("table"), "*")
-        fps = fp if fps is None else fps.unionByName(fp)
-    fps = fps.withColumn("hash_sum", F.col("hash_sum").cast("string"))
-    current = {r["table"]: (r["row_count"], r["hash_xor"], r["hash_sum"]) for r in fps.collect()}
-    manifest = f"{root.rstrip('/')}/_manifest"
-    previous = None
-    m = read_if_there(spark, manifest)
-    if m is not None:
-        m = m.filter(F.col("mode") == mode_name)
-        last = m.agg(F.max("published_at").alias("t")).first()["t"]
-        if last is not None:
-            previous = {r["table"]: (r["row_count"], r["hash_xor"], r["hash_sum"])
-                        for r in m.filter(F.col("published_at") == last).collect()}
-    if not force and previous == current:
-        return False
-    publish_tables(tables, root, mode_name, snapshot_date)
-    now = datetime.now(timezone.utc)
-    rows = [(t, *v, now) for t, v in current.items()]
-    (spark.createDataFrame(rows, "table string, row_count bigint, hash_xor bigint, hash_sum string, "
-                                 "published_at timestamp")
-        .coalesce(1).withColumn("mode", F.lit(mode_name)).withColumn("snapshot_date", F.lit(snapshot_date))
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("mode", "snapshot_date").parquet(manifest))
+    with job_lock(spark, root, mode_name):
+        tables = {name: materialize(df) for name, df in tables.items()}
+        fps = None
+        for name, df in tables.items():
+            fp = content_fingerprint(df, "xxhash64").select(F.lit(name).alias("table"), "*")
+            fps = fp if fps is None else fps.unionByName(fp)
+        fps = fps.withColumn("hash_sum", F.col("hash_sum").cast("string"))
+        current = {r["table"]: (r["row_count"], r["hash_xor"], r["hash_sum"]) for r in fps.collect()}
+        previous = {r["table"]: (r["row_count"], r["hash_xor"], r["hash_sum"]) for r in newest(spark, root, mode_name)}
+        if not force and previous == current:
+            return False
+        commit_snapshot(tables, root, mode_name, snapshot_date, current)
     return True
 
 

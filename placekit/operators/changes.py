@@ -92,6 +92,40 @@ def diff_by_strategy(prev: DataFrame, curr: DataFrame, strategy: str = "composit
     return keyed_diff(prev, curr, STRATEGIES.get(strategy, STRATEGIES["merchantId"]), drop_null_keys=True)
 
 
+def _whole_row(df: DataFrame) -> Column:
+    """A string that two rows share if they are identical, nulls included."""
+    cols = []
+    for f in df.schema.fields:
+        kind, c = f.dataType.simpleString(), F.col(f.name)
+        if kind in ("float", "double"):
+            c = c + F.lit(0.0)  # one zero
+        elif kind.startswith("timestamp"):
+            c = c.cast("string")  # JSON has no microseconds
+        cols.append(c.alias(f.name))
+    return F.to_json(F.struct(*cols))
+
+
+def diff_by_strategies(prev: DataFrame, curr: DataFrame, strategies=(*STRATEGIES, "all")) -> DataFrame:
+    """The rows that ``diff_by_strategy`` reports for each of the strategies, with
+    ``strategy`` and ``kind`` (``new`` or ``removed``), in one pass.
+
+    Both snapshots are one table with a side flag, exploded to (strategy, key).
+    One grouped count, partial in the map tasks, gives the keys that only one side has; these are
+    the changes, mostly few, and rows are only looked up in them.  A key that a
+    third of all rows share is one entry of each map task."""
+    columns = curr.columns
+    both = (prev.select(*columns).withColumn("_side", F.lit(1))
+                .unionByName(curr.withColumn("_side", F.lit(2))))
+    rows = both.drop("_side")
+    entries = F.array(*[F.struct(F.lit(name).alias("strategy"), key.cast("string").alias("_dk")) for name, key in (
+        (n, _whole_row(rows) if n == "all" else STRATEGIES[n](rows)) for n in strategies)])
+    each = both.withColumn("_e", F.explode(entries)).select(*columns, "_side", "_e.strategy", "_e._dk")
+    each = each.filter(F.col("_dk").isNotNull())
+    one_sided = each.groupBy("strategy", "_dk").agg(F.bit_or("_side").alias("_sides")).filter(F.col("_sides") != 3)
+    return each.join(one_sided, ["strategy", "_dk"]).select(
+        "strategy", F.when(F.col("_side") == 2, "new").otherwise("removed").alias("kind"), *columns)
+
+
 def new_removed_brands(prev_names: DataFrame, curr_names: DataFrame, normalized: bool,
                        name_col: str = "name") -> Diff:
     """Brand-name changes over distinct non-null names; ``normalized`` compares

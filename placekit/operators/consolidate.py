@@ -46,7 +46,21 @@ class CombinedResult:
 
     def __init__(self, a: DataFrame, b: DataFrame, params: MatchParams, matches: DataFrame | None = None,
                  dedupe: bool = False):
-        self._a, self._b, self._params, self._given, self._dedupe = a, b, params, matches, dedupe
+        self._feeds, self._params, self._given, self._dedupe = (a, b), params, matches, dedupe
+
+    @cached_property
+    def _staged(self) -> tuple[DataFrame, DataFrame]:
+        """Both feeds with their standardized names, keys and ids, written once: matcher,
+        dictionary, merge and links read them, and no stage computes them again."""
+        return tuple(materialize(_standardized(f)) for f in self._feeds)
+
+    @property
+    def _a(self) -> DataFrame:
+        return self._staged[0]
+
+    @property
+    def _b(self) -> DataFrame:
+        return self._staged[1]
 
     @cached_property
     def matches(self) -> DataFrame:
@@ -114,6 +128,16 @@ def standardize_names(df: DataFrame, name_col: str = "name") -> DataFrame:
               .withColumn("name_key", name_key("name_std")))
 
 
+_STANDARD = ["name_std", "name_key", "name_id"]
+
+
+def _standardized(df: DataFrame) -> DataFrame:
+    """``df`` with ``_STANDARD``; as it is if it has them."""
+    if set(_STANDARD) <= set(df.columns):
+        return df
+    return standardize_names(df).withColumn("name_id", name_uuid("name_std"))
+
+
 def _with_order(matches: DataFrame) -> DataFrame:
     if "match_ord" not in matches.columns:
         matches = match_order(matches)
@@ -129,18 +153,18 @@ def _unmatched(df: DataFrame, matches: DataFrame, side: str) -> DataFrame:
 def dictionary_events(a: DataFrame, b: DataFrame, matches: DataFrame) -> DataFrame:
     """Every contribution to the name dictionary, with its ``ord``."""
     m = _with_order(matches)
-    A, B = standardize_names(a), standardize_names(b)
+    A, B = _standardized(a), _standardized(b)
     first = m.groupBy("a_row_id").agg(F.min("ord").alias("ord"))
     ev0 = (first.join(A, A.row_id == first.a_row_id)
                 .select("name_key", "name_std", F.col("logoLocation").alias("logo"),
                         F.col("merchantId").alias("id_candidate"), "ord"))
     ua = _unmatched(A, matches, "a")
     ev1 = ua.select("name_key", "name_std", F.col("logoLocation").alias("logo"),
-                    F.coalesce("merchantId", name_uuid("name_std")).alias("id_candidate"),
+                    F.coalesce("merchantId", "name_id").alias("id_candidate"),
                     _ord(1, 0, F.col("seq")).alias("ord"))
     ub = _unmatched(B, matches, "b")
     ev2 = ub.select("name_key", "name_std", F.col("logoLocation").alias("logo"),
-                    name_uuid("name_std").alias("id_candidate"),
+                    F.col("name_id").alias("id_candidate"),
                     _ord(2, 0, F.col("seq")).alias("ord"))
     return ev0.unionByName(ev1).unionByName(ev2).filter(F.col("name_std").isNotNull())
 
@@ -163,7 +187,7 @@ def _logo_at(pos: Column) -> Column:
 
 
 def _dict_join(df: DataFrame, dictionary: DataFrame) -> DataFrame:
-    return left_join_nonnull(standardize_names(df), dictionary, ["name_key"])
+    return left_join_nonnull(_standardized(df), dictionary, ["name_key"])
 
 
 def merged_places(a: DataFrame, b: DataFrame, matches: DataFrame) -> DataFrame:
@@ -178,7 +202,7 @@ def merged_places(a: DataFrame, b: DataFrame, matches: DataFrame) -> DataFrame:
             .withColumn("uid", F.concat_ws(":", F.lit("m"), F.col("a_row_id").cast("string"),
                                            F.col("b_row_id").cast("string")))
             .withColumn("pos", F.col("ord")))
-    return out.drop("_b_sav", "ord")
+    return out.drop("_b_sav", "ord", *_STANDARD)
 
 
 def unmatched_rows(df: DataFrame, matches: DataFrame, dictionary: DataFrame, side: str) -> DataFrame:

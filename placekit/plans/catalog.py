@@ -308,13 +308,7 @@ def q_new_removed_brands(spark, sf_dir):
 @query("diff_by_strategy")
 def q_diff_by_strategy(spark, sf_dir):
     prev, curr = fx.place_snapshot(spark, sf_dir, False), fx.place_snapshot(spark, sf_dir, True)
-    out = None
-    for strategy in ("merchantId", "name", "location", "composite", "all"):
-        d = CH.diff_by_strategy(prev, curr, strategy)
-        part = (_tag(d.new.select("row_id"), strategy=strategy, kind="new")
-                .unionByName(_tag(d.removed.select("row_id"), strategy=strategy, kind="removed")))
-        out = part if out is None else out.unionByName(part)
-    return out
+    return CH.diff_by_strategies(prev, curr).select("strategy", "kind", "row_id")
 
 
 @query("latest_snapshot")

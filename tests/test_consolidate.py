@@ -214,3 +214,26 @@ def test_no_feed_and_unnamed_online_rows(spark):
     b = spark.createDataFrame([row(2, None, "online"), row(3, "Shop", "online"), row(4, None, "online")], schema).drop("plusCode")
     got = combine_feeds([a, b])
     assert sorted(r["uid"] for r in got.places.collect()) == ["a:1", "b:2", "b:4"]  # 3 folds onto a's row
+
+
+def test_strategies_in_one_pass_equal_one_by_one(spark):
+    import random
+    from placekit.operators import changes as CH
+    rng = random.Random(4)
+    schema = "row_id long, merchantId string, name string, latitude double, longitude double, at timestamp"
+
+    def rows(n):
+        return [(i, rng.choice(["m1", "m2", f"m{i}", None]), rng.choice(["Shop", " shop", f"S{i % 9}", None]),
+                 rng.choice([0.0, -0.0, 1.00001, 1.00002, float("nan"), None]), rng.choice([2.0, None]), None) for i in range(n)]
+    prev, curr = rows(60), rows(50)
+    curr += prev[:5] + prev[:2]
+    prev, curr = spark.createDataFrame(prev, schema), spark.createDataFrame(curr, schema)
+    key = lambda r: repr(tuple(r))
+    got = CH.diff_by_strategies(prev, curr)
+    assert got.filter("strategy = 'all'").count() > 20
+    for strategy in (*CH.STRATEGIES, "all"):
+        d = CH.diff_by_strategy(prev, curr, strategy)
+        for kind, want in (("new", d.new), ("removed", d.removed)):
+            mine = got.filter((F.col("strategy") == strategy) & (F.col("kind") == kind)).drop("strategy", "kind")
+            assert sorted(map(key, mine.collect())) == sorted(map(key, want.collect())), (strategy, kind)
+    assert CH.diff_by_strategies(prev.limit(0), curr.limit(0)).count() == 0

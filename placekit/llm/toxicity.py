@@ -49,6 +49,12 @@ REMEMBERED = 400_000
 _WORD = re.compile(r"\w+")
 
 
+def release_tokenizer() -> None:
+    """Free what tokenizing tasks left in this worker process (``bpe.tokenizer``):
+    both together need more memory than a small executor has."""
+    getattr(sys, "placekit_llm_bpe", {}).clear()
+
+
 def _dim(term: str) -> int:
     return zlib.crc32(term.encode("utf-8", "surrogatepass")) & ((1 << DIM_BITS) - 1)
 
@@ -201,6 +207,7 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Mod
     parts = 16  # of a bounded sample
 
     def terms(batches):
+        release_tokenizer()
         for batch in batches:
             for at in range(0, len(batch), 64):
                 part = batch.slice(at, 64)
@@ -252,6 +259,7 @@ def _scored(docs: DataFrame, model: Model, keep) -> tuple[DataFrame, list[str]]:
     names = [f"k{i}" for i in range(len(keep))]
 
     def run(batches):
+        release_tokenizer()
         terms = Terms(model.dims)
         for batch in batches:
             y = model.scores([terms(t) for t in batch.column("text").to_pylist()])

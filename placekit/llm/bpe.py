@@ -4,7 +4,10 @@ A pair of neighbouring bytes that occurs inside no vocabulary token can never
 be joined by a merge, so a text may be cut between them: the fragments encode
 independently and their ids are concatenated.  A blank is in no token of the
 word vocabulary and only at the start of a token of the byte vocabulary, so
-blanks are the first cuts; inside a word the pair table gives the others.
+blanks are the first cuts; inside a word the pair table gives the others.  A
+text of Latin letters alone is cut into its pre-tokens at once where the byte
+vocabulary has its usual pattern: they repeat more often than what stands
+between blanks.
 
 Fragments repeat, so each task remembers their ids in a bounded table and
 encodes only new ones, all of a batch in one call of the tokenizer's model.
@@ -37,11 +40,26 @@ _SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 _OTHER_SPACE = re.compile("[\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _KNOWN = "\u0250"
+_NOT_KNOWN = re.compile(f"[^\0-{chr(ord(_KNOWN) - 1)}]")
 
 # Fixed value: the pre-tokens of a byte-level vocabulary that names no pattern.
 BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
+def _known(kind: str) -> str:
+    """The characters before ``_KNOWN`` of a class of the patterns, for a set of ``re``."""
+    of = regex.compile(kind)
+    return "".join(re.escape(c) for c in map(chr, range(ord(_KNOWN))) if of.match(c))
+
+
+def _latin_pattern() -> re.Pattern:
+    """``BYTE_LEVEL_PATTERN`` for texts of characters before ``_KNOWN``, whose classes are
+    written out.  Only alternatives that begin with different characters change places."""
+    letter, number, space = map(_known, (r"\p{L}", r"\p{N}", r"\s"))
+    return re.compile(f" ?[{letter}]+| ?[{number}]+|'(?:[stmd]|re|ve|ll)| ?[^{space}{letter}{number}]+"
+                      f"|[{space}]+(?![^{space}])|[{space}]+")
+
+
 def _patterns(pre: dict) -> str:
     """The pre-token pattern that a tokenizer file names."""
     for step in pre.get("pretokenizers", [pre]):
@@ -104,8 +122,12 @@ class Bpe:
         self.id_bytes.update((i, s.encode()) for s, i in self.vocab.items())
         self.chunks = Remembered()  # what each chunk encodes to
         self.inner = Remembered()  # the same with the blank before it left out of the key
-        self.pieces = Remembered()  # what each pre-token (bytes) encodes to
-        self.pattern = regex.compile(_patterns(t["pre_tokenizer"]))
+        self.tokens = Remembered()  # what each pre-token of Latin texts encodes to
+        self.pieces = Remembered()  # what each other pre-token (bytes) encodes to
+        pattern = _patterns(t["pre_tokenizer"])
+        self.pattern = regex.compile(pattern)
+        plain = pattern == BYTE_LEVEL_PATTERN and not self.word_ends and not self.tok.normalizer
+        self.latin = _latin_pattern() if plain else None
         self._models(t)
         self._pairs()
 
@@ -143,13 +165,19 @@ class Bpe:
         known.bound(REMEMBERED // 2)
         flat = [p for ps in cut for p in ps]
         new = [p for p in dict.fromkeys(flat) if p not in known and known.older(p) is None]
-        for at in range(0, len(new), 16384):
-            part = new[at:at + 16384]
+        known.update(zip(new, self._encoded(new)))
+        return [known[ps[0]] if len(ps) == 1 else b"".join([known[p] for p in ps]) for ps in cut]
+
+    def _encoded(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of every pre-token."""
+        out: list[bytes] = []
+        for at in range(0, len(pieces), 16384):
+            part = pieces[at:at + 16384]
             ids, owner = self._fragments(b"".join(part), list(map(len, part)))
             bounds = (np.searchsorted(owner, np.arange(len(part) + 1)) * 4).tolist()
             coded = ids.tobytes()
-            known.update((p, coded[bounds[i]:bounds[i + 1]]) for i, p in enumerate(part))
-        return [known[ps[0]] if len(ps) == 1 else b"".join([known[p] for p in ps]) for ps in cut]
+            out += [coded[a:b] for a, b in zip(bounds, bounds[1:])]
+        return out
 
     def _pre_tokens(self, chunks: list[str]) -> list[list[bytes]]:
         """The pre-tokens of every chunk, in UTF-8."""
@@ -231,10 +259,11 @@ class Bpe:
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text (null: empty) as little-endian unsigned 32-bit
         integers.  Strings of added tokens stand for their id, as in the library."""
-        for table in (self.chunks, self.inner):
+        tables = {"chunks": self.chunks, "inner": self.inner, "tokens": self.tokens}
+        for table in tables.values():
             table.bound(REMEMBERED // 2)
         coded: list[list] = []  # of each text, its chunks' ids; None where not remembered
-        new: dict[bool, dict[str, list]] = {False: {}, True: {}}  # chunk -> places to fill
+        new: dict[str, dict[str, list]] = {k: {} for k in tables}  # chunk -> places to fill
         for t in texts:
             segments: list = [t or ""]
             for s in self.specials:
@@ -244,37 +273,38 @@ class Bpe:
             for x in segments:
                 if isinstance(x, bytes):
                     parts.append(x)
+                elif x and self.latin and (x.isascii() or not _NOT_KNOWN.search(x)):
+                    self._look_up(self.latin.findall(x), tables["tokens"], parts, new["tokens"])
                 elif x:
                     chunks, blank = self._chunk(x)
                     if blank:
-                        self._look_up(chunks[:1], False, parts, new)
-                        self._look_up(chunks[1:], True, parts, new)
+                        self._look_up(chunks[:1], tables["chunks"], parts, new["chunks"])
+                        self._look_up(chunks[1:], tables["inner"], parts, new["inner"])
                     else:
-                        self._look_up(chunks, False, parts, new)
+                        self._look_up(chunks, tables["chunks"], parts, new["chunks"])
             coded.append(parts)
-        for blank, places in new.items():
+        for kind, places in new.items():
             if places:
-                table = self.inner if blank else self.chunks
-                got = self._learn([" " + c for c in places] if blank else list(places))
+                table = tables[kind]
+                if kind == "tokens":
+                    got = self._encoded([c.encode() for c in places])
+                else:
+                    got = self._learn([" " + c for c in places] if kind == "inner" else list(places))
                 for (c, where), ids in zip(places.items(), got):
                     table[c] = ids
                     for parts, i in where:
                         parts[i] = ids
         return list(map(b"".join, coded))
 
-    def _look_up(self, chunks: list[str], blank: bool, parts: list, new: dict) -> None:
+    def _look_up(self, chunks: list[str], table: Remembered, parts: list, places: dict) -> None:
         base = len(parts)
-        table = self.inner if blank else self.chunks
         got = list(map(table.get, chunks))
         parts += got
-        if None in got:
-            places = new[blank]
-            for i, v in enumerate(got):
-                if v is None:
-                    c = chunks[i]
-                    parts[base + i] = v = table.older(c)
-                    if v is None:
-                        places.setdefault(c, []).append((parts, base + i))
+        for i in [i for i, v in enumerate(got) if v is None]:
+            c = chunks[i]
+            parts[base + i] = v = table.older(c)
+            if v is None:
+                places.setdefault(c, []).append((parts, base + i))
 
     def _around(self, x, special: str) -> list:
         if isinstance(x, bytes):

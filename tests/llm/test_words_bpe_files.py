@@ -61,6 +61,25 @@ def test_bpe_forgets_and_learns_again(both, monkeypatch):
     check(both, ["one two three four", "five six", "one two seven"])
 
 
+def test_words_are_remembered_without_their_neighbours(monkeypatch):
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path(FILES[1])
+    lib, own = Tokenizer.from_file(path), B.Bpe(B.read_spec(path))
+    check((lib, own), ["ein Wörtchen, là\nnoch. eins", "noch"])
+
+    def new(*_):
+        raise AssertionError("all pre-tokens are known")
+
+    monkeypatch.setattr(own, "_learn", new)
+    monkeypatch.setattr(own, "_fragments", new)
+    check((lib, own), ["ein, là eins. Wörtchen\nnoch,", "noch\nnoch Wörtchen. là"])
+
+
+def test_all_latin_characters_are_cut_as_by_the_library(both):
+    some = [chr(c) for c in range(0x260)]
+    check(both, [f"a{c}b {c} 1{c}{c}2'{c} {c}'s\n{c}" for c in some] + ["".join(some), " ".join(some)])
+
+
 def test_forced_cuts_are_pairs_of_no_token(both):
     own = both[1]
     at = {s: b for b, s in enumerate(B.byte_symbols())}

@@ -29,10 +29,12 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from placekit.llm.batches import slices
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 CALL = 256  # fragments in one call of the model; a longer text costs more for each
-REMEMBERED = 800_000  # entries of a task's tables
+REMEMBERED = 800_000  # entries of a task's tables, all together
 
 # White space of Unicode, which the tokenizers' patterns mean by \\s; Python's
 # str.split also takes U+001C to U+001F.
@@ -91,10 +93,9 @@ class Remembered(dict):
         super().__init__()
         self.before: dict = {}
 
-    def bound(self, limit: int) -> None:
-        if len(self) > limit:
-            self.before = dict(self)
-            self.clear()
+    def age(self) -> None:
+        self.before = dict(self)
+        self.clear()
 
     def older(self, key):
         """A value from before, taken over."""
@@ -162,7 +163,6 @@ class Bpe:
         the ones not remembered all together."""
         cut = self._pre_tokens(chunks)
         known = self.pieces
-        known.bound(REMEMBERED // 2)
         flat = [p for ps in cut for p in ps]
         new = [p for p in dict.fromkeys(flat) if p not in known and known.older(p) is None]
         known.update(zip(new, self._encoded(new)))
@@ -260,8 +260,10 @@ class Bpe:
         """The ids of each text (null: empty) as little-endian unsigned 32-bit
         integers.  Strings of added tokens stand for their id, as in the library."""
         tables = {"chunks": self.chunks, "inner": self.inner, "tokens": self.tokens}
-        for table in tables.values():
-            table.bound(REMEMBERED // 2)
+        known = [*tables.values(), self.pieces]
+        if sum(map(len, known)) > REMEMBERED // 2:
+            for table in known:
+                table.age()
         coded: list[list] = []  # of each text, its chunks' ids; None where not remembered
         new: dict[str, dict[str, list]] = {k: {} for k in tables}  # chunk -> places to fill
         for t in texts:
@@ -361,16 +363,14 @@ def encode_decode(docs: DataFrame, tokenizer_file: str, keep: tuple[str, ...] =
 
     def run(batches):
         bpe = tokenizer(spec.value)
-        for whole in batches:
-            for at in range(0, len(whole), 256):
-                batch = whole.slice(at, 256)
-                ids = bpe.encode(batch.column("text").to_pylist())
-                cols = [pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64())]
-                if with_text:
-                    cols.append(pa.array([bpe.decode(x) for x in ids], pa.binary()))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(c) for c in names] + cols,
-                    names=[*names, "ids", "n_tokens", *["decoded"] * with_text])
+        for batch in slices(batches):
+            ids = bpe.encode(batch.column("text").to_pylist())
+            cols = [pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64())]
+            if with_text:
+                cols.append(pa.array([bpe.decode(x) for x in ids], pa.binary()))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(c) for c in names] + cols,
+                names=[*names, "ids", "n_tokens", *["decoded"] * with_text])
 
     schema = ", ".join([f"{n} {kept.schema[n].dataType.simpleString()}" for n in names]
                        + ["ids binary", "n_tokens bigint"] + ["decoded binary"] * with_text)

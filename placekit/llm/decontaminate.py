@@ -23,6 +23,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from placekit.llm.batches import slices
 from placekit.llm.words import word_list
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -147,7 +148,7 @@ def _searched(docs: DataFrame, benchmark: DataFrame, window: int, max_block_byte
                 ready[k] = Searcher(blocks[k].value, window)
             return ready[k]
 
-        for batch in batches:
+        for batch in slices(batches):
             texts = [word_list(t) for t in batch.column("text").to_pylist()]
             spans = [[] for _ in texts]
             items = [set() for _ in texts]

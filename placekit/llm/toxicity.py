@@ -32,6 +32,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from placekit.llm.batches import slices
 from placekit.session import materialize
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -208,12 +209,10 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Mod
 
     def terms(batches):
         release_tokenizer()
-        for batch in batches:
-            for at in range(0, len(batch), 64):
-                part = batch.slice(at, 64)
-                dims = [sorted(terms_of(t)) for t in part.column("text").to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("y"), pa.array(dims, pa.list_(pa.int32()))], names=["y", "dims"])
+        for batch in slices(batches, rows=64):
+            dims = [sorted(terms_of(t)) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("y"), pa.array(dims, pa.list_(pa.int32()))], names=["y", "dims"])
 
     picked = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("y", "text")
     rows = materialize(picked.repartition(parts).mapInArrow(terms, "y int, dims array<int>"))
@@ -261,7 +260,7 @@ def _scored(docs: DataFrame, model: Model, keep) -> tuple[DataFrame, list[str]]:
     def run(batches):
         release_tokenizer()
         terms = Terms(model.dims)
-        for batch in batches:
+        for batch in slices(batches):
             y = model.scores([terms(t) for t in batch.column("text").to_pylist()])
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in names] + [pa.array(y, pa.float64())],
                                              names=[*names, "score"])

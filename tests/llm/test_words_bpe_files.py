@@ -196,3 +196,33 @@ def test_token_files_edge_rows(spark, tmp_path):
     assert [r["n_tokens"] for r in back] == [3, 1, 2, 2, 1]
     T.write_tokens(docs.limit(0), str(tmp_path / "e"), path, files=2)
     assert T.read_tokens(spark, str(tmp_path / "e")).count() == 0
+
+
+@pytest.mark.parametrize("file", FILES)
+def test_tables_of_a_task_are_bounded_together(file, monkeypatch):
+    monkeypatch.setattr(B, "REMEMBERED", 200)
+    own = B.Bpe(B.read_spec(public_tokenizers.path(file)))
+    for k in range(60):
+        own.encode([f"a{k}x{i}y, b{k}{i}é 日{k}" for i in range(5)])
+        tables = own.chunks, own.inner, own.tokens, own.pieces
+        assert sum(len(t) + len(t.before) for t in tables) <= 200 + 60  # and what one call adds
+
+
+def test_tasks_work_on_few_texts_at_a_time(spark, monkeypatch):
+    import pyarrow as pa
+    from placekit.llm import decontaminate, toxicity
+    texts = ["some words " * 20] * 600 + [None, "", "long " * 600_000, "long " * 600_000, "end"]
+    batch = pa.RecordBatch.from_pydict({"k0": list(range(len(texts))), "k1": texts, "text": texts})
+    docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    tasks, kind = [], type(docs)
+    whole = kind.mapInArrow
+    monkeypatch.setattr(kind, "mapInArrow", lambda df, f, *a, **k: tasks.append(f) or whole(df, f, *a, **k))
+    decontaminate.drop_contaminated(docs, spark.createDataFrame([(1, "some words")], "item_id long, text string"))
+    toxicity.drop_toxic(docs, toxicity.Model(np.arange(3), 0.0, np.zeros(3), np.zeros((3, 2))))
+    B.encode_decode(docs, public_tokenizers.path(FILES[0]))
+    assert len(tasks) == 3
+    for run in tasks:
+        out = list(run(iter([batch])))
+        assert [x for b in out for x in b.column("k0").to_pylist()] == list(range(len(texts)))
+        assert max(len(b) for b in out) <= 256  # and no two of the long texts
+        assert not any({602, 603} <= set(b.column("k0").to_pylist()) for b in out)

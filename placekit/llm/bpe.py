@@ -34,7 +34,7 @@ from placekit.llm.batches import slices
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 CALL = 256  # fragments in one call of the model; a longer text costs more for each
-REMEMBERED = 800_000  # entries of a task's tables, all together
+REMEMBERED = 400_000  # entries of a task's tables, all together
 
 # White space of Unicode, which the tokenizers' patterns mean by \\s; Python's
 # str.split also takes U+001C to U+001F.

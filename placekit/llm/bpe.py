@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 import re
 import sys
 
@@ -110,6 +111,7 @@ class Bpe:
     ids, ``decode`` them back to text."""
 
     def __init__(self, spec: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_str(spec)
         self.tok.no_truncation()
@@ -118,6 +120,7 @@ class Bpe:
         self.vocab = t["model"]["vocab"]
         self.specials = [x["content"] for x in t["added_tokens"]]
         self.suffix = t["model"]["end_of_word_suffix"] or ""
+        self.prefix = t["model"].get("continuing_subword_prefix")
         self.word_ends = bool(self.suffix)
         self.id_bytes = {x["id"]: x["content"].encode() for x in t["added_tokens"]}
         self.id_bytes.update((i, s.encode()) for s, i in self.vocab.items())
@@ -157,6 +160,12 @@ class Bpe:
                 if a is not None and b is not None:
                     self.cut[a, b] = False
         self.char = np.array([ord(s) for s in byte_symbols()], np.uint32)
+        # the number of symbols of each id, where ids alone tell which bytes they stand for
+        self.symbols = None
+        if not self.word_ends and not self.prefix and at.keys() <= self.vocab.keys():
+            self.symbols = np.zeros(max(self.vocab.values()) + 1, np.int64)
+            for token, i in self.vocab.items():
+                self.symbols[i] = len(token)
 
     def _learn(self, chunks: list[str]) -> list[bytes]:
         """Encode chunks that are not remembered: their pre-tokens, and of these
@@ -218,7 +227,15 @@ class Bpe:
         ends = np.zeros(len(codes), bool)
         ends[np.cumsum(sizes) - 1] = True
         stops = np.flatnonzero(ends[:-1] | self.cut[codes[:-1], codes[1:]])
-        fragments = np.insert(self.char[codes], stops + 1, 32).tobytes().decode("utf-32-le").split(" ")
+        spaced = np.insert(self.char[codes], stops + 1, 32).tobytes().decode("utf-32-le")
+        if self.symbols is not None:
+            starts = (stops + np.arange(2, len(stops) + 2))[CALL - 1::CALL].tolist()  # of every CALL-th fragment
+            calls = [spaced[a:b] for a, b in zip([0, *starts], [*(x - 1 for x in starts), len(spaced)])]
+            # without offsets and words, which cost more than the ids: lengths tell whose an id is
+            ids = np.concatenate([np.array(e.ids, "<u4") for e in
+                                  self.model[True].encode_batch_fast(calls, add_special_tokens=False)])
+            return ids, np.searchsorted(np.cumsum(sizes), np.cumsum(self.symbols[ids]))
+        fragments = spaced.split(" ")
         last = np.append(ends[stops], True)
         piece = np.cumsum(np.append(0, last[:-1]))
         ids, owner = [], []
@@ -265,7 +282,8 @@ class Bpe:
             for table in known:
                 table.age()
         coded: list[list] = []  # of each text, its chunks' ids; None where not remembered
-        new: dict[str, dict[str, list]] = {k: {} for k in tables}  # chunk -> places to fill
+        new: dict[str, dict[str, None]] = {k: {} for k in tables}  # chunks that are not remembered
+        gaps: list[tuple] = []  # what to fill in: table, parts, where in them, chunks
         for t in texts:
             segments: list = [t or ""]
             for s in self.specials:
@@ -276,37 +294,43 @@ class Bpe:
                 if isinstance(x, bytes):
                     parts.append(x)
                 elif x and self.latin and (x.isascii() or not _NOT_KNOWN.search(x)):
-                    self._look_up(self.latin.findall(x), tables["tokens"], parts, new["tokens"])
+                    self._look_up(self.latin.findall(x), tables["tokens"], parts, new["tokens"], gaps)
                 elif x:
                     chunks, blank = self._chunk(x)
                     if blank:
-                        self._look_up(chunks[:1], tables["chunks"], parts, new["chunks"])
-                        self._look_up(chunks[1:], tables["inner"], parts, new["inner"])
+                        self._look_up(chunks[:1], tables["chunks"], parts, new["chunks"], gaps)
+                        self._look_up(chunks[1:], tables["inner"], parts, new["inner"], gaps)
                     else:
-                        self._look_up(chunks, tables["chunks"], parts, new["chunks"])
+                        self._look_up(chunks, tables["chunks"], parts, new["chunks"], gaps)
             coded.append(parts)
-        for kind, places in new.items():
-            if places:
-                table = tables[kind]
+        for kind, chunks in new.items():
+            if chunks:
                 if kind == "tokens":
-                    got = self._encoded([c.encode() for c in places])
+                    got = self._encoded([c.encode() for c in chunks])
                 else:
-                    got = self._learn([" " + c for c in places] if kind == "inner" else list(places))
-                for (c, where), ids in zip(places.items(), got):
-                    table[c] = ids
-                    for parts, i in where:
-                        parts[i] = ids
+                    got = self._learn([" " + c for c in chunks] if kind == "inner" else list(chunks))
+                tables[kind].update(zip(chunks, got))
+        for table, parts, where, chunks in gaps:
+            for i, c in zip(where, chunks):
+                parts[i] = table[c]
         return list(map(b"".join, coded))
 
-    def _look_up(self, chunks: list[str], table: Remembered, parts: list, places: dict) -> None:
+    def _look_up(self, chunks: list[str], table: Remembered, parts: list, new: dict, gaps: list) -> None:
         base = len(parts)
         got = list(map(table.get, chunks))
         parts += got
-        for i in [i for i, v in enumerate(got) if v is None]:
-            c = chunks[i]
-            parts[base + i] = v = table.older(c)
-            if v is None:
-                places.setdefault(c, []).append((parts, base + i))
+        # a few lists for all gaps of a text: an object for each keeps the garbage collector busy
+        where = [i for i, v in enumerate(got, base) if v is None]
+        if where:
+            missing = [chunks[i - base] for i in where]
+            before = table.before
+            for c in missing:
+                v = before.get(c)
+                if v is None:
+                    new[c] = None
+                else:
+                    table[c] = v
+            gaps.append((table, parts, where, missing))
 
     def _around(self, x, special: str) -> list:
         if isinstance(x, bytes):

@@ -226,3 +226,23 @@ def test_tasks_work_on_few_texts_at_a_time(spark, monkeypatch):
         assert [x for b in out for x in b.column("k0").to_pylist()] == list(range(len(texts)))
         assert max(len(b) for b in out) <= 256  # and no two of the long texts
         assert not any({602, 603} <= set(b.column("k0").to_pylist()) for b in out)
+
+
+def test_new_byte_pre_tokens_cost_ids_alone(monkeypatch):
+    from tokenizers import Tokenizer
+    lib = Tokenizer.from_file(public_tokenizers.path(FILES[1]))
+    own = B.Bpe(B.read_spec(public_tokenizers.path(FILES[1])))
+    asked, model = [], own.model[True]
+
+    class IdsAlone:  # has no ``encode``, which makes offsets and words as well
+        def encode_batch_fast(self, calls, add_special_tokens):
+            asked.extend(calls)
+            return model.encode_batch_fast(calls, add_special_tokens=add_special_tokens)
+
+    own.model = {True: IdsAlone()}
+    monkeypatch.setattr(B, "CALL", 7)
+    texts = [" ".join(f"Zq{k}xé{k * k}q日{k}" for k in range(n)) + end for n in (0, 1, 2, 7, 8, 60) for end in ("", "\n ", "ß")]
+    texts += [" ".join(f"Zq{k}xé{k * k}q" for k in range(90)), None, "<|endoftext|>a<|endoftext|>"]
+    want = [np.array(lib.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert own.encode(texts) == want == own.encode(texts)
+    assert max(len(c.split(" ")) for c in asked) == 7

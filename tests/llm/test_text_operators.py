@@ -165,6 +165,35 @@ def test_windows_give_what_the_whole_text_gives(crf):
         assert sorted(P.added_spans(crf, [t], [[]])[0]) == sorted(whole)
 
 
+def test_a_text_is_decoded_from_end_to_end(crf, monkeypatch):
+    rng = np.random.default_rng(5)
+    words = ["%%% of", "thing", "The", "a,", "$$$ on", "is.", "###", "&&& at"]
+    lines = [t for t, _ in P.labelled_rows()]
+    far = " ".join(["erat*** the&&& of%%% at%%% st.&&&"] * 10)
+    texts = ["", " \n ", f"{far} 9000426309966109$$$ {far}", " " * 300 + "a 1" + " " * 300 + lines[0] + " " * 300]
+    for _ in range(12):  # labelled lines far from each other
+        texts.append("\n\u3000".join(" ".join(rng.choice(words, rng.integers(1, 120))) + " " + lines[i]
+                                   for i in rng.integers(0, len(lines), 5)) + " \t")
+    wanted = []
+    for t in texts:
+        toks = P.tokens(t, 0, len(t))
+        wanted.append(sorted(P._spans(t, toks, crf.viterbi([[v for _, _, v in toks]])[0], [])) if toks else [])
+    assert wanted[2] == [("email", 11, 697)]
+    assert list(map(sorted, P.added_spans(crf, texts, [[]] * len(texts)))) == wanted
+    monkeypatch.setattr(P, "PART", 100)  # parts of a text, and of its scores
+    monkeypatch.setattr(P, "BATCH_TOKENS", 70)
+    assert list(map(sorted, P.added_spans(crf, texts, [[]] * len(texts)))) == wanted
+    for t in texts:
+        at = P.windows(t)
+        assert "".join(t[a:b] for a, b in at) == t.rstrip() and all(b == c for (_, b), (c, _) in zip(at, at[1:]))
+
+
+def test_addresses_without_digit_or_spelled_out_dot(crf):
+    for t, want in {"Reach me: jane.doe at example.org, please": ["jane.doe at example.org"],
+                    "they met at the house. Then it was": [], "he was at home.": []}.items():
+        assert [t[a:b] for _, a, b in P.added_spans(crf, [t], [[]])[0]] == want
+
+
 def test_spelled_out_addresses_in_capitals(crf):
     rng = np.random.default_rng(4)
     lines = [t.upper() for t, _ in P.labelled_rows()]
